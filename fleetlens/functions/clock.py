@@ -1,4 +1,8 @@
-"""Clock text, instants and signed differences."""
+"""Clock text, instants and signed differences.
+
+``iso_parts`` runs the pattern once per value; the other ISO helpers take its
+result. Keep it in a projection of its own, so it is computed once per row.
+"""
 
 from __future__ import annotations
 
@@ -10,78 +14,63 @@ ISO_TIME = (
     r"\A(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2})?)(?:[.,](\d{1,6})\d*)?"
     r"\s*(Z|[+-]\d{2}(?::?\d{2})?)?\z"
 )
+_CUT = "\x01"
 _DAY = 86_400_000_000
 _HOUR = 3_600_000_000
 _MINUTE = 60_000_000
 _SECOND = 1_000_000
 
 
-def _part(text: Column, group: int) -> Column:
-    return F.regexp_extract(text, ISO_TIME, group)
-
-
-def offset_of(text: Column) -> Column:
-    """The offset of an ISO time as ``+HH:MM``; empty when it has none."""
-    raw = _part(text, 4)
-    return (
-        F.when(raw == "Z", "+00:00")
-        .when(F.length(raw) == 3, F.concat(raw, F.lit(":00")))
-        .when(F.length(raw) == 5, F.concat(raw.substr(1, 3), F.lit(":"), raw.substr(4, 2)))
-        .otherwise(raw)
-    )
-
-
-def _fraction(text: Column) -> Column:
-    digits = F.rpad(_part(text, 3), 6, "0")
-    return F.when((_part(text, 3) == "") | (digits == "000000"), "").otherwise(F.concat(F.lit("."), digits))
-
-
-def _seconds(text: Column) -> Column:
-    time = _part(text, 2)
-    return F.when(F.length(time) == 5, F.concat(time, F.lit(":00"))).otherwise(time)
-
+def iso_parts(text: Column) -> Column:
+    """An ISO time as array(date, time, fraction, offset); null for any other text."""
+    parts = F.split(F.regexp_replace(text, ISO_TIME, _CUT.join(("$1", "$2", "$3", "$4"))), _CUT)
+    return F.when(text.rlike(ISO_TIME), parts)
 
-def shown(text: Column) -> Column:
-    """An ISO time as ``date time[.ffffff]offset``, in its own offset."""
-    return F.concat(_part(text, 1), F.lit(" "), _seconds(text), _fraction(text), offset_of(text))
 
+def iso_local(parts: Column) -> Column:
+    """``date time[.ffffff]`` as the clock showed it."""
+    seconds = F.when(F.length(parts[1]) == 5, ":00").otherwise("")
+    digits = F.rpad(parts[2], 6, "0")
+    fraction = F.when(digits == "000000", "").otherwise(F.concat(F.lit("."), digits))
+    return F.concat(parts[0], F.lit(" "), parts[1], seconds, fraction)
 
-def instant(text: Column) -> Column:
-    """The instant of an ISO time with offset; null when it is none."""
-    return F.when(offset_of(text) != "", F.try_to_timestamp(shown(text)))
 
-
-def local_instant(text: Column) -> Column:
-    """The instant of an ISO time without offset, read in the session zone."""
-    return F.when(offset_of(text) == "", F.try_to_timestamp(shown(text)))
+def iso_offset(parts: Column) -> Column:
+    """The offset as ``+HH:MM``; empty when there is none."""
+    zone = parts[3]
+    return (
+        F.when(zone == "Z", "+00:00")
+        .when(F.length(zone) == 3, F.concat(zone, F.lit(":00")))
+        .when(F.length(zone) == 5, F.concat(zone.substr(1, 3), F.lit(":"), zone.substr(4, 2)))
+        .otherwise(zone)
+    )
 
 
 def shown_instant(time: Column) -> Column:
     """A timestamp as ``date time[.ffffff]offset`` in the session zone."""
-    micros = F.date_format(time, "SSSSSS")
-    return F.concat(
-        F.date_format(time, "yyyy-MM-dd HH:mm:ss"),
-        F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
-        F.date_format(time, "xxx"),
-    )
+    return F.replace(F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"), F.lit(".000000"), F.lit(""))
 
 
 def _div(value: Column, size: int) -> Column:
     return ((value - value % size) / size).cast("bigint")
 
 
+def _digits(value: Column, size: int) -> Column:
+    return F.lpad(value.cast("string"), size, "0")
+
+
 def duration(micros: Column) -> Column:
     """Non-negative microseconds as ``[D day[s], ]H:MM:SS[.ffffff]``."""
-    days = _div(micros, _DAY)
-    rest = micros % _DAY
-    day_text = F.when(days == 0, "").otherwise(
-        F.concat(days.cast("string"), F.when(days == 1, " day, ").otherwise(" days, "))
-    )
-    fraction = F.when(rest % _SECOND == 0, "").otherwise(F.format_string(".%06d", rest % _SECOND))
-    clock = F.format_string(
-        "%d:%02d:%02d", _div(rest, _HOUR), _div(rest % _HOUR, _MINUTE), _div(rest % _MINUTE, _SECOND)
+    days, rest, fraction = _div(micros, _DAY), micros % _DAY, micros % _SECOND
+    return F.concat(
+        F.when(days == 0, "").when(days == 1, "1 day, ").otherwise(F.concat(days.cast("string"), F.lit(" days, "))),
+        _div(rest, _HOUR).cast("string"),
+        F.lit(":"),
+        _digits(_div(rest % _HOUR, _MINUTE), 2),
+        F.lit(":"),
+        _digits(_div(rest % _MINUTE, _SECOND), 2),
+        F.when(fraction == 0, "").otherwise(F.concat(F.lit("."), _digits(fraction, 6))),
     )
-    return F.concat(day_text, clock, fraction)
 
 
 def signed_duration(micros: Column) -> Column:

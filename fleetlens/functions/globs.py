@@ -111,6 +111,18 @@ def to_regex(pattern: str) -> str:
     return r"(?s)\A" + "".join(out) + r"\z"
 
 
+def longest_literal(pattern: str) -> str:
+    """The longest text every match of the glob must contain (may be empty)."""
+    runs, run = [""], ""
+    for token in _tokens(pattern):
+        if _is_class(token) or token in "*?":
+            run = ""
+        else:
+            run += token
+            runs.append(run)
+    return max(runs, key=len)
+
+
 def glob(column: Column, pattern: str) -> Column:
     """Predicate: the column matches the glob."""
     if not is_pattern(pattern):

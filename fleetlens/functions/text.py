@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the line breaks of a report (the set Python calls line boundaries).
+# The line breaks of a report (the set Python calls line boundaries),
+# as a pattern and, all but the plain newline, as single characters.
 LINE_BREAK = "\\r\\n|[\\n\\x0b\\x0c\\r\\x1c-\\x1e\\x85\\u2028\\u2029]"
+_RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 _SPACE = r"[\s\x1c-\x1f]"
 
 
@@ -16,9 +18,15 @@ def strip(column: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """Text cut into an array of lines; a final line break opens no new line."""
-    body = F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    """Text cut into an array of lines; a final line break opens no new line.
+
+    Most text only has plain newlines, and splitting at one fixed character is
+    several times faster than at a pattern.
+    """
+    rare = F.exists(F.split(F.lit(_RARE_BREAKS), ""), lambda char: (char != "") & text.contains(char))
+    cut = F.when(rare, F.split(text, LINE_BREAK)).otherwise(F.split(text, "\n"))
+    last_is_empty = (F.element_at(cut, -1) == "").cast("int")
+    return F.slice(cut, F.lit(1), F.size(cut) - last_is_empty)
 
 
 def base_name(path: Column) -> Column:
@@ -67,8 +75,8 @@ def only_if(condition: Column, *values: Column | str) -> Column:
 
 
 def strings(values) -> Column:
-    """A literal array<string>, possibly empty."""
-    return F.array(*[F.lit(value) for value in values]).cast("array<string>")
+    """A literal array<string>, possibly empty; the values hold no comma."""
+    return F.split(F.lit(",".join(values)), ",") if values else F.array().cast("array<string>")
 
 
 def python_bool(column: Column) -> Column:

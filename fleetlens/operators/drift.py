@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import instant, local_instant, shown, shown_instant, signed_duration
+from ..functions.clock import iso_local, iso_offset, iso_parts, shown_instant, signed_duration
 from ..functions.text import strip
 
 # The line format and the column titles of the drift report.
@@ -21,45 +21,65 @@ def clock_drift(probes: DataFrame) -> DataFrame:
     a time without an offset. Drift is null unless the outcome is ``ok``; it is
     positive when the host's clock is ahead.
     """
-    raw = strip(F.col("host_time_raw"))
-    engine = F.col("engine_time").cast("timestamp")
-    host = instant(raw)
-    micros = F.unix_micros(host) - F.unix_micros(engine)
-    outcome = (
-        F.when(host.isNotNull(), "ok").when(local_instant(raw).isNotNull(), "warn").otherwise("skipped")
-    )
-    return probes.select(
-        "probe_id",
-        "host",
-        host.alias("host_time"),
-        F.when(host.isNotNull(), shown(raw)).alias("host_time_text"),
-        engine.alias("engine_time"),
-        shown_instant(engine).alias("engine_time_text"),
-        micros.alias("drift_us"),
-        signed_duration(micros).alias("drift"),
-        outcome.alias("outcome"),
-    )
-
-
-def drift_lines(drift: DataFrame) -> DataFrame:
-    """The drift report's lines, without the header, in host order."""
-    line = F.format_string(
-        DRIFT_FORMAT, F.concat("host", F.lit(" ")), "host_time_text", "engine_time_text", "drift"
-    )
+    local, offset = F.col("_local"), F.col("_offset")
+    engine = F.col("engine_time")
+    # One projection per step, so that each step's result is computed once.
     return (
-        drift.filter(F.col("outcome") == "ok")
-        .select("host", "probe_id", line.alias("line"))
-        .orderBy("host", "probe_id")
+        probes.select(
+            "probe_id",
+            "host",
+            engine.cast("timestamp").alias("engine_time"),
+            iso_parts(strip(F.col("host_time_raw"))).alias("_parts"),
+        )
+        .select(
+            "probe_id",
+            "host",
+            "engine_time",
+            iso_local(F.col("_parts")).alias("_local"),
+            iso_offset(F.col("_parts")).alias("_offset"),
+        )
+        .select("*", F.try_to_timestamp(F.concat(local, offset)).alias("_time"))
+        .select("*", F.when(offset != "", F.unix_micros("_time") - F.unix_micros(engine)).alias("drift_us"))
+        .select(
+            "probe_id",
+            "host",
+            F.when(offset != "", F.col("_time")).alias("host_time"),
+            F.when(F.col("drift_us").isNotNull(), F.concat(local, offset)).alias("host_time_text"),
+            "engine_time",
+            shown_instant(engine).alias("engine_time_text"),
+            "drift_us",
+            signed_duration(F.col("drift_us")).alias("drift"),
+            F.when(F.col("_time").isNull(), "skipped")
+            .when(offset == "", "warn")
+            .otherwise("ok")
+            .alias("outcome"),
+        )
     )
 
 
 def drift_report(drift: DataFrame) -> DataFrame:
-    """The whole report: the header as row 0, then one line per probe in host order."""
+    """The drift report: the header as part 0, then one line per ``ok`` probe.
+
+    Lines are in host order. They are formatted after the sort, which runs over
+    the drift columns alone.
+    """
     header = drift.sparkSession.range(1).select(
         F.lit(0).alias("part"),
         F.lit(None).cast("string").alias("host"),
         F.lit(None).cast("bigint").alias("probe_id"),
-        F.lit(DRIFT_HEADER).alias("line"),
+        *[F.lit(title).alias(f"_{index}") for index, title in enumerate(DRIFT_TITLES)],
+    )
+    body = drift.filter(F.col("outcome") == "ok").select(
+        F.lit(1),
+        F.col("host").cast("string"),
+        F.col("probe_id").cast("bigint"),
+        F.concat("host", F.lit(" ")),
+        "host_time_text",
+        "engine_time_text",
+        "drift",
+    )
+    return (
+        header.union(body)
+        .orderBy("part", "host", "probe_id")
+        .select("part", "host", F.format_string(DRIFT_FORMAT, "_0", "_1", "_2", "_3").alias("line"))
     )
-    body = drift_lines(drift).select(F.lit(1), F.col("host").cast("string"), F.col("probe_id").cast("bigint"), "line")
-    return header.union(body).orderBy("part", "host", "probe_id").select("part", "host", "line")

@@ -12,37 +12,31 @@ COLUMNS = ["datacenter", "cluster_id", "cluster", "gluster_enabled", "address",
 _SPREAD = 1024
 
 
-def one_per_id(entities: DataFrame, key: str = "id") -> DataFrame:
-    """One row per id; a page that shifts under the reader may deliver an id twice."""
-    rest = [F.col(name) for name in entities.columns if name != key]
-    return entities.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*")
-
-
-def _spread(parent: Column, spread_by: Column) -> Column:
+def _spread(parent: str, spread_by: str) -> Column:
     """The parent id; without one, a key no parent has."""
-    nobody = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
-    return F.coalesce(parent, nobody)
+    return F.expr(f"coalesce({parent}, concat('\\0', pmod(xxhash64({spread_by}), {_SPREAD})))")
 
 
 def cluster_tree(datacenters: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Clusters with the name of their data center.
+    """Clusters with the name of their data center, one row per cluster id.
 
     No data center id means the bucket named "". An id that matches nothing
-    drops the cluster.
+    drops the cluster. A page that shifts under the reader may deliver an id
+    twice: the least row counts, for clusters and data centers alike.
     """
-    parents = one_per_id(datacenters.select("id", "name")).select(
-        F.col("id").alias("_parent"), F.col("name").alias("datacenter"), F.lit(True).alias("_found")
-    )
-    children = one_per_id(clusters.select("id", "name", "gluster_enabled", "data_center_id"))
+    parents = datacenters.selectExpr("id as _parent", "name as datacenter", "true as _found")
+    row = "struct(name, gluster_enabled, data_center_id, _found, datacenter)"
     return (
-        children.withColumn("_parent", _spread(F.col("data_center_id"), F.col("id")))
+        clusters.withColumn("_parent", _spread("data_center_id", "id"))
         .join(parents, "_parent", "left")
-        .filter(F.col("_found") | F.col("data_center_id").isNull())
-        .select(
-            F.when(F.col("_found"), F.col("datacenter")).otherwise("").alias("datacenter"),
-            F.col("id").alias("cluster_id"),
-            F.col("name").alias("cluster"),
-            F.coalesce("gluster_enabled", F.lit(False)).alias("gluster_enabled"),
+        .groupBy("id")
+        .agg(F.expr(f"min({row})").alias("_row"))
+        .filter("_row._found or _row.data_center_id is null")
+        .selectExpr(
+            "if(_row._found, _row.datacenter, '') as datacenter",
+            "id as cluster_id",
+            "_row.name as cluster",
+            "coalesce(_row.gluster_enabled, false) as gluster_enabled",
         )
     )
 
@@ -54,22 +48,24 @@ def inventory(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) ->
     both "". Hosts whose cluster (or whose cluster's data center) is unknown
     are dropped; see :func:`orphans`. Clusters without hosts give no row.
     """
-    tree = cluster_tree(datacenters, clusters).withColumn("_found", F.lit(True))
+    tree = cluster_tree(datacenters, clusters).selectExpr(
+        "cluster_id as _key", "datacenter", "cluster", "gluster_enabled", "true as _found"
+    )
     placed = hosts.select(
         "address",
         F.col("cluster_id").alias("_cluster"),
-        _spread(F.col("cluster_id"), F.col("address")).alias("_key"),
-        F.col("spm_status").eqNullSafe("spm").alias("is_spm"),
-        F.col("status").eqNullSafe("up").alias("is_up"),
+        _spread("cluster_id", "address").alias("_key"),
+        F.expr("spm_status <=> 'spm'").alias("is_spm"),
+        F.expr("status <=> 'up'").alias("is_up"),
     )
     return (
-        placed.join(tree.withColumnRenamed("cluster_id", "_key"), "_key", "left")
-        .filter(F.col("_found") | F.col("_cluster").isNull())
-        .select(
-            F.when(F.col("_found"), F.col("datacenter")).otherwise("").alias("datacenter"),
-            F.coalesce("_cluster", F.lit("")).alias("cluster_id"),
-            F.when(F.col("_found"), F.col("cluster")).otherwise("").alias("cluster"),
-            F.coalesce("gluster_enabled", F.lit(False)).alias("gluster_enabled"),
+        placed.join(tree, "_key", "left")
+        .filter("_found or _cluster is null")
+        .selectExpr(
+            "if(_found, datacenter, '') as datacenter",
+            "coalesce(_cluster, '') as cluster_id",
+            "if(_found, cluster, '') as cluster",
+            "coalesce(gluster_enabled, false) as gluster_enabled",
             "address",
             "is_spm",
             "is_up",
@@ -82,7 +78,7 @@ def orphans(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) -> Da
     """Hosts the inventory leaves out, with the cluster id they name."""
     tree = cluster_tree(datacenters, clusters).select("cluster_id")
     return (
-        hosts.filter(F.col("cluster_id").isNotNull())
+        hosts.filter("cluster_id is not null")
         .join(tree, "cluster_id", "left_anti")
         .select("address", "cluster_id")
         .distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def redact(text: Column, keys: Iterable[str], include_sensitive: bool = False) -
 
     A value is what follows ``key =`` or ``key:`` on the line: a quoted string
     with its quotes, or everything up to the next white space. The key must stand
-    alone, so ``token`` does not touch ``broken``.
+    alone, so ``token`` does not touch ``broken``. Text that names no key at all
+    skips the pattern.
     """
     keys = list(keys)
     if include_sensitive or not keys:
@@ -32,7 +34,8 @@ def redact(text: Column, keys: Iterable[str], include_sensitive: bool = False) -
         rf"(^|[^0-9A-Za-z_])({names})([ \t]*[=:][ \t]*)"
         r"(\"[^\"\r\n]*\"|'[^'\r\n]*'|[^ \t\r\n]+)"
     )
-    return F.regexp_replace(text, pattern, "$1$2$3" + re.sub(r"([\\$])", r"\\\1", MASK))
+    held = reduce(lambda left, right: left | right, (text.contains(key) for key in keys))
+    return F.when(held, F.regexp_replace(text, pattern, f"$1$2$3{MASK}")).otherwise(text)
 
 
 def redact_rows(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.globs import glob
+from ..functions.globs import glob, longest_literal
 from ..functions.text import absolute, after, base_name, lines, strip
 
 # The lines that name a report's archive and its checksum.
@@ -27,9 +27,13 @@ def report_lines(reports: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def first_line(text: Column, matches) -> Column:
-    """The first line of a text that fulfils the predicate; null without one."""
-    return F.get(F.filter(lines(text), matches), F.lit(0))
+def first_line(text: Column, pattern: str) -> Column:
+    """The first line of a text that matches the glob; null without one.
+
+    Text without the glob's longest literal is not cut into lines at all.
+    """
+    found = F.get(F.filter(lines(text), lambda line: glob(line, pattern)), F.lit(0))
+    return F.when(text.contains(longest_literal(pattern)), found)
 
 
 def first_match(line_table: DataFrame, predicate: Column, by: str = "report_id") -> DataFrame:
@@ -61,8 +65,8 @@ def report_refs(reports: DataFrame, folder: Column | str, text: str = "text") ->
     rest = [name for name in reports.columns if name != text]
     return reports.select(
         *rest,
-        first_line(F.col(text), lambda line: glob(line, ARCHIVE_LINE)).alias("_archive"),
-        first_line(F.col(text), lambda line: glob(line, CHECKSUM_LINE)).alias("_checksum"),
+        first_line(F.col(text), ARCHIVE_LINE).alias("_archive"),
+        first_line(F.col(text), CHECKSUM_LINE).alias("_checksum"),
     ).select(*rest, *_refs(F.col("_archive"), F.col("_checksum"), folder))
 
 

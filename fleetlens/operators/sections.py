@@ -53,17 +53,20 @@ def section_lookup(
     A projection over whole texts: no shuffle, and fit for streams.
     """
     rest = [name for name in files.columns if name != text]
-    marked = files.select(*rest, lines(F.col(text)).alias("_lines")).withColumn(
-        "_marker",
-        F.coalesce(F.array_position(F.transform("_lines", lambda line: line.contains(marker)), True), F.lit(0)),
-    )
-    size = F.size("_lines")
-    tail = F.when(
-        F.col("_marker") > 0, F.slice("_lines", F.col("_marker") + 1, size - F.col("_marker").cast("int"))
-    ).otherwise(F.array().cast("array<string>"))
-    head = F.when(F.col("_marker") > 0, F.slice("_lines", F.lit(1), F.col("_marker") - 1)).otherwise(
-        F.col("_lines")
+    # Only text that can hold an answer is cut into lines.
+    relevant = F.col(text).contains(marker)
+    if user is not None:
+        relevant = relevant | F.col(text).contains(user)
+    marked = files.select(*rest, F.when(relevant, lines(F.col(text))).alias("_lines")).select(
+        *rest,
+        "_lines",
+        F.array_position(F.transform("_lines", lambda line: line.contains(marker)), True)
+        .cast("int")
+        .alias("_marker"),
     )
+    at = F.col("_marker")
+    tail = F.when(at > 0, F.slice("_lines", at + 1, F.size("_lines") - at))
+    head = F.when(at > 0, F.slice("_lines", F.lit(1), at - 1)).otherwise(F.col("_lines"))
     entry = F.get(F.filter(tail, lambda line: _is_entry(line, marker)), F.lit(0))
     early = F.get(
         F.filter(head, lambda line: _is_entry(line, marker) & _of_user(line, user)), F.lit(0)

@@ -80,6 +80,36 @@ def select_wanted(inventory: DataFrame, wanted: DataFrame) -> DataFrame:
     return inventory.join(names, "address", "left_semi")
 
 
+def _names(wanted: DataFrame) -> DataFrame:
+    return wanted.select("name").filter("name is not null").distinct()
+
+
+def _addresses(inventory: DataFrame) -> DataFrame:
+    return inventory.select("address").distinct()
+
+
+def _by_name(missing: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Missing names whose ip is an address."""
+    return (
+        aliases.select("name", F.col("ip").alias("address"))
+        .join(missing, "name", "left_semi")
+        .join(addresses, "address", "left_semi")
+        .select("name", "address")
+        .distinct()
+    )
+
+
+def _by_address(names: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Wanted names that are the ip of an address."""
+    return (
+        aliases.select(F.col("ip").alias("name"), F.col("name").alias("address"))
+        .join(names, "name", "left_semi")
+        .join(addresses, "address", "left_semi")
+        .select("name", "address")
+        .distinct()
+    )
+
+
 def resolve_names(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame) -> DataFrame:
     """How each wanted name is found: distinct (name, address, how).
 
@@ -87,28 +117,15 @@ def resolve_names(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame) -
     ``address``: the ip of an address is a wanted name; tried only while some
     name is still not found, and then for every wanted name.
     """
-    names = wanted.select("name").filter(F.col("name").isNotNull()).distinct()
-    addresses = inventory.select("address").distinct()
-    known = aliases.select("name", "ip").distinct()
-
-    direct = names.join(addresses, names["name"] == addresses["address"])
-    missing = names.join(addresses, names["name"] == addresses["address"], "left_anti")
-    by_name = (
-        missing.join(known, "name")
-        .join(addresses, F.col("ip") == F.col("address"))
-        .select("name", "address")
-        .distinct()
-    )
+    names, addresses = _names(wanted), _addresses(inventory)
+    known = addresses.withColumnRenamed("address", "name")
+    direct = names.join(known, "name", "left_semi")
+    missing = names.join(known, "name", "left_anti")
+    by_name = _by_name(missing, addresses, aliases)
     left = missing.join(by_name, "name", "left_anti")
-    by_address = (
-        known.select(F.col("name").alias("address"), F.col("ip").alias("name"))
-        .join(addresses, "address", "left_semi")
-        .join(names, "name", "left_semi")
-        .filter(left.exists())
-        .select("name", "address")
-    )
+    by_address = _by_address(names, addresses, aliases).filter(left.exists())
     return (
-        direct.select("name", "address", F.lit("direct").alias("how"))
+        direct.select("name", F.col("name").alias("address"), F.lit("direct").alias("how"))
         .union(by_name.select("name", "address", F.lit("name")))
         .union(by_address.select("name", "address", F.lit("address")))
     )
@@ -116,12 +133,13 @@ def resolve_names(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame) -
 
 def unknown_hosts(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Wanted names found neither directly nor through the alias table."""
-    names = wanted.select("name").filter(F.col("name").isNotNull()).distinct()
+    addresses = _addresses(inventory)
+    missing = _names(wanted).join(addresses.withColumnRenamed("address", "name"), "name", "left_anti")
     if aliases is None:
-        found = inventory.select(F.col("address").alias("name")).distinct()
-    else:
-        found = resolve_names(inventory, wanted, aliases).select("name").distinct()
-    return names.join(found, "name", "left_anti")
+        return missing
+    # While a name is unknown, both directions are tried, so no further condition is needed.
+    found = _by_name(missing, addresses, aliases).union(_by_address(missing, addresses, aliases))
+    return missing.join(found.select("name"), "name", "left_anti")
 
 
 def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address") -> DataFrame:

@@ -94,7 +94,8 @@ def parse_pairs(files: DataFrame) -> DataFrame:
     parts = F.split("_line", "=", 2)
     value = strip(F.get(parts, F.lit(1)))
     return (
-        files.select(*rest, F.posexplode(lines(F.col("text"))).alias("_at", "_line"))
+        files.filter(F.col("text").contains("="))
+        .select(*rest, F.posexplode(lines(F.col("text"))).alias("_at", "_line"))
         .filter(F.col("_line").contains("="))
         .select(
             *rest,
