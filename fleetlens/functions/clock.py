@@ -1,48 +1,39 @@
-"""Clock text, instants and signed differences.
-
-``iso_parts`` runs the pattern once per value; the other ISO helpers take its
-result. Keep it in a projection of its own, so it is computed once per row.
-"""
+"""Clock text, instants and signed differences."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: date, time, optional fraction, optional offset of an ISO time.
-ISO_TIME = (
-    r"\A(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2})?)(?:[.,](\d{1,6})\d*)?"
-    r"\s*(Z|[+-]\d{2}(?::?\d{2})?)?\z"
-)
-_CUT = "\x01"
+# An ISO time without and with an offset, white space around it aside.
+ISO_LOCAL = r"\A\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*\z"
+ISO_TIME = r"\A\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?))\s*\z"
 _DAY = 86_400_000_000
 _HOUR = 3_600_000_000
 _MINUTE = 60_000_000
 _SECOND = 1_000_000
 
 
-def iso_parts(text: Column) -> Column:
-    """An ISO time as array(date, time, fraction, offset); null for any other text."""
-    parts = F.split(F.regexp_replace(text, ISO_TIME, _CUT.join(("$1", "$2", "$3", "$4"))), _CUT)
-    return F.when(text.rlike(ISO_TIME), parts)
+def iso_time(text: Column) -> Column:
+    """The text stripped when it is an ISO time with offset, else empty."""
+    return F.regexp_extract(text, ISO_TIME, 1)
 
 
-def iso_local(parts: Column) -> Column:
-    """``date time[.ffffff]`` as the clock showed it."""
-    seconds = F.when(F.length(parts[1]) == 5, ":00").otherwise("")
-    digits = F.rpad(parts[2], 6, "0")
-    fraction = F.when(digits == "000000", "").otherwise(F.concat(F.lit("."), digits))
-    return F.concat(parts[0], F.lit(" "), parts[1], seconds, fraction)
+def lacks_offset(text: Column) -> Column:
+    """The text is a valid ISO time but for its missing offset."""
+    return F.try_to_timestamp(F.regexp_extract(text, ISO_LOCAL, 1)).isNotNull()
 
 
-def iso_offset(parts: Column) -> Column:
-    """The offset as ``+HH:MM``; empty when there is none."""
-    zone = parts[3]
-    return (
-        F.when(zone == "Z", "+00:00")
-        .when(F.length(zone) == 3, F.concat(zone, F.lit(":00")))
-        .when(F.length(zone) == 5, F.concat(zone.substr(1, 3), F.lit(":"), zone.substr(4, 2)))
-        .otherwise(zone)
+def shown_iso(time: Column) -> Column:
+    """An ISO time with offset as ``date time[.ffffff]+HH:MM``, as its own clock showed it."""
+    local = time.try_cast("timestamp_ntz").cast("string")
+    hours = F.regexp_extract(time, r"([+-]\d{2})(?::?(\d{2}))?\z", 1)
+    minutes = F.regexp_extract(time, r"([+-]\d{2})(?::?(\d{2}))?\z", 2)
+    return F.concat(
+        F.when(F.length(local) > 19, F.rpad(local, 26, "0")).otherwise(local),
+        F.when(time.endswith("Z"), "+00:00").otherwise(
+            F.concat(hours, F.lit(":"), F.when(minutes == "", "00").otherwise(minutes))
+        ),
     )
 
 

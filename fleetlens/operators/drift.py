@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import iso_local, iso_offset, iso_parts, shown_instant, signed_duration
-from ..functions.text import strip
+from ..functions.clock import iso_time, lacks_offset, shown_instant, shown_iso, signed_duration
 
 # The line format and the column titles of the drift report.
 DRIFT_FORMAT = "%-17s : %-33s : %-33s : %-35s"
@@ -21,38 +20,23 @@ def clock_drift(probes: DataFrame) -> DataFrame:
     a time without an offset. Drift is null unless the outcome is ``ok``; it is
     positive when the host's clock is ahead.
     """
-    local, offset = F.col("_local"), F.col("_offset")
-    engine = F.col("engine_time")
-    # One projection per step, so that each step's result is computed once.
+    raw, time, engine = F.col("host_time_raw"), F.col("host_time"), F.col("engine_time")
+    # One projection per step, so that each step's result is computed once. The
+    # instant refers to the text only once, which keeps filters on it cheap.
     return (
-        probes.select(
-            "probe_id",
-            "host",
-            engine.cast("timestamp").alias("engine_time"),
-            iso_parts(strip(F.col("host_time_raw"))).alias("_parts"),
-        )
-        .select(
-            "probe_id",
-            "host",
-            "engine_time",
-            iso_local(F.col("_parts")).alias("_local"),
-            iso_offset(F.col("_parts")).alias("_offset"),
-        )
-        .select("*", F.try_to_timestamp(F.concat(local, offset)).alias("_time"))
-        .select("*", F.when(offset != "", F.unix_micros("_time") - F.unix_micros(engine)).alias("drift_us"))
+        probes.select("probe_id", "host", raw, engine.cast("timestamp"), iso_time(raw).alias("_iso"))
+        .select("*", F.try_to_timestamp("_iso").alias("host_time"))
+        .select("*", (F.unix_micros(time) - F.unix_micros(engine)).alias("drift_us"))
         .select(
             "probe_id",
             "host",
-            F.when(offset != "", F.col("_time")).alias("host_time"),
-            F.when(F.col("drift_us").isNotNull(), F.concat(local, offset)).alias("host_time_text"),
+            "host_time",
+            F.when(time.isNotNull(), shown_iso(F.col("_iso"))).alias("host_time_text"),
             "engine_time",
             shown_instant(engine).alias("engine_time_text"),
             "drift_us",
             signed_duration(F.col("drift_us")).alias("drift"),
-            F.when(F.col("_time").isNull(), "skipped")
-            .when(offset == "", "warn")
-            .otherwise("ok")
-            .alias("outcome"),
+            F.when(time.isNotNull(), "ok").when(lacks_offset(raw), "warn").otherwise("skipped").alias("outcome"),
         )
     )
 
@@ -69,7 +53,7 @@ def drift_report(drift: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("probe_id"),
         *[F.lit(title).alias(f"_{index}") for index, title in enumerate(DRIFT_TITLES)],
     )
-    body = drift.filter(F.col("outcome") == "ok").select(
+    body = drift.filter(F.col("host_time").isNotNull()).select(
         F.lit(1),
         F.col("host").cast("string"),
         F.col("probe_id").cast("bigint"),
