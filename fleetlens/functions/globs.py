@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 WILDCARDS = "*[]?"
 
 # One token of a glob: a closed class, or any single character.
-_TOKEN = r"(?s)\[!?\]?[^\]]*\]|."
+_TOKEN = r"(?s)\[!?+\]?+[^\]]*\]|."
 # One item inside a class: a range, or any single character.
 _ITEM = r"(?s).-.|."
 _ESCAPE = re.compile(r"([^0-9A-Za-z\u0080-\U0010ffff])")
