@@ -123,7 +123,8 @@ def resolve_names(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame) -
     missing = names.join(known, "name", "left_anti")
     by_name = _by_name(missing, addresses, aliases)
     left = missing.join(by_name, "name", "left_anti")
-    by_address = _by_address(names, addresses, aliases).filter(left.exists())
+    some_left = left.limit(1).agg((F.count("*") > 0).alias("some")).scalar()
+    by_address = _by_address(names, addresses, aliases).filter(some_left)
     return (
         direct.select("name", F.col("name").alias("address"), F.lit("direct").alias("how"))
         .union(by_name.select("name", "address", F.lit("name")))

@@ -41,11 +41,10 @@ def read_collected(spark: SparkSession, path: str) -> DataFrame:
     """Files of finished collections: (bundle, path, length, content).
 
     The bundle is the first folder below ``path``. Content is only read by jobs
-    that use it.
+    that use it. Spark's file sources pass over empty files, so those are not
+    listed; a file over 2 GiB fails the job that reads its content.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     below = F.regexp_extract("path", rf"\A.*?{_quoted(path)}/([^/]+)/", 1)
     return files.select(below.alias("bundle"), "path", "length", "content")
 

@@ -62,7 +62,7 @@ def alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alias_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aliases that also lead from some addresses to a wanted name."""
     back = table(spark, sf_dir, "customer").filter("c_custkey % 500 = 7")
-    return alias(spark, sf_dir).union(back.selectExpr("c_name", "'no-such-host'"))
+    return alias(spark, sf_dir).union(back.selectExpr("c_name", "concat('Supplier#', lpad(cast(c_custkey % 60 as string), 9, '0'))"))
 
 
 def wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +266,8 @@ SQL = {
     "v_alias": "select s_name as name, 'Customer#' || lpad(cast(s_suppkey as varchar), 9, '0') ip from supplier",
     "v_alias_both": """
         select * from v_alias union all
-        select c_name, 'no-such-host' from customer where c_custkey % 500 = 7""",
+        select c_name, 'Supplier#' || lpad(cast(c_custkey % 60 as varchar), 9, '0')
+        from customer where c_custkey % 500 = 7""",
     "v_wanted": """
         select s_name as name from supplier
         union select c_name from customer where c_custkey % 250 = 3
