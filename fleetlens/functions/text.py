@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The line breaks of a report (the set Python calls line boundaries),
@@ -17,16 +19,34 @@ def strip(column: Column) -> Column:
     return F.regexp_replace(column, rf"(?U)\A{_SPACE}+|{_SPACE}+\z", "")
 
 
+def is_blank(column: Column) -> Column:
+    """True for text of white space alone, or none."""
+    return ~column.rlike(rf"(?U)[^{_SPACE[1:]}")
+
+
 def lines(text: Column) -> Column:
     """Text cut into an array of lines; a final line break opens no new line.
 
     Most text only has plain newlines, and splitting at one fixed character is
-    several times faster than at a pattern.
+    several times faster than at a pattern. Put this in a projection of its own:
+    a generator or a lambda around it may evaluate it more than once.
     """
-    rare = F.exists(F.split(F.lit(_RARE_BREAKS), ""), lambda char: (char != "") & text.contains(char))
-    cut = F.when(rare, F.split(text, LINE_BREAK)).otherwise(F.split(text, "\n"))
-    last_is_empty = (F.element_at(cut, -1) == "").cast("int")
-    return F.slice(cut, F.lit(1), F.size(cut) - last_is_empty)
+    rare = reduce(lambda left, right: left | right, (text.contains(char) for char in _RARE_BREAKS))
+    plain = F.when(text.endswith("\n"), text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
+    return (
+        F.when(rare, F.split(F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK))
+        .when(text == "", F.array().cast("array<string>"))
+        .otherwise(F.split(plain, "\n"))
+    )
+
+
+def explode_lines(df: DataFrame, text: str, line: str, number: str, first: int = 1) -> DataFrame:
+    """One row per line of a text column, numbered; the other columns are kept."""
+    rest = [name for name in df.columns if name != text]
+    cut = df.select(*rest, lines(F.col(text)).alias("_lines"))
+    return cut.select(*rest, F.posexplode("_lines").alias("_at", line)).select(
+        *rest, (F.col("_at") + first).alias(number), line
+    )
 
 
 def base_name(path: Column) -> Column:

@@ -33,3 +33,15 @@ def list_hosts(selected: DataFrame) -> DataFrame:
     return selected.orderBy("address", "datacenter", "cluster", "cluster_id").select(
         "datacenter", "cluster", "address", "is_spm", "is_up", listing_line().alias("line")
     )
+
+
+def listing_report(selected: DataFrame) -> DataFrame:
+    """The listing as it is printed: titles as part 0, then the hosts in order."""
+    header = selected.sparkSession.range(1).select(
+        F.lit(0).alias("part"),
+        *[F.lit(None).cast("string").alias(name) for name in ("address", "datacenter", "cluster", "cluster_id")],
+        F.lit(LISTING_HEADER).alias("line"),
+    )
+    body = selected.select(F.lit(1), "address", "datacenter", "cluster", "cluster_id", listing_line())
+    order = ["part", "address", "datacenter", "cluster", "cluster_id"]
+    return header.union(body).orderBy(*order).select("part", "address", "line")

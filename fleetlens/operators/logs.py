@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lines, strings
+from ..functions.text import explode_lines, strings
 
 # Log levels and their ranks.
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
@@ -44,10 +44,7 @@ def parse_log_lines(rows: DataFrame, column: str = "line") -> DataFrame:
 
 def message_lines(records: DataFrame, column: str = "message") -> DataFrame:
     """One record per line of a message, numbered from 1."""
-    rest = [name for name in records.columns if name != column]
-    return records.select(*rest, F.posexplode(lines(F.col(column))).alias("_at", column)).select(
-        *rest, (F.col("_at") + 1).alias("part"), column
-    )
+    return explode_lines(records, column, column, "part")
 
 
 def routes(minimum: str = "INFO", quiet: bool = False, log_file: bool = True) -> Column:

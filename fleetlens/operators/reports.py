@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import glob, longest_literal
-from ..functions.text import absolute, after, base_name, lines, strip
+from ..functions.text import absolute, after, base_name, explode_lines, lines, strip
 
 # The lines that name a report's archive and its checksum.
 ARCHIVE_LINE = "*sosreport-*tar*"
@@ -21,19 +21,7 @@ CHECKSUM_LINE = "The sha256sum is*"
 
 def report_lines(reports: DataFrame, text: str = "text") -> DataFrame:
     """One row per line, numbered from 1 inside its report."""
-    rest = [name for name in reports.columns if name != text]
-    return reports.select(*rest, F.posexplode(lines(F.col(text))).alias("_at", "line")).select(
-        *rest, (F.col("_at") + 1).alias("line_no"), "line"
-    )
-
-
-def first_line(text: Column, pattern: str) -> Column:
-    """The first line of a text that matches the glob; null without one.
-
-    Text without the glob's longest literal is not cut into lines at all.
-    """
-    found = F.get(F.filter(lines(text), lambda line: glob(line, pattern)), F.lit(0))
-    return F.when(text.contains(longest_literal(pattern)), found)
+    return explode_lines(reports, text, "line", "line_no")
 
 
 def first_match(line_table: DataFrame, predicate: Column, by: str = "report_id") -> DataFrame:
@@ -63,11 +51,20 @@ def report_refs(reports: DataFrame, folder: Column | str, text: str = "text") ->
     taken to lie in the folder. Without an archive line the report is missing.
     """
     rest = [name for name in reports.columns if name != text]
-    return reports.select(
-        *rest,
-        first_line(F.col(text), ARCHIVE_LINE).alias("_archive"),
-        first_line(F.col(text), CHECKSUM_LINE).alias("_checksum"),
-    ).select(*rest, *_refs(F.col("_archive"), F.col("_checksum"), folder))
+
+    def first(pattern: str) -> Column:
+        literal = longest_literal(pattern)
+        return F.get(F.filter("_lines", lambda line: line.contains(literal) & glob(line, pattern)), F.lit(0))
+
+    # Text that holds neither pattern's literal is not cut into lines at all.
+    relevant = F.col(text).contains(longest_literal(ARCHIVE_LINE)) | F.col(text).contains(
+        longest_literal(CHECKSUM_LINE)
+    )
+    return (
+        reports.select(*rest, F.when(relevant, lines(F.col(text))).alias("_lines"))
+        .select(*rest, first(ARCHIVE_LINE).alias("_archive"), first(CHECKSUM_LINE).alias("_checksum"))
+        .select(*rest, *_refs(F.col("_archive"), F.col("_checksum"), folder))
+    )
 
 
 def report_refs_of_lines(line_table: DataFrame, folder: Column | str, by: str = "report_id") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lines, strip
+from ..functions.text import is_blank, lines, strip
 
 ADMIN_MARKER = "DB ADMIN credentials"  # fixed value
 
@@ -19,7 +19,7 @@ _SALTS = 32
 
 
 def _is_entry(line: Column, marker: str) -> Column:
-    return ~line.startswith("#") & ~line.contains(marker) & (strip(line) != "")
+    return ~line.startswith("#") & ~line.contains(marker) & ~is_blank(line)
 
 
 def _field(line: Column, index: int) -> Column:

@@ -60,17 +60,20 @@ def select_hosts(
 
     With an alias table (name, ip), literal hosts also match through it.
     """
-    patterns, literals = sift(hosts)
+    _, literals = sift(hosts)
     if aliases is None or not literals:
         chosen = inventory.filter(selection_predicate(hosts, datacenters, clusters))
     else:
-        narrowed = inventory.filter(selection_predicate(None, datacenters, clusters))
-        wanted = inventory.sparkSession.createDataFrame([(name,) for name in literals], "name string")
-        known = resolve_names(inventory, wanted, aliases).select("address")
-        if patterns:
-            wild = inventory.filter(any_glob(F.col("address"), patterns)).select("address")
-            known = known.union(wild)
-        chosen = narrowed.join(known.distinct(), "address", "left_semi")
+        one = inventory.sparkSession.range(0, 1, 1, 1)
+        wanted = one.select(F.explode(F.split(F.lit("\x00".join(literals)), "\x00")).alias("name"))
+        resolved = resolve_names(inventory, wanted, aliases).filter("how <> 'direct'")
+        hits = resolved.select("address", F.lit(True).alias("_hit")).distinct()
+        chosen = (
+            inventory.filter(selection_predicate(None, datacenters, clusters))
+            .join(hits, "address", "left")
+            .filter(hosts_predicate(hosts) | F.col("_hit"))
+            .select(*inventory.columns)
+        )
     return one_per_cluster(chosen) if per_cluster else chosen
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,40 +85,46 @@ def collection_plan(
         tier_of(F.col("version"), tiers).alias("tier"),
         F.coalesce(plugins.contains(CHAIN_REPORT), F.lit(False)).alias("_can_chain"),
     )
-    rows = with_chain_flag(selected).join(known, "address", "left")
-    tier = F.col("tier")
     size = _given(log_size)
-    gluster = only_if(F.col("gluster_enabled"), GLUSTER_REPORT)
-
-    def reports(item: Tier) -> Column:
-        parts = [strings(item.leading)]
-        if item.takes_logs:
-            parts.append(only_if(keeps_logs(size), LOGS_REPORT))
-        if item.takes_base:
-            parts += [strings(BASE_REPORTS), gluster]
-        return F.concat(*parts, strings(item.reports))
-
-    def option_text(item: Tier) -> Column:
-        return options(
-            _flag("--ticket-number", _given(ticket)),
-            _size_flag(size),
-            F.when(F.col("is_chain_host") & F.col("_can_chain") & F.lit(item.takes_chain), f"-k {CHAIN_REPORT}"),
-            item.options[0],
-            *item.options[1:],
-            F.when(~_capped(size) & F.lit(item.takes_all_logs), "--all-logs"),
-        )
 
-    return rows.select(
-        "datacenter",
-        "cluster",
-        "address",
-        "version",
-        "tier",
-        "is_chain_host",
-        by_tier(tier, tiers, lambda item: F.lit(item.command)).alias("command"),
-        F.array_join(F.array_distinct(by_tier(tier, tiers, reports)), ",").alias("reports"),
-        by_tier(tier, tiers, option_text).alias("options"),
-        F.when(tier.isNull(), "unsupported").otherwise("ok").alias("status"),
+    def joined(names: Callable[[Tier], Sequence[str]], separator: str) -> Column:
+        return F.nullif(by_tier("tier", tiers, lambda tier: separator.join(names(tier))), F.lit(""))
+
+    def allowed(name: str) -> Column:
+        return by_tier("tier", tiers, lambda tier: getattr(tier, name))
+
+    reports = F.concat_ws(
+        ",",
+        joined(lambda tier: tier.leading, ","),
+        F.when(allowed("takes_logs") & keeps_logs(size), LOGS_REPORT),
+        joined(lambda tier: BASE_REPORTS if tier.takes_base else (), ","),
+        F.when(allowed("takes_base") & F.col("gluster_enabled"), GLUSTER_REPORT),
+        joined(lambda tier: tier.reports, ","),
+    )
+    chain = allowed("takes_chain") & F.col("is_chain_host") & F.col("_can_chain")
+    option_text = options(
+        _flag("--ticket-number", _given(ticket)),
+        _size_flag(size),
+        F.when(chain, f"-k {CHAIN_REPORT}"),
+        joined(lambda tier: tier.options, " "),
+        F.when(allowed("takes_all_logs") & ~_capped(size), "--all-logs"),
+    )
+    supported = F.col("tier").isNotNull()
+    return (
+        with_chain_flag(selected)
+        .join(known, "address", "left")
+        .select(
+            "datacenter",
+            "cluster",
+            "address",
+            "version",
+            "tier",
+            "is_chain_host",
+            by_tier("tier", tiers, lambda tier: tier.command).alias("command"),
+            F.when(supported, reports).alias("reports"),
+            F.when(supported, option_text).alias("options"),
+            F.when(supported, "ok").otherwise("unsupported").alias("status"),
+        )
     )
 
 

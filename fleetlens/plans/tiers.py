@@ -6,7 +6,7 @@ here; ``product`` is the prefix they share, e.g. ``<product>_imageio``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -92,14 +92,15 @@ def tier_of(version: Column, tiers: Sequence[Tier]) -> Column:
     found = F.lit(None).cast("int")
     for tier in sorted(tiers, key=lambda tier: tier.minimum):
         major, minor = tier.minimum
-        reached = (key["major"] > major) | ((key["major"] == major) & (key["minor"] >= minor))
-        found = F.when(reached, tier.name).otherwise(found)
+        found = F.when(key >= F.struct(F.lit(major), F.lit(minor)), tier.name).otherwise(found)
     return found
 
 
-def by_tier(tier: Column, tiers: Sequence[Tier], value) -> Column:
-    """``value(tier)`` as a column, for the tier each row is in."""
-    out = F.lit(None)
-    for item in tiers:
-        out = F.when(tier == item.name, value(item)).otherwise(out)
-    return out
+def by_tier(column: str, tiers: Sequence[Tier], value: Callable[[Tier], str | bool]) -> Column:
+    """A fixed value per tier, looked up by the tier number in a column."""
+
+    def literal(item: str | bool) -> str:
+        return str(item).lower() if isinstance(item, bool) else "'" + item.replace("'", "\\'") + "'"
+
+    cases = " ".join(f"when {tier.name} then {literal(value(tier))}" for tier in tiers)
+    return F.expr(f"case {column} {cases} end")

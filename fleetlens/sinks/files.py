@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.bundle import host_files
 from ..operators.drift import drift_report
-from ..operators.listing import list_hosts
+from ..operators.listing import listing_report
 
 
 def write_drift_report(drift: DataFrame, path: str) -> None:
@@ -16,8 +16,8 @@ def write_drift_report(drift: DataFrame, path: str) -> None:
 
 
 def write_listing(selected: DataFrame, path: str) -> None:
-    """The host listing as text, in sorted part files."""
-    list_hosts(selected).select("line").write.mode("overwrite").text(path)
+    """The host listing as text, titles first, in sorted part files."""
+    listing_report(selected).select("line").write.mode("overwrite").text(path)
 
 
 def write_host_files(reports: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_BREAK, lines, strip
+from ..functions.text import LINE_BREAK, explode_lines, is_blank, lines, strip
 from ..operators.settings import DEFAULTS, DROP_IN, MAIN_FILE
 
 DEFAULT_SECTION = "DEFAULT"  # fixed value: its entries hold in every section
@@ -31,7 +31,7 @@ def _entries(body: Column) -> Column:
     breaks = f"(?:{LINE_BREAK})"
     no_comments = F.regexp_replace(body, rf"(?:\A|(?<={breaks}))[ \t]*[#;][^\n\r]*", "")
     joined = F.regexp_replace(no_comments, rf"(?:{breaks}[ \t]*)*{breaks}[ \t]+(?=\S)", _JOINED)
-    return F.filter(lines(joined), lambda line: strip(line) != "")
+    return F.filter(lines(joined), lambda line: ~is_blank(line))
 
 
 def parse_section(files: DataFrame, section: str) -> DataFrame:
@@ -94,8 +94,7 @@ def parse_pairs(files: DataFrame) -> DataFrame:
     parts = F.split("_line", "=", 2)
     value = strip(F.get(parts, F.lit(1)))
     return (
-        files.filter(F.col("text").contains("="))
-        .select(*rest, F.posexplode(lines(F.col("text"))).alias("_at", "_line"))
+        explode_lines(files.filter(F.col("text").contains("=")), "text", "_line", "_at", first=0)
         .filter(F.col("_line").contains("="))
         .select(
             *rest,
@@ -122,8 +121,7 @@ def read_service_settings(spark: SparkSession, paths: Sequence[str], run_id: str
         parts = F.split("_line", "=", 2)
         value = F.regexp_replace(strip(F.get(parts, F.lit(1))), r"""\A(["'])(.*)\1\z""", "$2")
         return (
-            read_files(spark, path)
-            .select("file", F.posexplode(lines(F.col("text"))).alias("_at", "_line"))
+            explode_lines(read_files(spark, path), "text", "_line", "_at", first=0)
             .filter(F.col("_line").contains("=") & ~strip(F.col("_line")).startswith("#"))
             .select(
                 F.lit(run_id).alias("run_id"),

@@ -1,8 +1,9 @@
 import random
 
 from fleetlens.operators.inventory import inventory, orphans
-from fleetlens.operators.listing import LISTING_HEADER, list_hosts
+from fleetlens.operators.listing import LISTING_HEADER, list_hosts, listing_report
 from fleetlens.operators.paging import page, page_after, with_page_number
+from fleetlens.sinks.files import write_listing
 from fleetlens.sources.entities import CLUSTER, DATACENTER, HOST, load_inventory
 
 DCS = [("d1", "East"), ("d2", "West"), ("d1", "East")]
@@ -82,11 +83,15 @@ def test_hot_cluster_and_missing_parents(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_listing(rows):
+def test_listing(rows, spark, tmp_path):
     lines = [row.line for row in list_hosts(inventory(*_tables(rows))).collect()]
     assert lines[0] == "%-20s | %-20s | %-20s | %-7s | %s" % ("East", "Prod", "h1", "True", "True")
     assert [line.split(" | ")[2].strip() for line in lines] == ["h1", "h2", "h3", "h4", "h5", "h8"]
     assert LISTING_HEADER.startswith("Data Center          | Cluster ")
+    printed = [row.line for row in listing_report(inventory(*_tables(rows))).collect()]
+    assert printed == [LISTING_HEADER, *lines]
+    write_listing(inventory(*_tables(rows)), str(tmp_path / "out"))
+    assert sorted(row.value for row in spark.read.text(str(tmp_path / "out")).collect()) == sorted(printed)
 
 
 def test_pages(spark):

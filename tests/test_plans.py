@@ -20,6 +20,13 @@ def test_tiers(rows, version, tier):
     assert rows("v string", (version,)).select(tier_of(F.col("v"), TIERS)).first()[0] == tier
 
 
+def test_no_report_is_named_twice():
+    for tier in TIERS:
+        names = [*tier.leading, *(BASE_REPORTS if tier.takes_base else ()), *tier.reports]
+        assert len(names) == len(set(names))
+        assert not any("," in name for name in names)
+
+
 @pytest.fixture
 def plan(rows):
     hosts = [
