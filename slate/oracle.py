@@ -315,7 +315,7 @@ ORACLE: dict[str, str] = {
         from (select distinct run_id, key from v_run_setting) k
         left join v_run_effective e on e.run_id = k.run_id and e.key = k.key"""),
     "key_values": with_views("""
-        select report_id, line_no - 1 seq, substr(line, 1, instr(line, '=') - 1) as key,
+        select report_id, cast(line_no - 1 as bigint) seq, substr(line, 1, instr(line, '=') - 1) as key,
             case when length(v) > 2 then substr(v, 2, length(v) - 2) else '' end as value
         from (select *, regexp_replace(substr(line, instr(line, '=') + 1), '^\\s+|\\s+$', '', 'g') v
             from v_report_line where instr(line, '=') > 0)"""),
@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
         union all select seq, level, 'stderr' from v_log where severity >= 40
         union all select seq, level, 'stdout' from v_log where severity >= 20 and severity < 40"""),
     "message_lines": with_views("""
-        select seq, unnest(range(1, len(parts) + 1)) part, unnest(parts) message
+        select seq, cast(unnest(range(1, len(parts) + 1)) as int) part, unnest(parts) message
         from (select seq, string_split(regexp_replace(replace(message, chr(13) || chr(10), chr(10)), '\\n$', ''),
             chr(10)) parts from v_log_message)"""),
 }

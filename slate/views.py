@@ -284,7 +284,7 @@ SQL = {
         from v_inventory group by datacenter""",
     "v_report": "select doc_id report_id, text from documents",
     "v_report_line": """
-        select report_id, unnest(range(1, len(parts) + 1)) line_no, unnest(parts) line
+        select report_id, cast(unnest(range(1, len(parts) + 1)) as int) line_no, unnest(parts) line
         from (select report_id, string_split(text, chr(10)) parts from v_report)""",
     "v_output": """
         select doc_id report_id, text ||
@@ -296,7 +296,7 @@ SQL = {
                 when 1 then chr(10) || 'The sha256sum is lost' else '' end as text
         from documents""",
     "v_output_line": """
-        select report_id, unnest(range(1, len(parts) + 1)) line_no, unnest(parts) line
+        select report_id, cast(unnest(range(1, len(parts) + 1)) as int) line_no, unnest(parts) line
         from (select report_id, string_split(text, chr(10)) parts from v_output)""",
     "v_clock": """
         select event_id probe_id, 'user_' || user_id host,
