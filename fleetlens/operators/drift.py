@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import iso_time, lacks_offset, shown_instant, shown_iso, signed_duration
@@ -13,6 +13,21 @@ DRIFT_TITLES = ("Node", "Node Time", "Engine Time", "Clock Drift Between Engine
 DRIFT_HEADER = DRIFT_FORMAT % DRIFT_TITLES
 
 
+def _parsed(probes: DataFrame) -> DataFrame:
+    """Probes with the host's instant; null where its text is no time with offset."""
+    return probes.select(
+        "probe_id",
+        "host",
+        "host_time_raw",
+        F.col("engine_time").cast("timestamp"),
+        iso_time(F.col("host_time_raw")).alias("_iso"),
+    ).select("*", F.try_to_timestamp("_iso").alias("host_time"))
+
+
+def _drift_us() -> Column:
+    return F.unix_micros("host_time") - F.unix_micros("engine_time")
+
+
 def clock_drift(probes: DataFrame) -> DataFrame:
     """One row per probe (probe_id, host, host_time_raw, engine_time), row-wise.
 
@@ -20,50 +35,57 @@ def clock_drift(probes: DataFrame) -> DataFrame:
     a time without an offset. Drift is null unless the outcome is ``ok``; it is
     positive when the host's clock is ahead.
     """
-    raw, time, engine = F.col("host_time_raw"), F.col("host_time"), F.col("engine_time")
-    # One projection per step, so that each step's result is computed once. The
-    # instant refers to the text only once, which keeps filters on it cheap.
+    ok = F.col("host_time").isNotNull()
+    # One projection per step, so that each step's result is computed once.
     return (
-        probes.select("probe_id", "host", raw, engine.cast("timestamp"), iso_time(raw).alias("_iso"))
-        .select("*", F.try_to_timestamp("_iso").alias("host_time"))
-        .select("*", (F.unix_micros(time) - F.unix_micros(engine)).alias("drift_us"))
+        _parsed(probes)
+        .select("*", _drift_us().alias("drift_us"))
         .select(
             "probe_id",
             "host",
             "host_time",
-            F.when(time.isNotNull(), shown_iso(F.col("_iso"))).alias("host_time_text"),
+            F.when(ok, shown_iso(F.col("_iso"))).alias("host_time_text"),
             "engine_time",
-            shown_instant(engine).alias("engine_time_text"),
+            shown_instant(F.col("engine_time")).alias("engine_time_text"),
             "drift_us",
             signed_duration(F.col("drift_us")).alias("drift"),
-            F.when(time.isNotNull(), "ok").when(lacks_offset(raw), "warn").otherwise("skipped").alias("outcome"),
+            F.when(ok, "ok")
+            .when(lacks_offset(F.col("host_time_raw")), "warn")
+            .otherwise("skipped")
+            .alias("outcome"),
         )
     )
 
 
-def drift_report(drift: DataFrame) -> DataFrame:
-    """The drift report: the header as part 0, then one line per ``ok`` probe.
+def drift_report(probes: DataFrame) -> DataFrame:
+    """The drift report: titles as part 0, then one line per ``ok`` probe by host.
 
-    Lines are in host order. They are formatted after the sort, which runs over
-    the drift columns alone.
+    A global sort reads its input twice, so only the times are sorted and the
+    texts are made afterwards.
     """
-    header = drift.sparkSession.range(1).select(
-        F.lit(0).alias("part"),
-        F.lit(None).cast("string").alias("host"),
-        F.lit(None).cast("bigint").alias("probe_id"),
-        *[F.lit(title).alias(f"_{index}") for index, title in enumerate(DRIFT_TITLES)],
+    header = probes.sparkSession.range(1).selectExpr(
+        "0 as part",
+        "cast(null as string) as host",
+        "cast(null as bigint) as probe_id",
+        "cast(null as timestamp) as engine_time",
+        "cast(null as string) as _iso",
+        "cast(null as timestamp) as host_time",
+    )
+    body = (
+        _parsed(probes)
+        .filter("host_time is not null")
+        .selectExpr("1", "cast(host as string)", "cast(probe_id as bigint)", "engine_time", "_iso", "host_time")
     )
-    body = drift.filter(F.col("host_time").isNotNull()).select(
-        F.lit(1),
-        F.col("host").cast("string"),
-        F.col("probe_id").cast("bigint"),
+    line = F.format_string(
+        DRIFT_FORMAT,
         F.concat("host", F.lit(" ")),
-        "host_time_text",
-        "engine_time_text",
-        "drift",
+        shown_iso(F.col("_iso")),
+        shown_instant(F.col("engine_time")),
+        signed_duration(F.col("drift_us")),
     )
     return (
         header.union(body)
         .orderBy("part", "host", "probe_id")
-        .select("part", "host", F.format_string(DRIFT_FORMAT, "_0", "_1", "_2", "_3").alias("line"))
+        .select("*", _drift_us().alias("drift_us"))
+        .select("part", "host", F.when(F.col("part") == 0, DRIFT_HEADER).otherwise(line).alias("line"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COLUMNS = ["datacenter", "cluster_id", "cluster", "gluster_enabled", "address", "is_spm", "is_up"]
+from .spread import spread_join
 
 # Rows without a parent are spread over this many join keys that match nothing,
 # so they do not all meet in one shuffle partition.
@@ -59,7 +59,7 @@ def inventory(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) ->
         F.expr("status <=> 'up'").alias("is_up"),
     )
     return (
-        placed.join(tree, "_key", "left")
+        spread_join(placed, tree, ["_key"], "left")
         .filter("_found or _cluster is null")
         .selectExpr(
             "if(_found, datacenter, '') as datacenter",
@@ -77,9 +77,5 @@ def inventory(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) ->
 def orphans(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) -> DataFrame:
     """Hosts the inventory leaves out, with the cluster id they name."""
     tree = cluster_tree(datacenters, clusters).select("cluster_id")
-    return (
-        hosts.filter("cluster_id is not null")
-        .join(tree, "cluster_id", "left_anti")
-        .select("address", "cluster_id")
-        .distinct()
-    )
+    placed = hosts.filter("cluster_id is not null").select("address", "cluster_id")
+    return spread_join(placed, tree, ["cluster_id"], "left_anti").distinct()

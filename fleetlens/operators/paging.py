@@ -31,11 +31,12 @@ def with_page_number(entities: DataFrame, order: list[str], size: int = PAGE_SIZ
     sorted by ranges and checkpointed, each range is counted, and a row's number
     is its place in the range plus the rows of the ranges before it. The
     checkpoint runs when this is called; it pins the ranges, so a lost executor
-    cannot move rows between them.
+    cannot move rows between them. Rows that tie are told apart by their content,
+    so a hot value may span ranges.
     """
     spark = entities.sparkSession
     use_checkpoint_dir(spark)
-    ranges = entities.orderBy(*order).checkpoint()
+    ranges = entities.orderBy(*order, F.xxhash64(*entities.columns)).checkpoint()
     placed = ranges.select(
         "*",
         F.spark_partition_id().alias("_range"),

@@ -15,7 +15,8 @@ from ..functions.text import is_blank, lines, strip
 
 ADMIN_MARKER = "DB ADMIN credentials"  # fixed value
 
-_SALTS = 32
+# Lines per block of a long file; the blocks of one file are joined by many tasks.
+_BLOCK = 1 << 18
 
 
 def _is_entry(line: Column, marker: str) -> Column:
@@ -84,19 +85,25 @@ def section_lookup_of_lines(
 ) -> DataFrame:
     """The same over a table of lines, for files cut into any number of rows.
 
-    Files with neither a marker nor an entry of the user give no row. The marker
-    lines (one per file) are replicated over the salts the entries are spread
-    by, so a file with a third of all lines is joined by many tasks.
+    Files with neither a marker nor an entry of the user give no row. Entries are
+    joined to the marker of their file block by block: a file with a third of all
+    lines is spread over many tasks, and a short file costs one row.
     """
     line = F.col("line")
-    markers = line_table.filter(line.contains(marker)).groupBy(by).agg(F.min("line_no").alias("_marker"))
+    block = F.shiftright(F.col("line_no").cast("bigint"), _BLOCK.bit_length() - 1)
+    bounds = (
+        line_table.groupBy(by)
+        .agg(F.min(F.when(line.contains(marker), F.col("line_no"))).alias("_marker"), F.max(block).alias("_last"))
+        .filter("_marker is not null")
+    )
     entries = line_table.filter(_is_entry(line, marker))
 
-    spread = markers.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    first_block = F.shiftright(F.col("_marker").cast("bigint"), _BLOCK.bit_length() - 1)
+    spread = bounds.select(by, "_marker", F.explode(F.sequence(first_block, F.col("_last"))).alias("_block"))
     first = (
-        entries.withColumn("_salt", F.pmod("line_no", F.lit(_SALTS)).cast("int"))
-        .join(spread, [by, "_salt"])
-        .filter(F.col("line_no") > F.col("_marker"))
+        entries.withColumn("_block", block)
+        .join(spread, [by, "_block"])
+        .filter("line_no > _marker")
         .groupBy(by)
         .agg(F.min(F.struct("line_no", "line")).alias("_entry"))
     )
@@ -108,5 +115,5 @@ def section_lookup_of_lines(
     )
     # An entry of the user behind the marker is never ahead of the first entry there.
     ahead = F.col("_marker").isNull() | (F.col("_early.line_no") < F.col("_marker"))
-    found = earliest.join(markers, by, "left").filter(ahead).select(by, "_early")
+    found = earliest.join(bounds, by, "left").filter(ahead).select(by, "_early")
     return first.join(found, by, "full").select(by, *_fields(F.col("_entry.line"), F.col("_early.line")))

@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import any_glob, literal_prefix, literal_suffix, regex_of, sift
+from .spread import SALTS, spread_join
 
 LARGE_FLEET = 10  # fixed value: from this many hosts on, collecting takes long
 
 # Lengths of the literal ends a pattern table is joined on, longest first.
 _ANCHORS = (16, 8, 4)
-_SALTS = 16
 
 
 def hosts_predicate(hosts: Iterable[str] | None, address: Column | None = None) -> Column | None:
@@ -68,9 +68,9 @@ def select_hosts(
         wanted = one.select(F.explode(F.split(F.lit("\x00".join(literals)), "\x00")).alias("name"))
         resolved = resolve_names(inventory, wanted, aliases).filter("how <> 'direct'")
         hits = resolved.select("address", F.lit(True).alias("_hit")).distinct()
+        narrowed = inventory.filter(selection_predicate(None, datacenters, clusters))
         chosen = (
-            inventory.filter(selection_predicate(None, datacenters, clusters))
-            .join(hits, "address", "left")
+            spread_join(narrowed, hits, ["address"], "left")
             .filter(hosts_predicate(hosts) | F.col("_hit"))
             .select(*inventory.columns)
         )
@@ -80,7 +80,7 @@ def select_hosts(
 def select_wanted(inventory: DataFrame, wanted: DataFrame) -> DataFrame:
     """Inventory rows whose address is in the wanted table (name)."""
     names = wanted.select(F.col("name").alias("address")).distinct()
-    return inventory.join(names, "address", "left_semi")
+    return spread_join(inventory, names, ["address"], "left_semi")
 
 
 def _names(wanted: DataFrame) -> DataFrame:
@@ -93,23 +93,17 @@ def _addresses(inventory: DataFrame) -> DataFrame:
 
 def _by_name(missing: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     """Missing names whose ip is an address."""
-    return (
-        aliases.select("name", F.col("ip").alias("address"))
-        .join(missing, "name", "left_semi")
-        .join(addresses, "address", "left_semi")
-        .select("name", "address")
-        .distinct()
+    pairs = aliases.select("name", F.col("ip").alias("address"))
+    return spread_join(pairs, missing, ["name"], "left_semi").distinct().join(addresses, "address").select(
+        "name", "address"
     )
 
 
 def _by_address(names: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     """Wanted names that are the ip of an address."""
-    return (
-        aliases.select(F.col("ip").alias("name"), F.col("name").alias("address"))
-        .join(names, "name", "left_semi")
-        .join(addresses, "address", "left_semi")
-        .select("name", "address")
-        .distinct()
+    pairs = aliases.select(F.col("ip").alias("name"), F.col("name").alias("address"))
+    return spread_join(pairs, names, ["name"], "left_semi").distinct().join(addresses, "address").select(
+        "name", "address"
     )
 
 
@@ -171,7 +165,7 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
         .filter(F.col("pattern").isNotNull())
         .distinct()
         .select(filed.alias("_end"), regex_of(F.col("pattern")).alias("_regex"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     value = F.col("_value")
     ends = F.array_compact(
@@ -191,7 +185,7 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
         .select(
             "_value",
             F.explode(ends).alias("_end"),
-            F.pmod(F.xxhash64("_value"), F.lit(_SALTS)).cast("int").alias("_salt"),
+            F.pmod(F.xxhash64("_value"), F.lit(SALTS)).cast("int").alias("_salt"),
         )
     )
     matches = (
@@ -200,7 +194,7 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
         & F.rlike(values["_value"], globs["_regex"])
     )
     hits = values.join(globs, matches, "left_semi").select(F.col("_value").alias(column)).distinct()
-    return rows.join(hits, column, "left_semi")
+    return spread_join(rows, hits, [column], "left_semi")
 
 
 def one_per_cluster(inventory: DataFrame, by: str = "cluster") -> DataFrame:
@@ -252,13 +246,13 @@ def chain_hosts(inventory: DataFrame, fallback_to_up: bool = False) -> DataFrame
 def with_chain_flag(inventory: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
     """Inventory rows with ``is_chain_host``.
 
-    Joined on data center and address together: the data center alone would send
-    a third of the fleet to one task.
+    Joined on data center and address together, which are seldom hot; the data
+    center alone would be.
     """
     chosen = chain_hosts(inventory) if chosen is None else chosen
     flags = chosen.filter(F.col("chain_host").isNotNull()).select(
         "datacenter", F.col("chain_host").alias("address"), F.lit(True).alias("_chain")
     )
-    return inventory.join(flags, ["datacenter", "address"], "left").select(
+    return spread_join(inventory, flags, ["datacenter", "address"], "left").select(
         *inventory.columns, F.coalesce("_chain", F.lit(False)).alias("is_chain_host")
     )

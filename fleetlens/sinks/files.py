@@ -10,9 +10,9 @@ from ..operators.drift import drift_report
 from ..operators.listing import listing_report
 
 
-def write_drift_report(drift: DataFrame, path: str) -> None:
-    """The drift report as text, header first, in sorted part files."""
-    drift_report(drift).select("line").write.mode("overwrite").text(path)
+def write_drift_report(probes: DataFrame, path: str) -> None:
+    """The drift report of clock probes as text, titles first, in sorted part files."""
+    drift_report(probes).select("line").write.mode("overwrite").text(path)
 
 
 def write_listing(selected: DataFrame, path: str) -> None:

@@ -187,7 +187,7 @@ def clock_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.drift_report(drift.clock_drift(v.clock(spark, sf_dir)))
+    return drift.drift_report(v.clock(spark, sf_dir))
 
 
 def effective_settings(spark: SparkSession, sf_dir: str) -> DataFrame:

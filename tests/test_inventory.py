@@ -1,8 +1,11 @@
 import random
 
+from pyspark.sql import functions as F
+
 from fleetlens.operators.inventory import inventory, orphans
 from fleetlens.operators.listing import LISTING_HEADER, list_hosts, listing_report
 from fleetlens.operators.paging import page, page_after, with_page_number
+from fleetlens.operators.spread import spread_join
 from fleetlens.sinks.files import write_listing
 from fleetlens.sources.entities import CLUSTER, DATACENTER, HOST, load_inventory
 
@@ -73,14 +76,43 @@ def test_hot_cluster_and_missing_parents(spark):
         "if(id = 0, 'c1', concat('x', id)) id", "'K' name", "false gluster_enabled", "'d' data_center_id"
     )
     dcs = spark.createDataFrame([("d", "D")], DATACENTER)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         df = inventory(dcs, clusters, hosts)
         assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
         missing = hosts.filter("cluster_id = 'x0'").count()
-        assert df.count() == count - missing
+        assert len(df.collect()) == count - missing
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_spread_join_is_even_and_whole(spark):
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    many = spark.range(30_000).selectExpr("id", "if(id % 2 = 0, 'hot', concat('k', id % 500)) key")
+    few = spark.range(500).selectExpr("if(id = 0, 'hot', concat('k', id)) key", "id as extra")
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            plain = many.join(few, "key", how).select("id", "key")
+            assert sorted(spread_join(many, few, ["key"], how).select("id", "key").collect()) == sorted(plain.collect())
+
+        def largest(df):
+            return max(row["count"] for row in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+        assert largest(many.join(few, "key")) >= 15_000
+        assert largest(spread_join(many, few, ["key"], "inner")) < 5_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_listing(rows, spark, tmp_path):

@@ -95,8 +95,9 @@ def test_sections(spark, user):
     assert {i: got.get(i, blank) for i in wanted} == wanted
 
 
-def test_section_with_a_hot_file(spark):
-    """One file holds nine tenths of all lines; its entries are spread over many tasks."""
+def test_section_with_a_hot_file(spark, monkeypatch):
+    """One file holds nine tenths of all lines; it is joined in many blocks."""
+    monkeypatch.setattr(sections, "_BLOCK", 1 << 10)
     lines_df = spark.range(60_000).selectExpr(
         "if(id % 10 < 9, 0, id) report_id", "id line_no",
         "case when id = 5000 then 'DB ADMIN credentials' when id % 2 = 0 then '# no' else concat('h', id, ':1:d:u:p') end line",
