@@ -30,6 +30,8 @@ from fleetlens.llm.common import shared_folder, ship, stored, with_locator
 
 #: Bytes of a block in one record; bytes of a chunk; bytes of records in one archive.
 SEGMENT, CHUNK, ARCHIVE = 16_384, 4_096, 32_000_000
+#: Bytes of an archive that are opened at a time.
+STEP = 8_192
 #: Payloads from this size on are written once.
 REVISIT_FROM = 100
 
@@ -188,12 +190,15 @@ def _made(name: str, records: int, size: int) -> pa.RecordBatch:
 
 def _members(content: memoryview):
     """The gzip members of an archive, one after the other."""
-    rest = content
-    while len(rest):
-        opener = zlib.decompressobj(31)
-        record = opener.decompress(rest)
-        yield record
-        rest = rest[len(rest) - len(opener.unused_data) :]
+    at, size = 0, len(content)
+    while at < size:
+        opener, parts = zlib.decompressobj(31), []
+        # A small step at a time: what a member leaves unread is copied by the library.
+        while not opener.eof and at < size:
+            step = content[at : at + STEP]
+            parts.append(opener.decompress(step))
+            at += len(step) - len(opener.unused_data)
+        yield b"".join(parts)
 
 
 def parse_record(raw: bytes) -> tuple:
