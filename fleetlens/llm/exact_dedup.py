@@ -16,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import shared_folder, stored, with_locator
+from fleetlens.llm.common import partitions, shared_folder, stored, with_locator
+
+#: Landed rows that are worth a state partition.
+STATE_ROWS = 10_000
 
 _PLACE = ("doc_id", "_file", "_row")
 
@@ -33,18 +36,21 @@ def land(docs: DataFrame, path: str, digest=sha256) -> DataFrame:
     )
 
 
-def update_state(spark: SparkSession, landing: str, schema, state: str) -> DataFrame:
+def update_state(spark: SparkSession, landing: str, schema, state: str, rows: int) -> DataFrame:
     """Run the stream over what ``landing`` holds beyond the last run; return the state of every digest.
 
     The stream has no watermark, so no key ever expires. Copies within a task are counted
-    before the shuffle, so a digest that a third of all rows share is one row a task.
+    before the shuffle, so a digest that a third of all rows share is one row a task. Each
+    state partition is a RocksDB of its own, some megabytes even if empty: there are as many as shuffle
+    partitions, but none for fewer than STATE_ROWS of the ``rows`` of the first run.
     """
     session = spark.newSession()
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    stores = max(1, min(partitions(spark), -(-rows // STATE_ROWS)))
+    session.conf.set("spark.sql.streaming.internal.stateStore.partitions", str(stores))
     (
         session.readStream.schema(schema)
         .parquet(landing)
@@ -85,9 +91,8 @@ def exact_dedup(docs: DataFrame, folder: str | None = None, digest=sha256) -> Da
     folder = folder or shared_folder(spark, "exact")
     docs = with_locator(docs, folder)
     landed = land(docs, f"{folder}/landing", digest)
-    groups = stored(
-        update_state(spark, f"{folder}/landing", landed.schema, f"{folder}/state"), f"{folder}/groups"
-    )
+    state = update_state(spark, f"{folder}/landing", landed.schema, f"{folder}/state", landed.count())
+    groups = stored(state, f"{folder}/groups")
     decided = stored(_decide(landed, groups, ["digest", "n_bytes"]), f"{folder}/decided")
 
     # Every hit, read by its place and compared in full with the row that stays.
