@@ -22,9 +22,12 @@ repeat an identifier are packed each for itself; an empty table gives no rows; o
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +39,23 @@ from fleetlens.llm.common import shared_folder, ship, stored
 from fleetlens.llm.text_hash import steps, text_buffers
 
 WINDOW = 4096
-#: Words whose ids a worker keeps from one batch to the next.
-KEPT_WORDS = 200_000
+#: Words whose ids a worker keeps from one batch and task to the next.
+KEPT_WORDS = 600_000
+#: Bytes of text that are encoded at once.
+STEP = 8_000_000
+
+#: What a pre-tokenizer says that takes letters, and marks, as runs of their own.
+_CUTS = (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+")
+#: A word of plain letters and digits and the marks behind it, none of which is an apostrophe.
+_TAIL = re.compile(rb"([a-z0-9]+)([^a-z0-9\x80-\xff'A-Z]+)")
 
 
 class WordEncoder:
     """Token ids of texts as bytes, for tokenizers whose tokens never span white space.
 
-    Each distinct word is encoded once a batch; the most frequent stay known between batches.
+    Each distinct word is encoded once a batch; the first KEPT_WORDS, among them the frequent ones, stay known.
+    Where the tokenizer lower-cases, so are A-Z beforehand; where it cuts letters from other marks, a word
+    and the marks behind it are encoded apart. Both make for fewer distinct words and for the same ids.
     """
 
     def __init__(self, path: str, end: int) -> None:
@@ -51,32 +63,63 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path) as file:
+            parts = json.load(file)
+        self.lowers = '"Lowercase"' in json.dumps(parts["normalizer"])
+        rules = json.dumps(parts["pre_tokenizer"], ensure_ascii=False)
+        self.cuts = self.lowers and all(rule in rules.replace("\\\\", "\\") for rule in _CUTS)
+        # The tokenizer's own marks are taken as they are written.
+        self.marks = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end], self.kind).tobytes()
         self.known: dict[bytes, bytes] = {}
 
+    def _split(self, text: bytes) -> list[bytes]:
+        if not self.lowers:
+            return text.split()
+        lowered = text.lower()
+        if any(mark in lowered for mark in self.marks):
+            return text.split()
+        return lowered.split()
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        bare, tails = fresh, {}
+        if self.cuts:
+            tails = {word: found.groups() for word in fresh if (found := _TAIL.fullmatch(word))}
+            bare = fresh.difference(tails).union(*tails.values()).difference(self.known)
+        words = list(bare)
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        kind, known = self.kind, self.known
+        known.update(zip(words, (np.array(x.ids, kind).tobytes() for x in found), strict=True))
+        for word, (core, tail) in tails.items():
+            known[word] = known[core] + known[tail]
+
     def texts(self, raw: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in raw]
-        fresh = list(set().union(*words).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        kind = self.kind
-        self.known.update(zip(fresh, (np.array(x.ids, kind).tobytes() for x in found), strict=True))
+        words = [self._split(text) for text in raw]
+        fresh = set().union(*words).difference(self.known)
+        kept = max(len(self.known), KEPT_WORDS)
+        self._learn(fresh)
         take = self.known.__getitem__
         ids = [b"".join(map(take, text)) + self.end for text in words]
-        if len(self.known) > KEPT_WORDS:
-            for word in fresh:
-                del self.known[word]
+        while len(self.known) > kept:  # the last learnt go first
+            self.known.popitem()
         return ids
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str, end: int) -> WordEncoder:
+    """The worker's encoder; tasks that run in one worker share what it knows."""
+    return WordEncoder(path, end)
+
+
 def tokens(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Per document: its ids, their number, and the ids of its source before it in its partition."""
 
     def encode(batches):
-        encoder, part, seen = WordEncoder(path, end), TaskContext.get().partitionId(), {}
+        encoder, part, seen = word_encoder(path, end), TaskContext.get().partitionId(), {}
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
-            for first, last in steps(offsets):
+            for first, last in steps(offsets, STEP):
                 raw = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(first, last)]
                 ids = encoder.texts(raw)
                 counts = [len(x) // encoder.kind.itemsize for x in ids]
