@@ -7,6 +7,12 @@ holds several components, the classes outside its largest one are compared with
 others, so no pair of a bucket that could join two components goes unseen, and a bucket of
 one large group and a few strays costs its size times the strays.
 
+Two bounds keep comparisons cheap and lose nothing. The signature check leaves out pairs whose equal
+minima are DEVIATIONS standard deviations too few. An odd sketch has a bit for each hash value that occurs an
+odd number of times in a set; two sketches differ in no more bits than the sets do in shingles, so
+where they differ in too many the threshold is out of reach. The second one is tested inside the join of
+strays and others, which so gives hardly more rows than there are links.
+
 Every link is confirmed on the full sets. Rows per band follow from the threshold: of pairs exactly at
 the threshold, less than one in a million shares no band (``banding``).
 
@@ -23,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import shared_folder, ship, stored
@@ -32,6 +38,8 @@ from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, steps, te
 
 #: Identifiers that may be broadcast to pick texts (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: Bits of an odd sketch, a multiple of 64.
+ODD_BITS = 2048
 #: The signature check leaves out pairs whose estimate is so many standard deviations too low.
 DEVIATIONS = 6
 
@@ -56,22 +64,42 @@ def text_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingles[begins[i] : begins[i + 1]])
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """ODD_BITS bits as 64-bit numbers: which hash values occur an odd number of times in the set."""
+    held = np.bincount((shingles >> np.uint64(16)).astype(np.int64) & (ODD_BITS - 1), minlength=ODD_BITS) & 1
+    return np.packbits(held.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _within_reach(percent: int) -> Column:
+    """May sets with sketches ``odd_a``, ``odd_b`` and sizes ``n_a``, ``n_b`` reach the threshold?
+
+    At the threshold t sets of p and q shingles differ in at most (1-t)/(1+t) * (p+q) of them.
+    """
+    room = (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    bits = F.aggregate(
+        F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    return (F.abs(F.col("n_a") - F.col("n_b")) * (100 + percent) <= room) & (bits * (100 + percent) <= room)
+
+
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """Per document: number of shingles, digest of the set, minima, band keys."""
 
     def sketch(batches):
         minima = Minima(bands * rows)
         for batch in batches:
-            counts, digests, signatures, keys = [], [], [], []
+            counts, digests, signatures, keys, odds = [], [], [], [], []
             for shingles in text_sets(batch.column(1), size):
                 counts.append(len(shingles))
                 if not len(shingles):
-                    digests.append(None), signatures.append(None), keys.append(None)
+                    for empty in (digests, signatures, keys, odds):
+                        empty.append(None)
                     continue
                 low = minima.of(shingles)
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                 signatures.append(low.tobytes())
                 keys.append(band_keys(low, bands))
+                odds.append(odd_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -79,12 +107,15 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     pa.array(digests, pa.binary()),
                     pa.array(signatures, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(odds, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_digest", "signature", "bands"],
+                names=["doc_id", "n_shingles", "set_digest", "signature", "bands", "odd"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_digest binary, signature binary, bands array<long>"
+        sketch,
+        "doc_id long, n_shingles long, set_digest binary, signature binary, bands array<long>, "
+        "odd array<long>",
     )
 
 
@@ -154,8 +185,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(buckets: DataFrame, folder: str) -> DataFrame:
-    """Pairs of classes of one bucket but of different components, one of them outside the bucket's largest."""
+def _cross_pairs(buckets: DataFrame, first: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs of classes of one bucket but of different components, one of them outside the bucket's largest.
+
+    Only those that their odd sketches leave within reach of the threshold.
+    """
     per = buckets.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     several = stored(
         per.groupBy("band")
@@ -164,17 +198,26 @@ def _cross_pairs(buckets: DataFrame, folder: str) -> DataFrame:
         .select("band", F.col("top.component").alias("largest")),
         f"{folder}/several",
     )
-    members = stored(buckets.join(several, "band"), f"{folder}/members")
+    sized = first.select("node", "n_shingles", "odd")
+    members = stored(buckets.join(several, "band").join(sized, "node"), f"{folder}/members")
     strays = members.filter("component <> largest").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("ca")
+        "band",
+        F.col("node").alias("a"),
+        F.col("component").alias("ca"),
+        F.col("n_shingles").alias("n_a"),
+        F.col("odd").alias("odd_a"),
     )
     others = members.select(
-        "band",
+        F.col("band").alias("other_band"),
         F.col("node").alias("b"),
         F.col("component").alias("cb"),
         (F.col("component") == F.col("largest")).alias("main"),
+        F.col("n_shingles").alias("n_b"),
+        F.col("odd").alias("odd_b"),
     )
-    return strays.join(others, "band").filter("ca <> cb and (main or a < b)").select("a", "b").distinct()
+    apart = (F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b")))
+    met = (F.col("band") == F.col("other_band")) & apart & _within_reach(percent)
+    return strays.join(others, met).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: str | None = None) -> DataFrame:
@@ -193,7 +236,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: s
     first = stored(
         sketched.join(classes, "set_digest")
         .filter("doc_id = node")
-        .select("set_digest", "node", "signature", "bands")
+        .select("set_digest", "node", "n_shingles", "signature", "bands", "odd")
         .dropDuplicates(["set_digest"]),
         f"{folder}/first",
     )
@@ -219,7 +262,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: s
     placed = buckets.join(found, "node", "left").select(
         "band", "node", F.coalesce("component", "node").alias("component")
     )
-    more = verified(_cross_pairs(placed, folder), "cross")
+    more = verified(_cross_pairs(placed, first, percent, folder), "cross")
     if not more.isEmpty():
         found = stored(components(links.unionAll(more), f"{folder}/joined"), f"{folder}/joined-all")
     named = classes.join(found, "node", "left").select(

@@ -14,7 +14,7 @@ from fleetlens.llm.common import shared_folder, with_locator
 from fleetlens.llm.components import components
 from fleetlens.llm.exact_dedup import exact_dedup, land, update_state
 from fleetlens.llm.fingerprints import edited, fingerprints, similar
-from fleetlens.llm.near_dedup import banding, near_duplicates
+from fleetlens.llm.near_dedup import banding, near_duplicates, odd_sketch
 from fleetlens.llm.text_hash import Minima, shingle_hashes, word_hashes
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -197,6 +197,14 @@ class TestNear:
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
         assert {r["doc_id"]: r["n_shingles"] for r in found} == {d: len(shingles(t, size)) for d, t in texts.items()}
 
+    def test_odd_sketches_differ_no_more_than_sets(self):
+        random = np.random.default_rng(8)
+        pool = random.integers(0, 2**64, 4000, dtype=np.uint64)
+        for _ in range(50):
+            a, b = (np.unique(random.choice(pool, random.integers(1, 3000))) for _ in range(2))
+            x, y = odd_sketch(a).view(np.uint64), odd_sketch(b).view(np.uint64)
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
     def test_odd_rows(self, frame, odd_rows):
         found = near_duplicates(frame(odd_rows)).collect()
         assert len(found) == len(odd_rows)
