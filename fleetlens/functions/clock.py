@@ -5,23 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An ISO time without and with an offset, white space around it aside.
-ISO_LOCAL = r"\A\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*\z"
-ISO_TIME = r"\A\s*(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?))\s*\z"
+# An ISO time, white space around it aside; date and time may go without separators, seconds may
+# be missing, a fraction may follow a point or a comma. The groups are the parts of ``_plain``.
+_PARTS = r"(\d{4})-?(\d{2})-?(\d{2})[Tt ]?(\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?"
+_OFFSET = r"[ ]?([Zz]|[+-]\d{2}(?::?\d{2})?)"
+ISO_LOCAL = rf"\A\s*{_PARTS}\s*\z"
+ISO_TIME = rf"\A\s*{_PARTS}{_OFFSET}\s*\z"
 _DAY = 86_400_000_000
 _HOUR = 3_600_000_000
 _MINUTE = 60_000_000
 _SECOND = 1_000_000
 
 
+def _plain(text: Column, pattern: str, offset: str) -> Column:
+    """``date time.fraction[offset]`` of text that fits the pattern; other text as it is."""
+    # Absent seconds and fractions read as nothing, so a zero before them changes no value.
+    spread = F.regexp_replace(text, pattern, rf"$1-$2-$3 $4:$5:0$6.$7{offset}")
+    seconds = F.regexp_replace(spread, r"\A(.{17})0(\d\d)", "$1$2")
+    whole = F.regexp_replace(seconds, r"\A(.{17})0\.", "$100.")
+    bare = F.regexp_replace(whole, r"\.(?=\z|[Zz+-])", "")
+    return F.regexp_replace(bare, r"z\z", "Z")
+
+
 def iso_time(text: Column) -> Column:
-    """The text stripped when it is an ISO time with offset, else empty."""
-    return F.regexp_extract(text, ISO_TIME, 1)
+    """An ISO time with offset as ``date time[.fraction]offset``; other text is empty."""
+    return F.when(text.rlike(ISO_TIME), _plain(text, ISO_TIME, "$8")).when(text.isNotNull(), "")
 
 
 def lacks_offset(text: Column) -> Column:
     """The text is a valid ISO time but for its missing offset."""
-    return F.try_to_timestamp(F.regexp_extract(text, ISO_LOCAL, 1)).isNotNull()
+    return F.when(text.rlike(ISO_LOCAL), F.try_to_timestamp(_plain(text, ISO_LOCAL, "")).isNotNull()).otherwise(False)
 
 
 def shown_iso(time: Column) -> Column:

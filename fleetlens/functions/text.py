@@ -41,11 +41,17 @@ def lines(text: Column) -> Column:
 
 
 def explode_lines(df: DataFrame, text: str, line: str, number: str, first: int = 1) -> DataFrame:
-    """One row per line of a text column, numbered; the other columns are kept."""
+    """One row per line of a text column, numbered; the other columns are kept.
+
+    The outer generator and the filter on its own number cut every text once: for
+    a plain generator Spark infers a filter on its input, which cuts again.
+    """
     rest = [name for name in df.columns if name != text]
     cut = df.select(*rest, lines(F.col(text)).alias("_lines"))
-    return cut.select(*rest, F.posexplode("_lines").alias("_at", line)).select(
-        *rest, (F.col("_at") + first).alias(number), line
+    return (
+        cut.select(*rest, F.posexplode_outer("_lines").alias("_at", line))
+        .filter(F.col("_at").isNotNull())
+        .select(*rest, (F.col("_at") + first).alias(number), line)
     )
 
 

@@ -41,6 +41,51 @@ def bundle_manifest(files: DataFrame) -> DataFrame:
     )
 
 
+def bundle_checksums(manifest: DataFrame) -> DataFrame:
+    """One checksum per bundle from its file manifest: (bundle, checksum), 60 hex digits.
+
+    It depends on every file's name and content and on nothing else, neither
+    order nor packing. Each file's line ``<sha256>  <name>`` is hashed and the
+    hashes are combined by exclusive or, so a bundle of any size is summed before
+    the shuffle. Repeated lines would cancel out, so their number goes in as well.
+    """
+    line = F.sha2(F.concat_ws("  ", "sha256", "name"), 256)
+    lines = manifest.groupBy("bundle", line.alias("_line")).agg(F.count("*").alias("_times"))
+    marked = F.sha2(F.concat_ws(" ", "_line", "_times"), 256)
+    words = [
+        F.bit_xor(F.conv(F.substring(marked, 1 + 15 * part, 15), 16, 10).cast("bigint")).alias(f"_{part}")
+        for part in range(4)
+    ]
+    digits = [F.lpad(F.lower(F.hex(f"_{part}")), 15, "0") for part in range(4)]
+    return lines.groupBy("bundle").agg(*words).select("bundle", F.concat(*digits).alias("checksum"))
+
+
+def bundle_messages(manifest: DataFrame, folder: str) -> DataFrame:
+    """What is said about each finished bundle: (bundle, checksum, size, message).
+
+    ``manifest`` is the file manifest (bundle, name, length, sha256).
+    """
+    sizes = bundle_manifest(manifest.select("bundle", "length"))
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), F.col("bundle"))
+    # The message and the advice.
+    message = F.concat(
+        F.lit("Log files have been collected and placed in "),
+        path,
+        F.lit("\nThe sha256 for this file is "),
+        F.col("checksum"),
+        F.lit(" and its size is "),
+        F.col("size"),
+        F.when(
+            F.col("advise_filters"),
+            "\nYou can use the following filters -c, -d, -H in the next execution to limit the number of Datacenters,"
+            "\nClusters or Hosts that are collected in order to reduce the archive size.",
+        ).otherwise(""),
+    )
+    return sizes.join(bundle_checksums(manifest), "bundle").select(
+        "bundle", "checksum", "size", message.alias("message")
+    )
+
+
 def host_files(reports: DataFrame) -> DataFrame:
     """Where each host's report goes: its own folder, with the host in the name."""
     return reports.select("host", "path", host_file(F.col("host"), F.col("path")).alias("name"))

@@ -20,11 +20,12 @@ def severity(level: Column) -> Column:
 
 
 def parse_log_lines(rows: DataFrame, column: str = "line") -> DataFrame:
-    """The six fields and the severity of each line; row-wise.
+    """Each line with its six fields and severity; row-wise.
 
-    A ``::`` inside the message is kept. A line with fewer fields parses to nulls.
+    A ``::`` inside the message is kept. A line with fewer fields, such as the
+    further lines of a message, has ``parsed`` false and null fields.
     """
-    rest = [name for name in rows.columns if name != column]
+    rest = rows.columns
     parts = F.split(F.col(column), "::", 6)
 
     def part(index: int) -> Column:
@@ -32,6 +33,7 @@ def parse_log_lines(rows: DataFrame, column: str = "line") -> DataFrame:
 
     return rows.select(*rest, parts.alias("_parts")).select(
         *rest,
+        F.coalesce(F.size("_parts") == 6, F.lit(False)).alias("parsed"),
         part(0).alias("time"),
         part(1).alias("level"),
         part(2).alias("module"),
@@ -48,11 +50,12 @@ def message_lines(records: DataFrame, column: str = "message") -> DataFrame:
 
 
 def routes(minimum: str = "INFO", quiet: bool = False, log_file: bool = True) -> Column:
-    """Where a record goes, as an array over ``file``, ``stderr`` and ``stdout``.
+    """Where a record goes, as an array over ``file``, ``stderr``, ``stdout`` and ``unparsed``.
 
     Errors go to stderr and the rest, from the minimum level on, to stdout. A log
     file takes everything from the minimum level on. Quiet runs write to the file
-    alone, or without one only errors to stderr.
+    alone, or without one only errors to stderr. What has no known level is kept
+    apart as ``unparsed``, whatever the options.
     """
     rank = F.col("severity")
     error, shown = rank >= LEVELS["ERROR"], rank >= LEVELS[minimum]
@@ -61,9 +64,10 @@ def routes(minimum: str = "INFO", quiet: bool = False, log_file: bool = True) ->
         return F.when(F.coalesce(condition, F.lit(False)), strings([name])).otherwise(strings([]))
 
     to_file = route(shown, "file") if log_file else strings([])
+    unparsed = route(rank.isNull(), "unparsed")
     if quiet:
-        return to_file if log_file else route(error, "stderr")
-    return F.concat(to_file, route(error, "stderr"), route(shown & ~error, "stdout"))
+        return F.concat(to_file if log_file else route(error, "stderr"), unparsed)
+    return F.concat(to_file, route(error, "stderr"), route(shown & ~error, "stdout"), unparsed)
 
 
 def route_records(

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from ..session import use_checkpoint_dir
 
 PAGE_SIZE = 100  # fixed value: rows per page
+# Rows that one task may sort for a page; later pages come from page numbers.
+NEAR_ROWS = 100_000
 
 
 def page(entities: DataFrame, number: int, order: list[str], size: int = PAGE_SIZE) -> DataFrame:
-    """One page, counted from 1; empty past the last one."""
-    return entities.orderBy(*order).offset((number - 1) * size).limit(size)
+    """One page, counted from 1; empty past the last one.
+
+    An early page is a top-k. A later one, which a top-k would gather with all
+    rows before it in one task, is found by its number.
+    """
+    if number * size <= NEAR_ROWS:
+        return entities.orderBy(*order).offset((number - 1) * size).limit(size)
+    return with_page_number(entities, order, size).filter(F.col("page") == number).drop("page").orderBy(*order)
 
 
 def page_after(entities: DataFrame, key: str, last: object | None, size: int = PAGE_SIZE) -> DataFrame:
@@ -27,16 +35,18 @@ def page_after(entities: DataFrame, key: str, last: object | None, size: int = P
 def with_page_number(entities: DataFrame, order: list[str], size: int = PAGE_SIZE) -> DataFrame:
     """Every row with its page number.
 
-    A row number over the whole list would sort it in one task. Here the list is
-    sorted by ranges and checkpointed, each range is counted, and a row's number
-    is its place in the range plus the rows of the ranges before it. The
-    checkpoint runs when this is called; it pins the ranges, so a lost executor
-    cannot move rows between them. Rows that tie are told apart by their content,
-    so a hot value may span ranges.
+    A row number over the whole list would sort it in one task. Here the order
+    columns are sorted by ranges and checkpointed, each range is counted, and a
+    row's number is its place in the range plus the rows of the ranges before it.
+    The checkpoint runs when this is called; it pins the ranges, so a lost
+    executor cannot move rows between them. Rows that tie are told apart by a
+    hash of their content, so a hot value may span ranges; rows that are alike in
+    all columns share out their numbers among them.
     """
-    spark = entities.sparkSession
-    use_checkpoint_dir(spark)
-    ranges = entities.orderBy(*order, F.xxhash64(*entities.columns)).checkpoint()
+    use_checkpoint_dir(entities.sparkSession)
+    content = F.xxhash64(*entities.columns)
+    keys = list(dict.fromkeys(order))
+    ranges = entities.select(*keys, content.alias("_content")).orderBy(*keys, "_content").checkpoint()
     placed = ranges.select(
         "*",
         F.spark_partition_id().alias("_range"),
@@ -47,6 +57,12 @@ def with_page_number(entities: DataFrame, order: list[str], size: int = PAGE_SIZ
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     number = F.floor((F.col("_start") + F.col("_place")) / size) + 1
-    return placed.join(F.broadcast(starts), "_range").select(
-        *entities.columns, number.cast("bigint").alias("page")
-    )
+    numbered = placed.join(F.broadcast(starts), "_range").select(*keys, "_content", number.cast("bigint").alias("page"))
+    if set(keys) == set(entities.columns):
+        return numbered.select(*entities.columns, "page")
+    # Back to the whole rows: one row of the pages per content, as often as the page holds it.
+    times = numbered.groupBy("_content", "page").agg(F.count("*").alias("_times"))
+    distinct = entities.withColumn("_content", content).dropDuplicates(["_content"])
+    return distinct.join(times, "_content").select(
+        *entities.columns, "page", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")
+    ).drop("_copy")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 MASK = "********"
 
+# Words that name how the next word is to be read, as in ``Authorization: Bearer <secret>``.
+SCHEMES = ("Basic", "Bearer", "Digest", "Negotiate", "Token")
+
 
 def sensitive_keys(*lists: str | None) -> list[str]:
     """Comma or colon lists of keys as one list, each key once; None is empty."""
@@ -18,28 +21,61 @@ def sensitive_keys(*lists: str | None) -> list[str]:
     return list(dict.fromkeys(key for key in keys if key))
 
 
-def redact(text: Column, keys: Iterable[str], include_sensitive: bool = False) -> Column:
+def _quoted(quote: str) -> str:
+    """A quoted string with escapes; one that is never closed runs to the end of the line."""
+    inside = rf"(?:[^{quote}\\\r\n]|\\[^\r\n])*+"
+    return rf"{quote}{inside}(?:{quote}|[^\r\n]*)"
+
+
+def redact(
+    text: Column,
+    keys: Iterable[str],
+    include_sensitive: bool = False,
+    case_sensitive: bool = True,
+    whole_line: Iterable[str] = (),
+) -> Column:
     """The text with the values of the keys masked.
 
     A value is what follows ``key =`` or ``key:`` on the line: a quoted string
-    with its quotes, or everything up to the next white space. The key must stand
-    alone, so ``token`` does not touch ``broken``. Text that names no key at all
-    skips the pattern.
+    with its quotes and escapes, an unclosed quote up to the line's end, a scheme
+    word such as Bearer with the word after it, or else everything up to the next
+    white space. Keys in ``whole_line`` lose the rest of the line. The key may be
+    quoted itself, as in JSON. It must stand alone, so ``token`` does not touch
+    ``broken``. Text that names no key at all skips the pattern.
     """
-    keys = list(keys)
+    whole_line = set(whole_line)
+    keys = list(dict.fromkeys([*keys, *sorted(whole_line)]))
     if include_sensitive or not keys:
         return text
-    names = "|".join(re.sub(r"([^0-9A-Za-z_])", r"\\\1", key) for key in sorted(keys, key=len, reverse=True))
-    pattern = (
-        rf"(^|[^0-9A-Za-z_])({names})([ \t]*[=:][ \t]*)"
-        r"(\"[^\"\r\n]*\"|'[^'\r\n]*'|[^ \t\r\n]+)"
-    )
-    held = reduce(lambda left, right: left | right, (text.contains(key) for key in keys))
-    return F.when(held, F.regexp_replace(text, pattern, f"$1$2$3{MASK}")).otherwise(text)
+    some = [key for key in keys if key not in whole_line]
+    schemes = "|".join(SCHEMES)
+    value = rf"(?:{_quoted(chr(34))}|{_quoted(chr(39))}|(?i:{schemes})[ \t]+[^ \t\r\n]+|[^ \t\r\n]+)"
+    flag = "" if case_sensitive else "(?i)"
+
+    def pattern(names: Iterable[str], held: str) -> str:
+        either = "|".join(re.sub(r"([^0-9A-Za-z_])", r"\\\1", key) for key in sorted(names, key=len, reverse=True))
+        return rf"{flag}((?:^|[^0-9A-Za-z_])(?:{either})[\"']?[ \t]*[=:][ \t]*){held}"
+
+    masked = text
+    if some:
+        masked = F.regexp_replace(masked, pattern(some, value), f"$1{MASK}")
+    if whole_line:
+        masked = F.regexp_replace(masked, pattern(whole_line, r"[^\r\n]+"), f"$1{MASK}")
+    searched = text if case_sensitive else F.lower(text)
+    names = keys if case_sensitive else [key.lower() for key in keys]
+    held = reduce(lambda left, right: left | right, (searched.contains(name) for name in names))
+    return F.when(held, masked).otherwise(text)
 
 
 def redact_rows(
-    rows: DataFrame, keys: Iterable[str], column: str = "line", include_sensitive: bool = False
+    rows: DataFrame,
+    keys: Iterable[str],
+    column: str = "line",
+    include_sensitive: bool = False,
+    case_sensitive: bool = True,
+    whole_line: Iterable[str] = (),
 ) -> DataFrame:
     """Rows with one text column masked; row-wise, so it also runs on streams."""
-    return rows.withColumn(column, redact(F.col(column), keys, include_sensitive))
+    return rows.withColumn(
+        column, redact(F.col(column), keys, include_sensitive, case_sensitive, whole_line)
+    )

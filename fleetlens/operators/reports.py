@@ -70,22 +70,20 @@ def report_refs(reports: DataFrame, folder: Column | str, text: str = "text") ->
 def report_refs_of_lines(line_table: DataFrame, folder: Column | str, by: str = "report_id") -> DataFrame:
     """The same over a table of lines.
 
-    Only matching lines are aggregated with their text. The report ids come from
-    a second scan of that one column, so reports without a match stay in.
+    One aggregate over all lines finds the numbers of the two lines, which keeps
+    reports without a match. The text is then taken from the matching lines only.
     """
     archive, checksum = glob(F.col("line"), ARCHIVE_LINE), glob(F.col("line"), CHECKSUM_LINE)
-    at = F.struct("line_no", "line")
-    hits = (
-        line_table.filter(archive | checksum)
-        .groupBy(by)
-        .agg(
-            F.min(F.when(archive, at))["line"].alias("_archive"),
-            F.min(F.when(checksum, at))["line"].alias("_checksum"),
-        )
+    numbers = line_table.groupBy(by).agg(
+        F.min(F.when(archive, F.col("line_no"))).alias("_archive_no"),
+        F.min(F.when(checksum, F.col("line_no"))).alias("_checksum_no"),
     )
+
+    def texts(condition: Column, name: str) -> DataFrame:
+        return line_table.filter(condition).select(by, F.col("line_no").alias(f"{name}_no"), F.col("line").alias(name))
+
     return (
-        line_table.select(by)
-        .distinct()
-        .join(hits, by, "left")
+        numbers.join(texts(archive, "_archive"), [by, "_archive_no"], "left")
+        .join(texts(checksum, "_checksum"), [by, "_checksum_no"], "left")
         .select(by, *_refs(F.col("_archive"), F.col("_checksum"), folder))
     )

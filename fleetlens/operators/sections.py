@@ -12,12 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, lines, strip
+from .spread import spread_join
 
 ADMIN_MARKER = "DB ADMIN credentials"  # fixed value
 
-# Lines per block of a long file; the blocks of one file are joined by many tasks.
-_BLOCK = 1 << 18
-
 
 def _is_entry(line: Column, marker: str) -> Column:
     return ~line.startswith("#") & ~line.contains(marker) & ~is_blank(line)
@@ -85,35 +83,38 @@ def section_lookup_of_lines(
 ) -> DataFrame:
     """The same over a table of lines, for files cut into any number of rows.
 
-    Files with neither a marker nor an entry of the user give no row. Entries are
-    joined to the marker of their file block by block: a file with a third of all
-    lines is spread over many tasks, and a short file costs one row.
+    Files with neither an entry behind a marker nor one of the user give no row.
+    Only line numbers are joined and aggregated; the text comes last, of at most
+    two lines per file. Entries meet their file's marker in a join that splits a
+    file with a third of all lines.
     """
-    line = F.col("line")
-    block = F.shiftright(F.col("line_no").cast("bigint"), _BLOCK.bit_length() - 1)
-    bounds = (
+    line, number = F.col("line"), F.col("line_no")
+    is_entry = _is_entry(line, marker)
+    marks = (
         line_table.groupBy(by)
-        .agg(F.min(F.when(line.contains(marker), F.col("line_no"))).alias("_marker"), F.max(block).alias("_last"))
-        .filter("_marker is not null")
+        .agg(
+            F.min(F.when(line.contains(marker), number)).alias("_marker"),
+            F.min(F.when(is_entry & _of_user(line, user), number)).alias("_early"),
+        )
+        .filter("_marker is not null or _early is not null")
     )
-    entries = line_table.filter(_is_entry(line, marker))
-
-    first_block = F.shiftright(F.col("_marker").cast("bigint"), _BLOCK.bit_length() - 1)
-    spread = bounds.select(by, "_marker", F.explode(F.sequence(first_block, F.col("_last"))).alias("_block"))
-    first = (
-        entries.withColumn("_block", block)
-        .join(spread, [by, "_block"])
+    behind = (
+        spread_join(line_table.filter(is_entry).select(by, "line_no"), marks.filter("_marker is not null"), [by], "inner")
         .filter("line_no > _marker")
         .groupBy(by)
-        .agg(F.min(F.struct("line_no", "line")).alias("_entry"))
-    )
-    if user is None:
-        return first.select(by, *_fields(F.col("_entry.line"), F.lit(None).cast("string")))
-
-    earliest = entries.filter(_of_user(line, user)).groupBy(by).agg(
-        F.min(F.struct("line_no", "line")).alias("_early")
+        .agg(F.min("line_no").alias("_no"))
     )
     # An entry of the user behind the marker is never ahead of the first entry there.
-    ahead = F.col("_marker").isNull() | (F.col("_early.line_no") < F.col("_marker"))
-    found = earliest.join(bounds, by, "left").filter(ahead).select(by, "_early")
-    return first.join(found, by, "full").select(by, *_fields(F.col("_entry.line"), F.col("_early.line")))
+    ahead = marks.filter("_early is not null and (_marker is null or _early < _marker)")
+    wanted = behind.select(by, F.col("_no").alias("line_no"), F.lit(True).alias("_behind")).unionByName(
+        ahead.select(by, F.col("_early").alias("line_no"), F.lit(False).alias("_behind"))
+    )
+    return (
+        line_table.filter(is_entry)
+        .join(wanted, [by, "line_no"])
+        .groupBy(by)
+        .agg(
+            F.max(F.when(F.col("_behind"), line)).alias("_entry"), F.max(F.when(~F.col("_behind"), line)).alias("_early")
+        )
+        .select(by, *_fields(F.col("_entry"), F.col("_early")))
+    )

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import any_glob, literal_prefix, literal_suffix, regex_of, sift
-from .spread import SALTS, spread_join
+from .spread import spread_join
 
 LARGE_FLEET = 10  # fixed value: from this many hosts on, collecting takes long
 
 # Lengths of the literal ends a pattern table is joined on, longest first.
-_ANCHORS = (16, 8, 4)
+_ANCHORS = (16, 8, 4, 3, 2, 1)
+# Parts that the globs of one end are repeated for; values are parted by content.
+SALTS = 16
 
 
 def hosts_predicate(hosts: Iterable[str] | None, address: Column | None = None) -> Column | None:
@@ -92,19 +94,17 @@ def _addresses(inventory: DataFrame) -> DataFrame:
 
 
 def _by_name(missing: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Missing names whose ip is an address."""
+    """Missing names whose ip is an address; many names may share one ip."""
     pairs = aliases.select("name", F.col("ip").alias("address"))
-    return spread_join(pairs, missing, ["name"], "left_semi").distinct().join(addresses, "address").select(
-        "name", "address"
-    )
+    asked = spread_join(pairs, missing, ["name"], "left_semi").distinct()
+    return spread_join(asked, addresses, ["address"], "left_semi").select("name", "address")
 
 
 def _by_address(names: DataFrame, addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     """Wanted names that are the ip of an address."""
     pairs = aliases.select(F.col("ip").alias("name"), F.col("name").alias("address"))
-    return spread_join(pairs, names, ["name"], "left_semi").distinct().join(addresses, "address").select(
-        "name", "address"
-    )
+    asked = spread_join(pairs, names, ["name"], "left_semi").distinct()
+    return spread_join(asked, addresses, ["address"], "left_semi").select("name", "address")
 
 
 def resolve_names(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -145,8 +145,10 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
 
     Every glob is filed under the longest literal text it starts or ends with,
     and distinct values look up only the globs filed under their own ends, so
-    this is an equi join with the full match as a second condition. A hot end
-    (all hosts share a prefix, or a glob has no literal end) is salted by value.
+    this is an equi join with the full match as a second condition. ``a*`` and
+    ``*a`` are tested by their end alone, other globs by a regular expression. A
+    hot end (all hosts share a prefix, or a glob has no literal end) is salted by
+    value.
     """
     prefix, suffix = literal_prefix(F.col("pattern")), literal_suffix(F.col("pattern"))
     filed = F.coalesce(
@@ -164,7 +166,12 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
         patterns.select("pattern")
         .filter(F.col("pattern").isNotNull())
         .distinct()
-        .select(filed.alias("_end"), regex_of(F.col("pattern")).alias("_regex"))
+        .select(
+            filed.alias("_end"),
+            F.when(F.col("pattern") == F.concat(prefix, F.lit("*")), prefix).alias("_starts"),
+            F.when(F.col("pattern") == F.concat(F.lit("*"), suffix), suffix).alias("_ends"),
+            regex_of(F.col("pattern")).alias("_regex"),
+        )
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     value = F.col("_value")
@@ -191,7 +198,9 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
     matches = (
         (values["_end"] == globs["_end"])
         & (values["_salt"] == globs["_salt"])
-        & F.rlike(values["_value"], globs["_regex"])
+        & F.when(globs["_starts"].isNotNull(), F.startswith(values["_value"], globs["_starts"]))
+        .when(globs["_ends"].isNotNull(), F.endswith(values["_value"], globs["_ends"]))
+        .otherwise(F.rlike(values["_value"], globs["_regex"]))
     )
     hits = values.join(globs, matches, "left_semi").select(F.col("_value").alias(column)).distinct()
     return spread_join(rows, hits, [column], "left_semi")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Layers, lowest first.
 DEFAULTS, MAIN_FILE, DROP_IN, COMMAND_LINE = 0, 1, 2, 3
+# What files set for all sections: the lowest of the file layers, whatever its number.
+FILE_DEFAULTS = -1
 
 # Old key -> new key, for settings that come from files.
 RENAMED_KEYS = {"rhevm": "engine", "engine-ca": "cert-file"}
@@ -20,13 +22,14 @@ _PLACEHOLDER = re.compile(r"%%|%\(([^)]*)\)s")
 def effective_settings(
     settings: DataFrame,
     renamed: Mapping[str, str] = RENAMED_KEYS,
-    file_layers: Iterable[int] = (MAIN_FILE, DROP_IN),
+    file_layers: Iterable[int] = (FILE_DEFAULTS, MAIN_FILE, DROP_IN),
 ) -> DataFrame:
     """The value each run ends up with: (run_id, key, value).
 
     Input is (run_id, layer, file, seq, key, value). The last value by layer,
     file and seq wins; null never overrides. Inside the file layers an old key
-    counts as its new one, but only where no file sets the new key.
+    counts as its new one, but only where no file sets the new key. The file
+    layers as a whole rank where the highest of them does.
     """
     file_layers = sorted(file_layers)
     key, layer = F.col("key"), F.col("layer")
@@ -36,7 +39,7 @@ def effective_settings(
     for old_name, new_name in renamed.items():
         new_key = F.when(old & (key == old_name), new_name).otherwise(new_key)
     # All file layers rank as one, so that an old key loses to the new key of any file.
-    rank = F.when(in_files, file_layers[0]).otherwise(layer) if file_layers else layer
+    rank = F.when(in_files, file_layers[-1]).otherwise(layer) if file_layers else layer
     order = F.struct(rank, ~old, layer, F.coalesce("file", F.lit("")), "seq")
     return (
         settings.filter(F.col("value").isNotNull())

@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-
 
 def spread_join(rows: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """``rows`` joined to ``small``, with every key cut into :data:`SALTS` parts.
+    """``rows`` joined to ``small`` so that adaptive execution can split a hot key.
 
-    Rows are parted by their content and the small side is repeated once per
-    part. Adaptive skew-join splitting alone does not cover these joins: it needs
-    a shuffle right below the join on both sides, and a side that has just been
-    aggregated by the key has none. With the salt both sides have one, so parts
-    that are still too large are split further.
+    Splitting needs a shuffle right below the join on both sides, and a side that
+    has just been aggregated by the key has none. A hash of the key as a second
+    key gives both sides one. Nothing is repeated up front: at run time the
+    partitions that turn out to be large are read in parts, and only their
+    counterparts are read again.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(repeated, [*keys, "_salt"], how)
-    added = [name for name in joined.columns if name != "_salt" and name not in rows.columns]
+    spread = F.xxhash64(*keys)
+    joined = rows.withColumn("_spread", spread).join(small.withColumn("_spread", spread), [*keys, "_spread"], how)
+    added = [name for name in joined.columns if name != "_spread" and name not in rows.columns]
     return joined.select(*rows.columns, *added)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import only_if, options, strings
-from ..functions.versions import at_least
+from ..functions.versions import at_least, version_key
 from ..operators.select import with_chain_flag
 from .tiers import (
     BASE_REPORTS,
@@ -26,14 +26,18 @@ ENGINE_REPORTS = (
     "rpm", "libvirt", "networking", "hardware", "process", "filesys",
     "devicemapper", "selinux", "kernel", "apache", "memory",
 )
+# What the versions from 3.0, 3.2, 3.4 and 3.6 on add, and what those below 3.6 have.
 ENGINE_FROM_30 = ("block", "java", "lvm2", "md", "pci", "processor", "scsi", "chrony", "systemd")
 ENGINE_FROM_32 = ("firewalld", "openvswitch")
 ENGINE_FROM_34 = ("collectd",)
 ENGINE_BELOW_36 = ("general",)
 ENGINE_FROM_36 = ("date", "host", "ovn_central", "grafana")
-ENGINE_ANALYZER = "rhv_analyzer"
+ENGINE_ANALYZER = "rhv_analyzer"  # fixed value
+# Options of every management node; how it and a database are run.
 ENGINE_OPTIONS = ("-k rpm.rpmva=off", "-k apache.log=True")
-DATABASE_REPORT = "postgresql"
+ENGINE_MODE = "--batch --build"
+DATABASE_MODE = "--batch"
+DATABASE_REPORT = "postgresql"  # fixed value
 
 
 def _given(value: object) -> Column:
@@ -79,7 +83,11 @@ def collection_plan(
     them. Hosts below the lowest tier have status ``unsupported`` and no reports.
     """
     plugins = F.col("plugins") if "plugins" in versions.columns else F.lit(CHAIN_REPORT)
-    known = versions.select(
+    # A host that reported several versions counts by the latest of them.
+    rank = F.struct(version_key(F.col("version")), "version", plugins.alias("plugins"))
+    latest = versions.groupBy("host").agg(F.max(rank).alias("_last"))
+    plugins = F.col("plugins")
+    known = latest.select("host", "_last.version", "_last.plugins").select(
         F.col("host").alias("address"),
         "version",
         tier_of(F.col("version"), tiers).alias("tier"),
@@ -169,6 +177,7 @@ def engine_plan(nodes: DataFrame, product: str, include_sensitive: bool = False)
         .otherwise("--all-logs")
     )
     option_text = options(
+        ENGINE_MODE,
         *ENGINE_OPTIONS,
         F.concat(F.lit("-k "), plugin, F.lit(".sensitive_keys="), own_keys),
         F.concat(F.lit(f"-k {warehouse}.sensitive_keys="), extra_keys),
@@ -212,6 +221,7 @@ def database_plan(databases: DataFrame) -> DataFrame:
     v30, v40 = at_least(F.col("version"), 3, 0), at_least(F.col("version"), 4, 0)
     key = f"-k {DATABASE_REPORT}."
     option_text = options(
+        DATABASE_MODE,
         _flag("--ticket-number", F.col("ticket")),
         _size_flag(F.col("log_size")),
         F.when(~v30, "--report"),

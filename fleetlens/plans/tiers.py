@@ -54,12 +54,22 @@ LOGS_FROM_MIB = 100  # fixed value: the smallest size cap that keeps the logs re
 
 def host_tiers(product: str) -> tuple[Tier, ...]:
     """The nine tiers, lowest first."""
-    tier_32 = (*TIER_30_REPORTS, "firewalld", "openvswitch", f"{product}_hosted_engine")
-    tier_33 = (*tier_32, "virsh")
-    tier_34 = (*tier_33, "collectd")
-    tier_35 = (*tier_34, f"{product}_imageio")
-    # From 36 on "general" is split into "date" and "host".
-    split = (*(name for name in tier_35 if name != "general"), "date", "host", f"{product}_node", "ovn_host")
+    # What each tier adds to the one below it; 36 drops one report as well.
+    adds = {
+        32: ("firewalld", "openvswitch", f"{product}_hosted_engine"),
+        33: ("virsh",),
+        34: ("collectd",),
+        35: (f"{product}_imageio",),
+        36: ("date", "host", f"{product}_node", "ovn_host"),
+    }
+    drops = {36: "general"}
+
+    def upto(last: int) -> tuple[str, ...]:
+        added = sum((names for tier, names in adds.items() if tier <= last), TIER_30_REPORTS)
+        gone = {name for tier, name in drops.items() if tier <= last}
+        return tuple(name for name in added if name not in gone)
+
+    tier_32, tier_33, tier_34, tier_35, split = (upto(tier) for tier in adds)
     return (
         Tier(
             17, (1, 7), "sosreport", LOWEST_REPORTS, ("--no-progressbar", "-k general.all_logs=True"),
@@ -99,8 +109,7 @@ def tier_of(version: Column, tiers: Sequence[Tier]) -> Column:
 def by_tier(column: str, tiers: Sequence[Tier], value: Callable[[Tier], str | bool]) -> Column:
     """A fixed value per tier, looked up by the tier number in a column."""
 
-    def literal(item: str | bool) -> str:
-        return str(item).lower() if isinstance(item, bool) else "'" + item.replace("'", "\\'") + "'"
-
-    cases = " ".join(f"when {tier.name} then {literal(value(tier))}" for tier in tiers)
-    return F.expr(f"case {column} {cases} end")
+    found = F.lit(None)
+    for tier in reversed(tiers):
+        found = F.when(F.col(column) == tier.name, F.lit(value(tier))).otherwise(found)
+    return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", app: str = "fleetlens", **conf: str) -> SparkSession:
     """A local session with the settings the jobs are tested under."""
+    folder = os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -17,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "fleetlens", **conf: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{folder}")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -26,9 +30,8 @@ def local_session(cores: int | str = "*", app: str = "fleetlens", **conf: str) -
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure checkpoint() has a folder and return it.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    master may fall back to a folder of its own, since executors on other
-    machines could not read it back.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. A local master
+    without that setting gets one below Spark's own local folder.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir()
@@ -36,8 +39,8 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
         return folder
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="fleetlens-checkpoint-")
+        folder = os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints")
     context.setCheckpointDir(folder)
     return folder

@@ -12,18 +12,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException
+
 from ..functions.text import LINE_BREAK, explode_lines, is_blank, lines, strip
-from ..operators.settings import DEFAULTS, DROP_IN, MAIN_FILE
+from ..operators.settings import DROP_IN, FILE_DEFAULTS, MAIN_FILE
 
 DEFAULT_SECTION = "DEFAULT"  # fixed value: its entries hold in every section
 _JOINED = "\x00"
 
 
-def read_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """(file, text), one row per file."""
-    return spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
-    )
+def empty_files(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
+    """(file) of the files without content, which Spark's file sources pass over.
+
+    They are the files of the listing that a read of names alone does not give.
+    """
+    source = spark.read.format("binaryFile").options(**options).load(list(paths))
+    filled = source.select(F.col("_metadata.file_path").alias("file"))
+    # Both are the same listing; only the number of slashes behind the scheme may differ.
+    one_slash = F.regexp_replace("file", r"\A([A-Za-z0-9+.-]+:)/+(?=/)", "$1")
+    listed = spark.createDataFrame([(name,) for name in source.inputFiles()], "file string")
+    return listed.select(one_slash.alias("file")).join(filled.select(one_slash.alias("file")), "file", "left_anti")
+
+
+def read_files(spark: SparkSession, *paths: str, optional: bool = False) -> DataFrame:
+    """(file, text), one row per file, also of an empty one.
+
+    Where no path exists at all, ``optional`` gives no rows instead of an error.
+    """
+    try:
+        source = spark.read.text(list(paths), wholetext=True)
+    except AnalysisException as error:
+        if optional and error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], "file string, text string")
+        raise
+    filled = source.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return filled.unionByName(empty_files(spark, *paths).withColumn("text", F.lit("")))
 
 
 def _entries(body: Column) -> Column:
@@ -43,13 +66,15 @@ def parse_section(files: DataFrame, section: str) -> DataFrame:
     rest = [name for name in files.columns if name != "text"]
     header = r"\A\[([^\]\r\n]+)\]"
     chunks = F.split("text", rf"(?:\A|(?<=[\n\r]))(?=\[[^\]\r\n]+\])")
-    cut = files.select(*rest, F.posexplode(chunks).alias("_chunk", "_body")).withColumn(
+    # Outer generators and filters on what they give: the text is cut once.
+    cut = files.select(*rest, F.posexplode_outer(chunks).alias("_chunk", "_body")).withColumn(
         "_section", F.regexp_extract("_body", header, 1)
     )
     body = F.regexp_replace("_body", header + r"[^\n\r]*(?:\r\n|[\n\r])?", "")
     entries = (
         cut.filter(F.col("_section").isin(section, DEFAULT_SECTION))
-        .select(*rest, "_chunk", "_section", F.posexplode(_entries(body)).alias("_at", "_entry"))
+        .select(*rest, "_chunk", "_section", F.posexplode_outer(_entries(body)).alias("_at", "_entry"))
+        .filter(F.col("_at").isNotNull())
     )
     pair = r"(?s)\A([^=:]*)(?:([=:])(.*))?\z"
     value = F.when(F.regexp_extract("_entry", pair, 2) == "", "true").otherwise(
@@ -65,18 +90,25 @@ def parse_section(files: DataFrame, section: str) -> DataFrame:
 
 
 def read_settings(spark: SparkSession, main: str, section: str, run_id: str = "") -> DataFrame:
-    """A main settings file, if there is one, and its drop-ins ``<main>.d/*.conf``.
+    """A main settings file and its drop-ins ``<main>.d/*.conf``, as far as there are any.
 
     Gives the (run_id, layer, file, seq, key, value) rows that
-    ``effective_settings`` resolves. Entries of the default section lie below
-    all others.
+    ``effective_settings`` resolves; without any file, none.
     """
-    files = read_files(spark, f"{main}{{,.d/*.conf}}")
+    files = read_files(spark, f"{main}{{,.d/*.conf}}", optional=True)
     name = main.rsplit("/", 1)[-1]
-    is_main = F.substring_index("file", "/", -1) == name
+    return section_settings(files, section, F.substring_index("file", "/", -1) == name, F.lit(run_id))
+
+
+def section_settings(files: DataFrame, section: str, is_main: Column, run_id: Column) -> DataFrame:
+    """Settings rows of sectioned files (file, text).
+
+    Entries of the default section lie below those of the section, but are still
+    set by a file: their old keys are renamed as well.
+    """
     return parse_section(files, section).select(
-        F.lit(run_id).alias("run_id"),
-        F.when(F.col("from_default"), DEFAULTS).when(is_main, MAIN_FILE).otherwise(DROP_IN).alias("layer"),
+        run_id.alias("run_id"),
+        F.when(F.col("from_default"), FILE_DEFAULTS).when(is_main, MAIN_FILE).otherwise(DROP_IN).alias("layer"),
         "file",
         "seq",
         "key",
@@ -111,26 +143,31 @@ def read_pairs(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_service_settings(spark: SparkSession, paths: Sequence[str], run_id: str = "") -> DataFrame:
-    """Service settings in layers, each path over the one before it.
+    """Service settings in layers, each path over the one before it; a missing path adds none."""
+    layers = [
+        service_settings(read_files(spark, path, optional=True), F.lit(number), F.lit(run_id))
+        for number, path in enumerate(paths)
+    ]
+    return reduce(DataFrame.unionByName, layers)
+
+
+def service_settings(files: DataFrame, layer: Column, run_id: Column) -> DataFrame:
+    """Settings rows of ``key=value`` files (file, text).
 
     Comments and lines without ``=`` are passed over, and quotes around a value
     are dropped only where there are some.
     """
-
-    def layer(number: int, path: str) -> DataFrame:
-        parts = F.split("_line", "=", 2)
-        value = F.regexp_replace(strip(F.get(parts, F.lit(1))), r"""\A(["'])(.*)\1\z""", "$2")
-        return (
-            explode_lines(read_files(spark, path), "text", "_line", "_at", first=0)
-            .filter(F.col("_line").contains("=") & ~strip(F.col("_line")).startswith("#"))
-            .select(
-                F.lit(run_id).alias("run_id"),
-                F.lit(number).alias("layer"),
-                "file",
-                F.col("_at").cast("bigint").alias("seq"),
-                strip(F.get(parts, F.lit(0))).alias("key"),
-                value.alias("value"),
-            )
+    parts = F.split("_line", "=", 2)
+    value = F.regexp_replace(strip(F.get(parts, F.lit(1))), r"""\A(["'])(.*)\1\z""", "$2")
+    return (
+        explode_lines(files, "text", "_line", "_at", first=0)
+        .filter(F.col("_line").contains("=") & ~strip(F.col("_line")).startswith("#"))
+        .select(
+            run_id.alias("run_id"),
+            layer.alias("layer"),
+            "file",
+            F.col("_at").cast("bigint").alias("seq"),
+            strip(F.get(parts, F.lit(0))).alias("key"),
+            value.alias("value"),
         )
-
-    return reduce(DataFrame.unionByName, [layer(number, path) for number, path in enumerate(paths)])
+    )

@@ -14,7 +14,8 @@ from fleetlens.operators import bundle, drift, inventory, listing, logs, paging,
 from fleetlens.operators import select, settings, status
 from fleetlens.plans import collect
 from fleetlens.plans.tiers import host_tiers
-from fleetlens.sources.settings import parse_pairs
+from fleetlens.sources.reports import collected_files, host_listings
+from fleetlens.sources.settings import parse_pairs, section_settings, service_settings
 
 from . import views as v
 
@@ -115,6 +116,12 @@ def list_all_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.list_hosts(fleet(spark, sf_dir))
 
 
+def listing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = {"hosts": ["*7"], "datacenters": ["A*", "E*"]}
+    chosen = select.select_hosts(fleet(spark, sf_dir), **options)
+    return listing.listing_report(chosen, **options)
+
+
 def sift_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     sifted = sift_column(comma_list(F.col("option_value")))
     return v.selection(spark, sf_dir).select(
@@ -132,6 +139,10 @@ def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect.collection_plan(fleet(spark, sf_dir), v.host_version(spark, sf_dir), TIERS)
 
 
+def collection_plan_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collect.collection_plan(fleet(spark, sf_dir), v.several_versions(spark, sf_dir), TIERS)
+
+
 def collection_plan_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect.collection_plan(
         fleet(spark, sf_dir), v.host_version(spark, sf_dir), TIERS, ticket="4711", log_size=50
@@ -168,8 +179,7 @@ def report_refs_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sections.section_lookup(v.report(spark, sf_dir), "###")
-    return found.filter(F.col("host").isNotNull())
+    return sections.section_lookup(v.report(spark, sf_dir), "###")
 
 
 def section_lookup_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,12 +226,33 @@ def default_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.with_defaults(settings.effective_settings(rows), DEFAULTS, asked)
 
 
+def sectioned_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections, defaults below them, and old keys in either."""
+    files = v.sectioned_file(spark, sf_dir)
+    run = F.concat(F.lit("run-"), "doc_id")
+    rows = section_settings(files, "Tool", F.col("file").endswith("/tool.conf"), run)
+    return settings.effective_settings(rows)
+
+
+def service_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = service_settings(v.service_file(spark, sf_dir), F.col("layer"), F.concat(F.lit("run-"), "doc_id"))
+    return settings.effective_settings(rows, renamed={})
+
+
+def host_listing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_listings(v.listing_file(spark, sf_dir))
+
+
+def collected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collected_files(v.landed_file(spark, sf_dir), "/landing").select("bundle", "path", "length")
+
+
 def key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_pairs(v.report(spark, sf_dir))
 
 
 def redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redact.redact_rows(v.report(spark, sf_dir), ["token"], "text")
+    return redact.redact_rows(v.report(spark, sf_dir), ["token", "password", "api_key", "secret"], "text")
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +264,10 @@ def bundle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.bundle_manifest(files.select("bundle", F.octet_length("content").alias("length")))
 
 
+def bundle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bundle.bundle_messages(bundle.file_manifest(v.bundle_file(spark, sf_dir)), "/var/tmp/bundles")
+
+
 def host_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = v.host(spark, sf_dir).select(
         F.col("address").alias("host"), F.concat(F.lit("/var/tmp/sosreport-"), "address", F.lit(".tar.xz")).alias("path")
@@ -267,6 +302,11 @@ def log_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("seq", "level", "route")
 
 
+def log_routes_quiet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = logs.route_records(logs.parse_log_lines(v.log_line(spark, sf_dir)), quiet=True, log_file=False)
+    return routed.select("seq", "level", "route")
+
+
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.message_lines(v.log_message(spark, sf_dir))
 
@@ -292,8 +332,10 @@ QUERIES: dict[str, Query] = {
     "chain_flag": chain_flag,
     "list_hosts": list_hosts,
     "list_all_hosts": list_all_hosts,
+    "listing_report": listing_report,
     "version_tier": version_tier,
     "collection_plan": collection_plan,
+    "collection_plan_latest": collection_plan_latest,
     "collection_plan_capped": collection_plan_capped,
     "engine_plan": engine_plan,
     "engine_plan_unmasked": engine_plan_unmasked,
@@ -313,14 +355,20 @@ QUERIES: dict[str, Query] = {
     "settings_check": settings_check,
     "default_settings": default_settings,
     "key_values": key_values,
+    "sectioned_settings": sectioned_settings,
+    "service_layers": service_layers,
+    "host_listings": host_listing_files,
+    "collected_files": collected,
     "redact": redacted,
     "file_manifest": file_manifest,
     "bundle_manifest": bundle_manifest,
+    "bundle_messages": bundle_messages,
     "host_files": host_files,
     "database_files": database_files,
     "bundle_names": bundle_names,
     "run_status": run_status,
     "log_lines": log_lines,
     "log_routes": log_routes,
+    "log_routes_quiet": log_routes_quiet,
     "message_lines": message_lines,
 }

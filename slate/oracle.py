@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .views import with_views
 
+# Report names, here and in the lists inside the queries.
 _BASE = (
     "['libvirt','vdsm','networking','hardware','process','filesys',"
     "'devicemapper','selinux','kernel','memory','rpm']"
@@ -97,7 +98,7 @@ def _engine(own: str, dwh: str) -> str:
                 || case when has_dwh then ['fleet_engine_dwh'] else [] end
                 || case when plugins like '%fleet_engine_reports%' then ['fleet_engine_reports'] else [] end,
                 ',') reports,
-            concat_ws(' ', '-k rpm.rpmva=off', '-k apache.log=True',
+            concat_ws(' ', '--batch --build', '-k rpm.rpmva=off', '-k apache.log=True',
                 '-k ' || plugin || '.sensitive_keys=' || {own},
                 '-k fleet_engine_dwh.sensitive_keys=' || {dwh},
                 '--ticket-number=' || ticket,
@@ -128,8 +129,14 @@ def _refs(source: str) -> str:
             from {source} group by report_id)""")
 
 
-def _section(where: str) -> str:
-    return with_views(f"""
+def _and(more: str, query: str) -> str:
+    return with_views("select 1").rsplit("\nselect 1", 1)[0] + "," + more + "\n" + query
+
+
+def _section(where: str, every: bool = False) -> str:
+    rows = "v_report left join found using (report_id)" if every else "found"
+    found = f"""
+    found as (
         select report_id, trim(string_split(line, ':')[1]) host, trim(string_split(line, ':')[2]) as port,
             trim(string_split(line, ':')[4]) as admin,
             case when len(string_split(line, ':')) >= 5
@@ -140,7 +147,8 @@ def _section(where: str) -> str:
                 on l.report_id = m.report_id and l.line_no > m.marker
             where l.line not like '#%' and l.line not like '%###%' and trim(l.line) <> ''
             group by 1)
-        where {where}""")
+        where {where})"""
+    return _and(found, f"select report_id, host, port, admin, pass from {rows}")
 
 
 _CREDENTIALS = """
@@ -155,7 +163,9 @@ _CREDENTIALS = """
 
 _DRIFT = """
     drift as (
-        select probe_id, host, outcome, strftime(host_at, '%Y-%m-%d %H:%M:%S') || '+00:00' host_time_text,
+        select probe_id, host, outcome, strftime(host_at, '%Y-%m-%d %H:%M:%S') ||
+                case when us(host_at) = 0 then '' else '.' || lpad(cast(us(host_at) as varchar), 6, '0') end
+                || '+00:00' host_time_text,
             strftime(engine_time, '%Y-%m-%d %H:%M:%S') ||
                 case when us(engine_time) = 0 then '' else '.' || lpad(cast(us(engine_time) as varchar), 6, '0') end
                 || '+00:00' engine_time_text,
@@ -166,17 +176,9 @@ _DRIFT = """
             lpad(cast(r // 1000000 % 60 as varchar), 2, '0') ||
             case when r % 1000000 = 0 then '' else '.' || lpad(cast(r % 1000000 as varchar), 6, '0') end drift
         from (select *, abs(gap) // 86400000000 d, abs(gap) % 86400000000 r
-            from (select *, date_diff('microsecond', engine_time, host_at) gap
-                from (select *, case when host_time_raw like '%+00:00'
-                            then strptime(replace(host_time_raw, '+00:00', ''), '%Y-%m-%dT%H:%M:%S') end host_at,
-                        case when host_time_raw like '%+00:00' then 'ok'
-                            when try_strptime(host_time_raw, '%Y-%m-%dT%H:%M:%S') is not null then 'warn'
-                            else 'skipped' end outcome
-                    from v_clock))))""".replace("us(engine_time)", "(epoch_us(engine_time) % 1000000)")
-
-
-def _and(more: str, query: str) -> str:
-    return with_views("select 1").rsplit("\nselect 1", 1)[0] + "," + more + "\n" + query
+            from (select *, date_diff('microsecond', engine_time, host_at) gap from v_clock)))"""
+for _time in ("engine_time", "host_at"):
+    _DRIFT = _DRIFT.replace(f"us({_time})", f"(epoch_us({_time}) % 1000000)")
 
 
 ORACLE: dict[str, str] = {
@@ -250,7 +252,7 @@ ORACLE: dict[str, str] = {
         select p_partkey host,
             case when p_partkey % 3 <> 0 then case when p_size >= 40 then 'sos report' else 'sosreport' end end command,
             case when p_partkey % 3 <> 0 then 'postgresql' end report,
-            case when p_partkey % 3 <> 0 then concat_ws(' ',
+            case when p_partkey % 3 <> 0 then concat_ws(' ', '--batch',
                 case when p_partkey % 7 = 0 then '--ticket-number=T' || p_partkey end,
                 case when p_size % 4 <> 0 then '--log-size=' || (p_size * 4) end,
                 case when p_size < 30 then '--report' end,
@@ -263,7 +265,7 @@ ORACLE: dict[str, str] = {
         from v_report_line where line like '%token%' group by report_id"""),
     "report_refs": _refs("v_output_line"),
     "report_refs_of_lines": _refs("v_output_line"),
-    "section_lookup": _section("true"),
+    "section_lookup": _section("true", every=True),
     "section_lookup_of_lines": _section("true"),
     "credential_lookup": _and(
         """
@@ -289,15 +291,15 @@ ORACLE: dict[str, str] = {
         from drift where outcome = 'ok'""",
     ),
     "effective_settings": with_views("""
-        select run_id, key, arg_max(value, layer * 1000000000000 + seq) as value
+        select run_id, key, arg_max(value, layer * 10000000000000 + file_no * 1000000000000 + seq) as value
         from v_setting where value is not null group by run_id, key"""),
     "renamed_settings": with_views("""
         select run_id, new_key as key, arg_max(value, rank) as value
         from (select *, case when layer in (1, 2) and key = 'key_1' then 'key_2'
                     when layer in (1, 2) and key = 'key_3' then 'key_new' else key end new_key,
-                case when layer in (1, 2) then 1 else layer end * 100000000000000
-                + case when layer in (1, 2) and key in ('key_1', 'key_3') then 0 else 10000000000000 end
-                + layer * 1000000000000 + seq rank
+                case when layer in (1, 2) then 2 else layer end * 10000000000000000
+                + case when layer in (1, 2) and key in ('key_1', 'key_3') then 0 else 1000000000000000 end
+                + layer * 100000000000000 + file_no * 1000000000000 + seq rank
             from v_setting where value is not null)
         group by 1, 2"""),
     "render_template": with_views("""
@@ -320,10 +322,49 @@ ORACLE: dict[str, str] = {
         from (select *, regexp_replace(substr(line, instr(line, '=') + 1), '^\\s+|\\s+$', '', 'g') v
             from v_report_line where instr(line, '=') > 0)"""),
     "redact": with_views("""
-        select report_id, regexp_replace(text,
-            '(^|[^0-9A-Za-z_])(token)([ \\t]*[=:][ \\t]*)("[^"\\r\\n]*"|''[^''\\r\\n]*''|[^ \\t\\r\\n]+)',
-            '\\1\\2\\3********', 'g') as text
+        select report_id, array_to_string(list_transform(string_split(text, 'token = "'), lambda part, nth:
+            case when nth = 1 then part else '********' || substr(part, instr(part, '"') + 1) end), 'token = ') as text
         from v_report"""),
+    "sectioned_settings": """
+        select 'run-' || doc_id run_id, unnest(['lang', 'engine', 'shared', 'size']) as key,
+            unnest([lang, 'host-' || doc_id, source, n_chars || chr(10) || 'bytes']) as value
+        from documents""",
+    "service_layers": """
+        select 'run-' || doc_id run_id, unnest(['HOST', 'PORT', 'LANG']) as key,
+            unnest([source, case when doc_id % 3 = 0 then cast(n_chars as varchar) else '1' end,
+                case when doc_id % 3 = 0 then 'x=' || lang else lang end]) as value
+        from documents""",
+    "host_listings": """
+        select 'host-' || (doc_id % 97) host, '/landing/host-' || (doc_id % 97) || '/selinux/ls-' || doc_id as file,
+            case when doc_id % 5 = 0 then '' else text end as text
+        from documents""",
+    "collected_files": """
+        select source bundle, 'file:/landing/' || source || '/deep/' || doc_id || '.txt' as path,
+            cast(case when doc_id % 5 = 0 then 0 else octet_length(encode(text)) end as bigint) length
+        from documents""",
+    "listing_report": with_views("""
+        select 0 part, cast(null as varchar) address,
+            'Host list (datacenter=A*,E*, cluster=None, host=*7):' line
+        union all
+        select 1, null, format('{:<20} | {:<20} | {:<20} | {:<7} | {}',
+            'Data Center', 'Cluster', 'Hostname/IP Address', 'SPM', 'Up')
+        union all select 2, address, line from (""" + _LISTING + """
+            where address like '%7' and (datacenter like 'A%' or datacenter like 'E%'))"""),
+    "collection_plan_latest": _plan("", None),
+    "bundle_messages": with_views("""
+        select bundle, checksum, size,
+            'Log files have been collected and placed in /var/tmp/bundles/' || bundle || chr(10) ||
+            'The sha256 for this file is ' || checksum || ' and its size is ' || size ||
+            case when bytes >= 1048576000 then chr(10) || 'You can use the following filters -c, -d, -H in the next '
+                || 'execution to limit the number of Datacenters,' || chr(10) || 'Clusters or Hosts that are collected '
+                || 'in order to reduce the archive size.' else '' end message
+        from (select bundle, printf('%.1fM', sum(length) / 1048576.0) size, sum(length) bytes,
+                lpad(lower(to_hex(bit_xor(cast('0x' || substr(h, 1, 15) as bigint)))), 15, '0') ||
+                lpad(lower(to_hex(bit_xor(cast('0x' || substr(h, 16, 15) as bigint)))), 15, '0') ||
+                lpad(lower(to_hex(bit_xor(cast('0x' || substr(h, 31, 15) as bigint)))), 15, '0') ||
+                lpad(lower(to_hex(bit_xor(cast('0x' || substr(h, 46, 15) as bigint)))), 15, '0') checksum
+            from (select *, sha256(sha256(sha256 || '  ' || path) || ' 1') h from v_bundle_file)
+            group by bundle)"""),
     "file_manifest": with_views("select bundle, path as name, length, sha256 from v_bundle_file"),
     "bundle_manifest": with_views("""
         select bundle, count(*) files, cast(sum(length) as bigint) bytes,
@@ -346,11 +387,15 @@ ORACLE: dict[str, str] = {
         select run_id, coalesce(arg_max(status_set, seq) filter (where status_set is not null), 0) status,
             case when bool_or(status_set = 1) then 1 when bool_or(status_set = 2) then 2 else 0 end worst_status
         from v_run_event group by run_id"""),
-    "log_lines": with_views("select seq, time, level, module, lineno, logger, message, severity from v_log"),
+    "log_lines": with_views("select seq, line, parsed, time, level, module, lineno, logger, message, severity from v_log"),
     "log_routes": with_views("""
         select seq, level, 'file' as route from v_log where severity >= 20
         union all select seq, level, 'stderr' from v_log where severity >= 40
-        union all select seq, level, 'stdout' from v_log where severity >= 20 and severity < 40"""),
+        union all select seq, level, 'stdout' from v_log where severity >= 20 and severity < 40
+        union all select seq, level, 'unparsed' from v_log where severity is null"""),
+    "log_routes_quiet": with_views("""
+        select seq, level, 'stderr' as route from v_log where severity >= 40
+        union all select seq, level, 'unparsed' from v_log where severity is null"""),
     "message_lines": with_views("""
         select seq, cast(unnest(range(1, len(parts) + 1)) as int) part, unnest(parts) message
         from (select seq, string_split(regexp_replace(replace(message, chr(13) || chr(10), chr(10)), '\\n$', ''),

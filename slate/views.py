@@ -60,16 +60,24 @@ def alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alias_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aliases that also lead from some addresses to a wanted name."""
-    back = table(spark, sf_dir, "customer").filter("c_custkey % 500 = 7")
-    return alias(spark, sf_dir).union(back.selectExpr("c_name", "concat('Supplier#', lpad(cast(c_custkey % 60 as string), 9, '0'))"))
+    """Aliases that also lead from some addresses to a wanted name; half of all names share one ip."""
+    back = table(spark, sf_dir, "customer").selectExpr(
+        "c_name",
+        "case when c_custkey % 500 = 7 then concat('Supplier#', lpad(cast(c_custkey % 60 as string), 9, '0')) "
+        "when c_custkey % 2 = 0 then 'shared-address' else concat('other-', c_custkey) end",
+    )
+    return alias(spark, sf_dir).union(back)
 
 
 def wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "supplier")
         .selectExpr("s_name name")
-        .union(table(spark, sf_dir, "customer").filter("c_custkey % 250 = 3").select("c_name"))
+        .union(
+            table(spark, sf_dir, "customer").selectExpr(
+                "case when c_custkey % 250 = 3 then c_name else concat('gone-', c_name) end"
+            )
+        )
         .union(spark.sql("select explode(array('no-such-host', 'Customer#999999999'))"))
     )
 
@@ -101,13 +109,19 @@ def collector_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    """Probes whose host clock is some hours off, written in all the forms a clock is read in."""
+    shifted = table(spark, sf_dir, "events").selectExpr(
+        "*", "ts + make_dt_interval(0, 0, 0, (event_id % 7 - 3) * 40000) at"
+    )
+    return shifted.selectExpr(
         "event_id probe_id",
         "concat('user_', user_id) host",
         "case when event_id % 13 = 0 then 'garbage' "
         "when event_id % 17 = 0 then date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") "
-        "else date_format(ts + make_dt_interval(0, 0, 0, (event_id % 7 - 3) * 40000), "
-        "\"yyyy-MM-dd'T'HH:mm:ss'+00:00'\") end host_time_raw",
+        "when event_id % 19 = 0 then date_format(at, \"yyyy-MM-dd'T'HH:mm'+00:00'\") "
+        "when event_id % 23 = 0 then date_format(at, \"yyyyMMdd'T'HHmmss'Z'\") "
+        "when event_id % 29 = 0 then date_format(at, \"yyyy-MM-dd HH:mm:ss',250+0000'\") "
+        "else date_format(at, \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\") end host_time_raw",
         "cast(ts as timestamp) engine_time",
     )
 
@@ -117,7 +131,7 @@ def setting(spark: SparkSession, sf_dir: str, run: str = "'run'", key: str = "us
         f"{run} run_id",
         "case event_type when 'view' then 0 when 'click' then 1 when 'signup' then 2 "
         "when 'purchase' then 3 else 4 end layer",
-        "cast(null as string) file",
+        "case event_type when 'click' then 'main' when 'signup' then concat('drop-in-', event_id % 3) end file",
         "event_id seq",
         f"concat('key_', {key}) key",
         "case when cast(get_json_object(props, '$.k') as int) % 10 = 0 then null "
@@ -156,6 +170,12 @@ def host_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def several_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with an earlier report of every host, which does not count."""
+    now = host_version(spark, sf_dir)
+    return now.union(now.selectExpr("host", "'0.0'", "'vdsm'"))
+
+
 def engine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_partkey host",
@@ -196,10 +216,11 @@ def run_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id seq",
-        "concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '::', "
+        "case when event_id % 29 = 0 then concat('Traceback of ', user_id, '::', props) else "
+        "concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '::', case when event_id % 31 = 0 then 'NOTICE' else "
         "case event_type when 'error' then 'ERROR' when 'purchase' then 'CRITICAL' when 'view' then 'DEBUG' "
-        "when 'click' then 'INFO' else 'WARNING' end, '::mod_', user_id % 9, '::', event_id, "
-        "'::root:: a::b ', props) line",
+        "when 'click' then 'INFO' else 'WARNING' end end, '::mod_', user_id % 9, '::', event_id, "
+        "'::root:: a::b ', props) end line",
     )
 
 
@@ -218,6 +239,48 @@ def bundle_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sectioned_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings files with sections; the old key sits in the section or among the defaults."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id",
+        "case doc_id % 3 when 0 then concat('/etc/run-', doc_id, '/tool.conf') "
+        "else concat('/etc/run-', doc_id, '/tool.conf.d/', doc_id % 7, '.conf') end file",
+        "concat('stray = 1\n[Tool]\nlang = ', lang, '\n; lang = none\n', "
+        "if(doc_id % 2 = 0, concat('rhevm: host-', doc_id, '\n'), ''), "
+        "'[Other]\nlang = other\n[DEFAULT]\nlang = base\nshared = ', source, '\n', "
+        "if(doc_id % 2 = 1, concat('rhevm = host-', doc_id, '\n'), ''), "
+        "'[Tool]\nsize = ', n_chars, '\n  bytes\n') text",
+    )
+
+
+def service_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Service settings in two layers; a third of the services have the upper one."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id",
+        "explode(filter(array("
+        "named_struct('layer', 0, 'file', 'defaults', 'text', concat('# HOST=no\nHOST=\"', source, "
+        "'\"\nno pair\nPORT = 1\nLANG=', lang, '\n')), "
+        "if(doc_id % 3 = 0, named_struct('layer', 1, 'file', 'override', 'text', concat('PORT=\\'', n_chars, "
+        "'\\'\n LANG = x=', lang)), null)), f -> f is not null)) f",
+    ).select("doc_id", "f.*")
+
+
+def listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory listings landed per host; every fifth is empty."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "concat('/landing/host-', doc_id % 97, '/selinux/ls-', doc_id) file", "if(doc_id % 5 = 0, '', text) text"
+    )
+
+
+def landed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files below a landing folder, some empty."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "concat('file:/landing/', source, '/deep/', doc_id, '.txt') path",
+        "cast(if(doc_id % 5 = 0, 0, octet_length(text)) as bigint) length",
+        "cast(if(doc_id % 5 = 0, '', text) as binary) content",
+    )
+
+
 def database_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing of database reports; some with checksum files of either kind."""
     return table(spark, sf_dir, "documents").selectExpr(
@@ -266,11 +329,12 @@ SQL = {
     "v_alias": "select s_name as name, 'Customer#' || lpad(cast(s_suppkey as varchar), 9, '0') ip from supplier",
     "v_alias_both": """
         select * from v_alias union all
-        select c_name, 'Supplier#' || lpad(cast(c_custkey % 60 as varchar), 9, '0')
-        from customer where c_custkey % 500 = 7""",
+        select c_name, case when c_custkey % 500 = 7 then 'Supplier#' || lpad(cast(c_custkey % 60 as varchar), 9, '0')
+            when c_custkey % 2 = 0 then 'shared-address' else 'other-' || c_custkey end
+        from customer""",
     "v_wanted": """
         select s_name as name from supplier
-        union select c_name from customer where c_custkey % 250 = 3
+        union select case when c_custkey % 250 = 3 then c_name else 'gone-' || c_name end from customer
         union select unnest(['no-such-host', 'Customer#999999999'])""",
     "v_pattern": """
         select case n_nationkey % 5 when 0 then '*' || lpad(cast(n_nationkey as varchar), 2, '0') || '7'
@@ -299,24 +363,27 @@ SQL = {
         select report_id, cast(unnest(range(1, len(parts) + 1)) as int) line_no, unnest(parts) line
         from (select report_id, string_split(text, chr(10)) parts from v_output)""",
     "v_clock": """
-        select event_id probe_id, 'user_' || user_id host,
-            case when event_id % 13 = 0 then 'garbage'
-                when event_id % 17 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S')
-                else strftime(ts + to_seconds((event_id % 7 - 3) * 40000), '%Y-%m-%dT%H:%M:%S+00:00')
-                end host_time_raw,
-            ts engine_time
-        from events""",
+        select event_id probe_id, 'user_' || user_id host, ts engine_time,
+            case when event_id % 13 = 0 then 'skipped' when event_id % 17 = 0 then 'warn' else 'ok' end outcome,
+            case when event_id % 13 = 0 or event_id % 17 = 0 then null
+                when event_id % 19 = 0 then date_trunc('minute', shifted)
+                when event_id % 23 = 0 then date_trunc('second', shifted)
+                when event_id % 29 = 0 then date_trunc('second', shifted) + to_milliseconds(250)
+                else date_trunc('second', shifted) end host_at
+        from (select *, ts + to_seconds((event_id % 7 - 3) * 40000) shifted from events)""",
     "v_setting": """
         select 'run' run_id, user_id, event_id,
             case event_type when 'view' then 0 when 'click' then 1 when 'signup' then 2
                 when 'purchase' then 3 else 4 end layer,
+            case event_type when 'signup' then event_id % 3 else 0 end file_no,
             event_id seq, 'key_' || (user_id % 40) as key,
             case when cast(props ->> '$.k' as int) % 10 = 0 then null else props ->> '$.k' end as value
         from events""",
     "v_run_setting": """
-        select 'run_' || user_id run_id, layer, seq, 'key_' || (event_id % 6) as key, value from v_setting""",
+        select 'run_' || user_id run_id, layer, file_no, seq, 'key_' || (event_id % 6) as key, value
+        from v_setting""",
     "v_run_effective": """
-        select run_id, key, arg_max(value, layer * 1000000000000 + seq) as value
+        select run_id, key, arg_max(value, layer * 10000000000000 + file_no * 1000000000000 + seq) as value
         from v_run_setting where value is not null group by run_id, key""",
     "v_credential_line": """
         select user_id report_id, event_id line_no,
@@ -345,17 +412,20 @@ SQL = {
             case event_type when 'error' then 2 when 'purchase' then 1 when 'signup' then 0 end status_set
         from events""",
     "v_log_line": """
-        select event_id seq, strftime(ts, '%Y-%m-%d %H:%M:%S') || '::' ||
-            case event_type when 'error' then 'ERROR' when 'purchase' then 'CRITICAL' when 'view' then 'DEBUG'
-                when 'click' then 'INFO' else 'WARNING' end ||
-            '::mod_' || (user_id % 9) || '::' || event_id || '::root:: a::b ' || props line
+        select event_id seq, case when event_id % 29 = 0 then 'Traceback of ' || user_id || '::' || props else
+            strftime(ts, '%Y-%m-%d %H:%M:%S') || '::' ||
+            case when event_id % 31 = 0 then 'NOTICE' else case event_type when 'error' then 'ERROR' when 'purchase' then 'CRITICAL' when 'view' then 'DEBUG'
+                when 'click' then 'INFO' else 'WARNING' end end ||
+            '::mod_' || (user_id % 9) || '::' || event_id || '::root:: a::b ' || props end line
         from events""",
     "v_log": """
-        select seq, g['time'] as time, g['level'] as level, g['module'] as module,
-            cast(g['lineno'] as int) lineno, g['logger'] as logger, g['message'] as message,
+        select seq, line, parsed, case when parsed then g['time'] end as time,
+            case when parsed then g['level'] end as level, case when parsed then g['module'] end as module,
+            case when parsed then cast(g['lineno'] as int) end lineno,
+            case when parsed then g['logger'] end as logger, case when parsed then g['message'] end as message,
             case g['level'] when 'DEBUG' then 10 when 'INFO' then 20 when 'WARNING' then 30
                 when 'ERROR' then 40 when 'CRITICAL' then 50 end severity
-        from (select seq, regexp_extract(line, '(?s)^(.*?)::(.*?)::(.*?)::(.*?)::(.*?):: ?(.*)$',
+        from (select seq, line, line not like 'Traceback%' parsed, regexp_extract(line, '(?s)^(.*?)::(.*?)::(.*?)::(.*?)::(.*?):: ?(.*)$',
             ['time', 'level', 'module', 'lineno', 'logger', 'message']) g from v_log_line)""",
     "v_log_message": """
         select event_id seq, event_type || case event_id % 3 when 1 then chr(10) || props

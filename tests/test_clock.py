@@ -35,6 +35,13 @@ PROBES = [
     ("2024-03-01T17:30:00.250000+05:30", "ok", 250_000, "2024-03-01 17:30:00.250000+05:30"),
     ("2024-03-03T12:00:00+00", "ok", 172_800_000_000, "2024-03-03 12:00:00+00:00"),
     ("2024-03-01T12:00:00", "warn", None, None),
+    ("2024-03-01T12:00", "warn", None, None),
+    ("2024-03-01T13:00+01:00", "ok", 0, "2024-03-01 13:00:00+01:00"),
+    ("20240301T120001Z", "ok", 1_000_000, "2024-03-01 12:00:01+00:00"),
+    ("20240301T1200+0000", "ok", 0, "2024-03-01 12:00:00+00:00"),
+    ("2024-03-01 12:00:00,5 +00:00", "ok", 500_000, "2024-03-01 12:00:00.500000+00:00"),
+    ("2024-03-01T12:00:00.1234567Z", "ok", 123_456, "2024-03-01 12:00:00.123456+00:00"),
+    ("2024-03-01T12:60:00Z", "skipped", None, None),
     ("2024-13-01T12:00:00+00:00", "skipped", None, None),
     ("99999-03-01T12:00:00+00:00", "skipped", None, None),
     ("garbage", "skipped", None, None),
@@ -68,9 +75,11 @@ def test_drift_does_not_depend_on_the_session_zone(spark):
 def test_report_has_header_first_and_is_sorted(spark, tmp_path):
     lines = [row.line for row in drift_report(_probes(spark)).collect()]
     assert lines[0] == DRIFT_HEADER
-    assert len(lines) == 7 and lines[1:] == sorted(lines[1:])
+    count = sum(probe[1] == "ok" for probe in PROBES)
+    assert len(lines) == 1 + count and lines[1:] == sorted(lines[1:])
+    assert sorted(row.line for row in drift_report(_probes(spark), ordered=False).collect()) == sorted(lines)
     assert lines[2] == "%-17s : %-33s : %-33s : %-35s" % (
         "host01 ", "2024-03-01 13:00:05+01:00", "2024-03-01 12:00:00+00:00", "+0:00:05",
     )
     write_drift_report(_probes(spark), str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).count() == 7
+    assert spark.read.text(str(tmp_path / "out")).count() == 1 + count

@@ -2,6 +2,7 @@ import datetime
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
@@ -36,7 +37,7 @@ def test_names(rows):
 
 
 def test_manifests(spark, tmp_path):
-    content = {"b1/one.bin": b"\x00\xff" * 500, "b1/two.txt": b"two", "b2/deep/three": b"3"}
+    content = {"b1/one.bin": b"\x00\xff" * 500, "b1/two.txt": b"two", "b2/deep/three": b"3", "b2/no thing": b""}
     for name, data in content.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_bytes(data)
@@ -47,8 +48,16 @@ def test_manifests(spark, tmp_path):
         for name, data in content.items()
     }
     sizes = bundle.bundle_manifest(files)
-    assert sorted(tuple(row) for row in sizes.collect()) == [("b1", 2, 1003, "0.0M", False), ("b2", 1, 1, "0.0M", False)]
+    assert sorted(tuple(row) for row in sizes.collect()) == [("b1", 2, 1003, "0.0M", False), ("b2", 2, 1, "0.0M", False)]
     assert "ReadSchema: struct<path:string,length:bigint>" in plan_of(sizes)
+    told = {row.bundle: row for row in bundle.bundle_messages(bundle.file_manifest(files), "/out").collect()}
+    assert told["b1"].message == (
+        "Log files have been collected and placed in /out/b1\n"
+        f"The sha256 for this file is {told['b1'].checksum} and its size is 0.0M"
+    )
+    assert len(told["b1"].checksum) == 60 and told["b1"].checksum != told["b2"].checksum
+    again = bundle.bundle_checksums(bundle.file_manifest(files).repartition(7)).collect()
+    assert {row.bundle: row.checksum for row in again} == {name: row.checksum for name, row in told.items()}
     sinks.write_manifest(sizes, str(tmp_path / "out" / "manifest"))
     assert spark.read.json(str(tmp_path / "out" / "manifest")).count() == 2
     sinks.write_checksums(bundle.file_manifest(files), str(tmp_path / "out" / "sums"))
@@ -77,6 +86,16 @@ def test_database_files(rows):
 def test_host_folders(rows, spark, tmp_path):
     df = rows("host string, path string", ("h1", "/t/r.tar"), ("h2", "/t/r.tar"))
     sinks.write_host_files(df, str(tmp_path / "out"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        sinks.write_host_files(df, str(tmp_path / "out"))
+    # Overwriting one host leaves the others as they are.
+    sinks.write_host_files(df.filter("host = 'h1'"), str(tmp_path / "out"), mode="overwrite")
+    many = df.crossJoin(spark.range(500)).repartition(16)
+    sinks.write_host_files(many.select("host", "path"), str(tmp_path / "many"))
+    assert len(list((tmp_path / "many").glob("host=h1/*.parquet"))) == 1
+    routed = rows("seq int, route string", (1, "file"), (2, "stderr"), (3, None))
+    sinks.write_routed(routed, str(tmp_path / "routed"))
+    assert spark.read.json(str(tmp_path / "routed")).count() == 3
     assert sorted(path.name for path in (tmp_path / "out").glob("host=*")) == ["host=h1", "host=h2"]
     assert {row.name for row in spark.read.parquet(str(tmp_path / "out")).collect()} == {"h1-r.tar", "h2-r.tar"}
 
@@ -101,11 +120,13 @@ LINES = [
 def test_log_lines(rows):
     df = logs.parse_log_lines(rows("seq int, line string", *enumerate(LINES)))
     first, *_, last = df.orderBy("seq").collect()
-    assert tuple(first)[1:] == ("2024-01-01 00:00:00", "ERROR", "mod", 12, "root", "a::b", 40)
-    assert set(tuple(last)[1:]) == {None}
+    assert tuple(first)[1:] == (LINES[0], True, "2024-01-01 00:00:00", "ERROR", "mod", 12, "root", "a::b", 40)
+    assert tuple(last)[1:3] == (LINES[-1], False) and set(tuple(last)[3:]) == {None}
 
     def routed(**options):
-        return sorted((row.seq, row.route) for row in logs.route_records(df, **options).collect())
+        found = sorted((row.seq, row.route) for row in logs.route_records(df, **options).collect())
+        assert found.pop() == (3, "unparsed")  # no line is lost
+        return found
 
     assert routed() == [(0, "file"), (0, "stderr"), (1, "file"), (1, "stdout")]
     assert routed(minimum="DEBUG", log_file=False) == [(0, "stderr"), (1, "stdout"), (2, "stdout")]
@@ -130,7 +151,7 @@ def test_row_wise_jobs_run_on_streams(spark, tmp_path):
     (tmp_path / "log").mkdir()
     (tmp_path / "log" / "one").write_text("\n".join(LINES))
     _drain(landing.log_stream(spark, str(tmp_path / "log")), "s_log")
-    assert spark.table("s_log").count() == 4
+    assert spark.table("s_log").count() == 5
 
     engine = datetime.datetime(2024, 3, 1, 12)
     probes = spark.createDataFrame([(1, "h", "2024-03-01T12:00:01+00:00", engine), (2, "h", "bad", engine)], landing.PROBE)

@@ -3,7 +3,9 @@ import random
 from pyspark.sql import functions as F
 
 from fleetlens.operators.inventory import inventory, orphans
-from fleetlens.operators.listing import LISTING_HEADER, list_hosts, listing_report
+from fleetlens.operators.listing import LISTING_HEADER, list_hosts, listing_report, selection_line
+from conftest import plan_of
+from fleetlens.operators import paging
 from fleetlens.operators.paging import page, page_after, with_page_number
 from fleetlens.operators.spread import spread_join
 from fleetlens.sinks.files import write_listing
@@ -89,15 +91,20 @@ def test_hot_cluster_and_missing_parents(spark):
             spark.conf.unset(key)
 
 
-def test_spread_join_is_even_and_whole(spark):
+def test_spread_join_splits_what_is_hot_and_repeats_nothing(spark):
     settings = {
-        "spark.sql.adaptive.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
-    many = spark.range(30_000).selectExpr("id", "if(id % 2 = 0, 'hot', concat('k', id % 500)) key")
+    many = spark.range(0, 30_000, 1, 16).selectExpr("id", "if(id % 2 = 0, 'hot', concat('k', id % 500)) key")
     few = spark.range(500).selectExpr("if(id = 0, 'hot', concat('k', id)) key", "id as extra")
-    before = {key: spark.conf.get(key) for key in settings}
+    few = few.groupBy("key").agg(F.max("extra").alias("extra"))
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
@@ -105,14 +112,15 @@ def test_spread_join_is_even_and_whole(spark):
             plain = many.join(few, "key", how).select("id", "key")
             assert sorted(spread_join(many, few, ["key"], how).select("id", "key").collect()) == sorted(plain.collect())
 
-        def largest(df):
-            return max(row["count"] for row in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        def ran(df):
+            df.collect()
+            return plan_of(df)
 
-        assert largest(many.join(few, "key")) >= 15_000
-        assert largest(spread_join(many, few, ["key"], "inner")) < 5_000
+        assert "skew=true" not in ran(many.join(few, "key"))
+        assert "skew=true" in ran(spread_join(many, few, ["key"], "inner"))
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_listing(rows, spark, tmp_path):
@@ -121,7 +129,9 @@ def test_listing(rows, spark, tmp_path):
     assert [line.split(" | ")[2].strip() for line in lines] == ["h1", "h2", "h3", "h4", "h5", "h8"]
     assert LISTING_HEADER.startswith("Data Center          | Cluster ")
     printed = [row.line for row in listing_report(inventory(*_tables(rows))).collect()]
-    assert printed == [LISTING_HEADER, *lines]
+    asked = "Host list (datacenter=None, cluster=None, host=None):"
+    assert printed == [asked, LISTING_HEADER, *lines]
+    assert selection_line(["a", "b*"], None, ["c"]) == "Host list (datacenter=None, cluster=c, host=a,b*):"
     write_listing(inventory(*_tables(rows)), str(tmp_path / "out"))
     assert sorted(row.value for row in spark.read.text(str(tmp_path / "out")).collect()) == sorted(printed)
 
@@ -136,3 +146,16 @@ def test_pages(spark):
     assert [row.id for row in page_after(df, "id", "k00999", 10).collect()] == names[1000:1010]
     got = {row.id: row.page for row in with_page_number(df, ["id"]).collect()}
     assert got == {name: number // 100 + 1 for number, name in enumerate(names)}
+
+
+def test_deep_pages_are_no_top_k(spark, monkeypatch):
+    df = spark.range(2_000).selectExpr("concat('k', lpad(id, 5, '0')) id", "id % 7 n", "'x' more").repartition(5)
+    df = df.union(df.filter("n = 3"))  # repeated rows
+    wanted = [row.id for row in df.orderBy("id").collect()]
+    numbered = with_page_number(df, ["id"], 100)
+    assert numbered.columns == ["id", "n", "more", "page"]
+    assert sorted(row.id for row in numbered.collect()) == wanted
+    monkeypatch.setattr(paging, "NEAR_ROWS", 500)
+    deep = page(df, 9, ["id"], 100)
+    assert [row.id for row in deep.collect()] == wanted[800:900]
+    assert "TakeOrdered" not in plan_of(deep)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.plans import collect
-from fleetlens.plans.tiers import BASE_REPORTS, LOWEST_REPORTS, TIER_30_REPORTS, host_tiers, tier_of
+from fleetlens.plans.tiers import BASE_REPORTS, LOWEST_REPORTS, TIER_30_REPORTS, by_tier, host_tiers, tier_of
 from test_select import SCHEMA
 
 TIERS = host_tiers("prod")
@@ -72,6 +72,19 @@ def test_host_plans(plan):
     assert got["h35"].is_chain_host and got["h34"].is_chain_host
 
 
+def test_the_latest_version_counts(rows):
+    hosts = rows(SCHEMA, ("d", "1", "c", False, "h", False, True))
+    versions = rows("host string, version string", ("h", "3.6"), ("h", "4.0"), ("h", "3.10"), ("h", None))
+    got = collect.collection_plan(hosts, versions, TIERS).collect()
+    assert [(row.version, row.tier) for row in got] == [("4.0", 40)]
+
+
+def test_tier_values_are_taken_as_they_are(rows):
+    odd = "it's \\ n"
+    shown = rows("tier int", (17,), (40,)).select(by_tier("tier", TIERS, lambda tier: odd if tier.name == 40 else ""))
+    assert [row[0] for row in shown.collect()] == ["", odd]
+
+
 @pytest.mark.parametrize("size, logs", [(99, False), (100, True), (0, True)])
 def test_size_cap(plan, size, logs):
     got = plan(log_size=size, ticket="7")
@@ -97,16 +110,16 @@ def test_engine_plans(rows):
     )
     got = {row.host: row for row in collect.engine_plan(df, "prod").collect()}
     assert got["new"].plugin == "prod" and got["new"].command == "sos report"
-    assert got["new"].options == "-k rpm.rpmva=off -k apache.log=True -k prod.sensitive_keys=A:B:C --all-logs"
+    assert got["new"].options == "--batch --build -k rpm.rpmva=off -k apache.log=True -k prod.sensitive_keys=A:B:C --all-logs"
     assert got["new"].reports.endswith("prod_imageio,date,host,ovn_central,grafana,rhv_analyzer,logs")
     assert got["dwh"].options == (
-        "-k rpm.rpmva=off -k apache.log=True -k prod-engine.sensitive_keys=A -k prod_engine_dwh.sensitive_keys=W "
+        "--batch --build -k rpm.rpmva=off -k apache.log=True -k prod-engine.sensitive_keys=A -k prod_engine_dwh.sensitive_keys=W "
         "--ticket-number=5 --log-size=100 --upload=u"
     )
     assert got["dwh"].reports.endswith("grafana,logs,prod_engine_dwh")
-    assert got["mid"].options == "-k rpm.rpmva=off -k apache.log=True --log-size=99"
+    assert got["mid"].options == "--batch --build -k rpm.rpmva=off -k apache.log=True --log-size=99"
     assert got["mid"].reports.endswith("systemd,general,prod_provider_ovn,prod_engine_reports")
-    assert got["old"].options == "-k rpm.rpmva=off -k apache.log=True --report --report -k general.all_logs=True"
+    assert got["old"].options == "--batch --build -k rpm.rpmva=off -k apache.log=True --report --report -k general.all_logs=True"
     assert got["old"].reports == "prod,rpm,libvirt,networking,hardware,process,filesys,devicemapper,selinux,kernel,apache,memory,general"
     bare = {row.host: row.options for row in collect.engine_plan(df, "prod", include_sensitive=True).collect()}
     assert "-k prod.sensitive_keys=: -k prod_engine_dwh.sensitive_keys=:" in bare["new"]
@@ -122,7 +135,7 @@ def test_database_plans(rows):
     got = {row.host: tuple(row)[1:] for row in collect.database_plan(df).collect()}
     tail = "-k postgresql.dbname=engine -k postgresql.dbhost={} -k postgresql.dbport=5432 -k postgresql.username=postgres"
     assert got == {
-        "db": ("sos report", "postgresql", "--ticket-number=9 --log-size=10 " + tail.format("db")),
-        "old": ("sosreport", "postgresql", "--report " + tail.format("old")),
+        "db": ("sos report", "postgresql", "--batch --ticket-number=9 --log-size=10 " + tail.format("db")),
+        "old": ("sosreport", "postgresql", "--batch --report " + tail.format("old")),
         "locked": (None, None, None),
     }

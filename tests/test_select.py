@@ -130,6 +130,21 @@ def test_summary(fleet, spark):
     assert tuple(select.selection_summary(nothing, nothing).first()) == (0, 0, False, False)
 
 
+def test_short_globs_and_whole_fleets(spark):
+    """Globs as short as the usual options, one that takes every host, and one ip for half of all names."""
+    df = spark.range(4_000).selectExpr("concat('A', id, if(id % 10 = 7, '7', 'x')) address", "id n")
+    for globs in (["*7"], ["A*"], ["*7", "A1*", "?1*"]):
+        table = spark.createDataFrame([(glob,) for glob in globs], "pattern string")
+        got = sorted(row.address for row in select.match_patterns(df, table).collect())
+        assert got == sorted(r.address for r in df.collect() if any(fnmatch.fnmatchcase(r.address, g) for g in globs))
+    fleet = spark.createDataFrame([("d", "1", "c", False, f"h{i}", False, True) for i in range(50)], SCHEMA)
+    aliases = spark.range(4_000).selectExpr("concat('name', id) name", "if(id % 2 = 0, 'h0', concat('h', id)) ip")
+    wanted = aliases.select("name")
+    found = select.resolve_names(fleet, wanted, aliases).collect()
+    assert sum(row.address == "h0" for row in found) == 2_000
+    assert select.unknown_hosts(fleet, wanted, aliases).count() == 4_000 - 2_000 - 25
+
+
 def test_pattern_table_is_a_keyed_join_and_exact(spark):
     rng = random.Random(11)
     pool = ["host-0000000000000000-", "h", "rack1.", "", "zz%_"]

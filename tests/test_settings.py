@@ -2,7 +2,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.operators import settings
-from fleetlens.sources.reports import read_collected, read_credentials, read_host_listings, read_reports
+from fleetlens.operators.reports import report_refs
+from fleetlens.sources.reports import (
+    host_listings,
+    read_collected,
+    read_credentials,
+    read_host_listings,
+    read_report_lines,
+    read_reports,
+)
+from fleetlens.sources.settings import read_files
 from fleetlens.sources.settings import parse_section, read_pairs, read_service_settings, read_settings
 
 SCHEMA = "run_id string, layer int, file string, seq bigint, key string, value string"
@@ -90,6 +99,47 @@ def test_settings_files(spark, tmp_path):
     assert resolved(both) == {("r", "key"): "b", ("r", "only"): "a", ("r", "low"): "1", ("r", "engine"): "old"}
 
 
+def test_settings_without_files_and_old_keys_among_the_defaults(spark, tmp_path):
+    main = tmp_path / "tool.conf"
+    assert read_settings(spark, str(main), "C").count() == 0
+    main.write_text("[DEFAULT]\nrhevm = old\nlow = 1\n[C]\nlow = 2\n")
+    got = settings.effective_settings(read_settings(spark, str(main), "C"))
+    assert resolved(got) == {("", "engine"): "old", ("", "low"): "2"}
+    main.write_text("[DEFAULT]\nrhevm = old\n[C]\nengine = new\n")
+    assert resolved(settings.effective_settings(read_settings(spark, str(main), "C"))) == {("", "engine"): "new"}
+    assert read_service_settings(spark, [str(tmp_path / "none"), str(tmp_path / "no")]).count() == 0
+
+
+def test_files_without_content_keep_their_rows(spark, tmp_path):
+    (tmp_path / "h 1" / "d").mkdir(parents=True)
+    (tmp_path / "h 1" / "d" / "full").write_text("a\nb")
+    (tmp_path / "h 1" / "d" / "no thing").write_text("")
+    folder = str(tmp_path / "h 1" / "d")
+    reports = read_reports(spark, folder)
+    assert sorted(row.text for row in reports.collect()) == ["", "a\nb"]
+    refs = {row.report_id.rsplit("/", 1)[-1]: row.missing_report for row in report_refs(reports, "/tmp").collect()}
+    assert len(refs) == 2 and all(refs.values())
+    listed = host_listings(read_files(spark, folder)).collect()
+    assert len(listed) == 2
+    assert read_credentials(spark, folder).count() == 2
+    assert sorted(row.length for row in read_collected(spark, str(tmp_path)).collect()) == [0, 3]
+
+
+def test_large_files_are_numbered_across_blocks(spark, tmp_path):
+    lines = [f"line {number} " + "x" * (number % 50) for number in range(3000)]
+    (tmp_path / "one").write_text("\n".join(lines))
+    (tmp_path / "two").write_text("only\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        got = read_report_lines(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() >= 1
+        rows = sorted((row.report_id[-3:], row.line_no, row.line) for row in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == [("one", number, line) for number, line in enumerate(lines, 1)] + [("two", 1, "only")]
+
+
 def test_pairs_and_service_layers(spark, tmp_path):
     one, two = tmp_path / "one", tmp_path / "two"
     one.write_text('NAME="Some OS"\nno pair\nID=abc\nEMPTY=""\nX=\n')
