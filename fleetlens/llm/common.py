@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +19,21 @@ from pyspark.sql import functions as F
 #: A word: a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows and bytes of a batch that goes to Python.
+BATCH_ROWS, BATCH_BYTES = 5_000, 8 << 20
+
 _own: dict[str, str] = {}
+_kept: dict = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once a context; they need not have it installed."""
+    """Give the executors' Python this package, once a context; they need not have it installed.
+
+    Also bounds, for the session, what goes to Python at once: texts are long, and by default a batch is ten
+    thousand of them.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if _own.get("shipped") == context.applicationId:
         return
@@ -38,6 +51,24 @@ def ship(spark: SparkSession) -> None:
     _own["shipped"] = context.applicationId
 
 
+def kept(key, make):
+    """What a worker keeps from task to task under ``key``; only one operator's at a time, to bound memory."""
+    if key not in _kept:
+        _kept.clear()
+        give_back()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Return memory that a worker no longer uses to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder's name under ``spark.checkpoint.dir``, which driver and executors share.
 

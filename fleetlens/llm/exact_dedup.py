@@ -20,6 +20,8 @@ from fleetlens.llm.common import partitions, shared_folder, stored, with_locator
 
 #: Landed rows that are worth a state partition.
 STATE_ROWS = 10_000
+#: Native memory of an executor for state, in MB.
+STATE_MB = 128
 
 _PLACE = ("doc_id", "_file", "_row")
 
@@ -49,6 +51,9 @@ def update_state(spark: SparkSession, landing: str, schema, state: str, rows: in
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # What all state stores of an executor take together outside its heap.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(STATE_MB))
     stores = max(1, min(partitions(spark), -(-rows // STATE_ROWS)))
     session.conf.set("spark.sql.streaming.internal.stateStore.partitions", str(stores))
     (

@@ -16,6 +16,7 @@ without a language are predicted like all others; other columns are not read.
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import ship
+from fleetlens.llm.common import kept, ship
 
 #: Labelled documents a language is learned from, on average; list length; longest n-gram.
 SAMPLE, LISTED, LONGEST = 600, 8_000, 5
@@ -127,16 +128,20 @@ class Scorer:
     """Predicts texts; keeps the scores of the words it has met."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.rows, self.place = model, [], {}
+        self.model = model
         self.none = [0.0] * len(model.languages)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.matrix = np.zeros((0, len(self.none)))
 
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         words = [_LETTERS.findall(text.lower()) if text else [] for text in texts]
-        fresh = set().union(*words).difference(self.place)
-        for word in fresh:
-            self.place[word] = len(self.rows)
-            self.rows.append(self.model.word(word) or self.none)
-        matrix = np.array(self.rows).reshape(len(self.rows), len(self.model.languages))
+        fresh = list(set().union(*words).difference(self.place))
+        more = np.array([self.model.word(word) or self.none for word in fresh]).reshape(len(fresh), len(self.none))
+        self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
+        self.matrix = matrix = np.concatenate([self.matrix, more])
         found, scores, take = [], [], self.place.__getitem__
         for text in words:
             if not text or not self.model.languages:
@@ -147,16 +152,18 @@ class Scorer:
             best = int(means.argmax())
             found.append(self.model.languages[best])
             scores.append(float(1.0 / np.power(10.0, means - means[best]).sum()))
-        if len(self.rows) > KEPT_WORDS:
-            self.place, self.rows = {}, []
+        if len(self.place) > KEPT_WORDS:
+            self._forget()
         return found, scores
 
 
 def predictor(model: Model):
     """A Pandas UDF from a text to (lang_pred, score)."""
 
+    key = ("language", uuid.uuid4().hex)
+
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(model)
+        scorer = kept(key, lambda: Scorer(model))
         for texts in parts:
             found, scores = [], []
             for i in range(0, len(texts), 1000):

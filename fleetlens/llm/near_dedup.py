@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import shared_folder, ship, stored
+from fleetlens.llm.common import kept, shared_folder, ship, stored
 from fleetlens.llm.components import components
 from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, steps, text_buffers, word_hashes
 
@@ -86,7 +86,7 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """Per document: number of shingles, digest of the set, minima, band keys."""
 
     def sketch(batches):
-        minima = Minima(bands * rows)
+        minima = kept(("minima", bands * rows), lambda: Minima(bands * rows))
         for batch in batches:
             counts, digests, signatures, keys, odds = [], [], [], [], []
             for shingles in text_sets(batch.column(1), size):

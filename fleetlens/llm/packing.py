@@ -27,7 +27,6 @@ import os
 import re
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import shared_folder, ship, stored
+from fleetlens.llm.common import kept, shared_folder, ship, stored
 from fleetlens.llm.text_hash import steps, text_buffers
 
 WINDOW = 4096
 #: Words whose ids a worker keeps from one batch and task to the next.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: Bytes of text that are encoded at once.
-STEP = 8_000_000
+STEP = 4_000_000
+#: Words that the tokenizer gets at once.
+BLOCK = 10_000
 
 #: What a pre-tokenizer says that takes letters, and marks, as runs of their own.
 _CUTS = (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+")
@@ -87,10 +88,11 @@ class WordEncoder:
         if self.cuts:
             tails = {word: found.groups() for word in fresh if (found := _TAIL.fullmatch(word))}
             bare = fresh.difference(tails).union(*tails.values()).difference(self.known)
-        words = list(bare)
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        kind, known = self.kind, self.known
-        known.update(zip(words, (np.array(x.ids, kind).tobytes() for x in found), strict=True))
+        words, kind, known = list(bare), self.kind, self.known
+        for i in range(0, len(words), BLOCK):
+            part = words[i : i + BLOCK]
+            found = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
+            known.update(zip(part, (np.array(x.ids, kind).tobytes() for x in found), strict=True))
         for word, (core, tail) in tails.items():
             known[word] = known[core] + known[tail]
 
@@ -106,17 +108,12 @@ class WordEncoder:
         return ids
 
 
-@lru_cache(maxsize=1)
-def word_encoder(path: str, end: int) -> WordEncoder:
-    """The worker's encoder; tasks that run in one worker share what it knows."""
-    return WordEncoder(path, end)
-
-
 def tokens(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Per document: its ids, their number, and the ids of its source before it in its partition."""
 
     def encode(batches):
-        encoder, part, seen = word_encoder(path, end), TaskContext.get().partitionId(), {}
+        encoder = kept(("packing", path, end), lambda: WordEncoder(path, end))
+        part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
             for first, last in steps(offsets, STEP):

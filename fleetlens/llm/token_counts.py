@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import ship
+from fleetlens.llm.common import kept, ship
 from fleetlens.llm.text_hash import steps, text_buffers
 
 #: What the tokenizer takes off the least score for an unknown character.
@@ -195,8 +195,10 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     # The vocabulary is a file of fixed size, so its automaton is, too.
     automaton = spark.sparkContext.broadcast(Automaton.of(vocabulary(path)))
 
+    key = ("tokens", path)
+
     def count(batches):
-        counter = Counter(automaton.value)
+        counter = kept(key, lambda: Counter(automaton.value))
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             for first, last in steps(offsets):
