@@ -26,6 +26,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,11 +89,12 @@ class WordEncoder:
         if self.cuts:
             tails = {word: found.groups() for word in fresh if (found := _TAIL.fullmatch(word))}
             bare = fresh.difference(tails).union(*tails.values()).difference(self.known)
-        words, kind, known = list(bare), self.kind, self.known
+        words, known = list(bare), self.known
+        code = "H" if self.kind.itemsize == 2 else "I"  # numbers of two and four bytes, as the machine has them
         for i in range(0, len(words), BLOCK):
             part = words[i : i + BLOCK]
             found = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(x.ids, kind).tobytes() for x in found), strict=True))
+            known.update(zip(part, (array(code, x.ids).tobytes() for x in found), strict=True))
         for word, (core, tail) in tails.items():
             known[word] = known[core] + known[tail]
 
