@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -48,8 +49,27 @@ BLOCK = 10_000
 
 #: What a pre-tokenizer says that takes letters, and marks, as runs of their own.
 _CUTS = (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+")
-#: A word of plain letters and digits and the marks behind it, none of which is an apostrophe.
-_TAIL = re.compile(rb"([a-z0-9]+)([^a-z0-9\x80-\xff'A-Z]+)")
+#: A word of letters and digits and the marks behind it, none of which is an apostrophe.
+_TAIL = re.compile(rb"([a-z0-9\x80-\xff]+)([^a-z0-9\x80-\xff'A-Z]+)")
+#: Words of letters below this one (Latin, Greek, Cyrillic) are their own token runs; all Unicode tables agree on them.
+_BEYOND = "\u0530"
+#: The characters that stand for bytes in byte-level vocabularies.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = dict(zip(_SHOWN, _SHOWN, strict=True)) | {
+    byte: 256 + n for n, byte in enumerate(sorted(set(range(256)).difference(_SHOWN)))
+}
+
+
+def _shown(word: bytes) -> str | None:
+    """A word of nothing but letters as a byte-level vocabulary spells it, in lower case; None for any other."""
+    if word.isascii():
+        return word.lower().decode() if word.isalpha() else None
+    text = word.decode()
+    lowered = unicodedata.normalize("NFC", text).lower()
+    # A capital sigma has two small forms.
+    if not lowered.isalpha() or max(lowered) >= _BEYOND or "\u03a3" in text:
+        return None
+    return lowered.encode().decode("latin-1").translate(_BYTES)
 
 
 class WordEncoder:
@@ -58,6 +78,7 @@ class WordEncoder:
     Each distinct word is encoded once a batch; the first KEPT_WORDS, among them the frequent ones, stay known.
     Where the tokenizer lower-cases, so are A-Z beforehand; where it cuts letters from other marks, a word
     and the marks behind it are encoded apart. Both make for fewer distinct words and for the same ids.
+    A word of nothing but letters goes straight to the tokenizer's model, if that proves right for each letter.
     """
 
     def __init__(self, path: str, end: int) -> None:
@@ -75,6 +96,29 @@ class WordEncoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.end = np.array([end], self.kind).tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        letters = self._by_model([chr(c).encode() for c in range(ord(_BEYOND))]) if self.cuts else {}
+        self.direct = bool(letters) and letters == self._by_tokenizer(list(letters))
+
+    def _pack(self, ids: list[int]) -> bytes:
+        # Numbers of two and four bytes, as the machine has them.
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+
+    def _by_tokenizer(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found = {}
+        for i in range(0, len(words), BLOCK):
+            part = words[i : i + BLOCK]
+            ids = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
+            found.update(zip(part, (self._pack(x.ids) for x in ids), strict=True))
+        return found
+
+    def _by_model(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of those of ``words`` that are letters throughout; the others are left out."""
+        tokenize, pack, found = self.model.tokenize, self._pack, {}
+        for word in words:
+            if shown := _shown(word):
+                found[word] = pack([token.id for token in tokenize(shown)])
+        return found
 
     def _split(self, text: bytes) -> list[bytes]:
         if not self.lowers:
@@ -87,16 +131,16 @@ class WordEncoder:
     def _learn(self, fresh: set[bytes]) -> None:
         bare, tails = fresh, {}
         if self.cuts:
-            tails = {word: found.groups() for word in fresh if (found := _TAIL.fullmatch(word))}
+            for word in fresh:
+                if (found := _TAIL.fullmatch(word)) and (found[1].isascii() or _shown(found[1])):
+                    tails[word] = found.groups()
             bare = fresh.difference(tails).union(*tails.values()).difference(self.known)
-        words, known = list(bare), self.known
-        code = "H" if self.kind.itemsize == 2 else "I"  # numbers of two and four bytes, as the machine has them
-        for i in range(0, len(words), BLOCK):
-            part = words[i : i + BLOCK]
-            found = self.tokenizer.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            known.update(zip(part, (array(code, x.ids).tobytes() for x in found), strict=True))
+        if self.direct:
+            self.known.update(self._by_model(list(bare)))
+            bare = bare.difference(self.known)
+        self.known.update(self._by_tokenizer(list(bare)))
         for word, (core, tail) in tails.items():
-            known[word] = known[core] + known[tail]
+            self.known[word] = self.known[core] + self.known[tail]
 
     def texts(self, raw: list[bytes]) -> list[bytes]:
         words = [self._split(text) for text in raw]

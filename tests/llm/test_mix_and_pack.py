@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from fleetlens.llm.mixing import mix_sources, mixed
-from fleetlens.llm.packing import WINDOW, pack, phases, sequences
+from fleetlens.llm.packing import WINDOW, WordEncoder, pack, phases, sequences
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -115,6 +115,29 @@ def check_packing(texts, pieces):
     return lengths
 
 
+class TestWordEncoder:
+    """The ids made word by word are those of the whole text."""
+
+    def test_words_of_all_kinds(self):
+        random = np.random.default_rng(11)
+        pool = [chr(c) for c in range(33, 0x600) if chr(c).isprintable()]
+        pool += ["한글", "中文", "½", "e\u0301", "\u0345", "ﬁ", "K", "'s", "'RE", "<|endoftext|>"]
+        letters = [c for c in pool if c.isalpha()]
+        tails = ["", "", ".", ",###", "***", "'s", "…"]
+
+        def word():
+            kind = (letters, [*letters, ".", "7"], pool)[random.integers(3)]
+            return "".join(random.choice(kind, random.integers(1, 9))) + str(random.choice(tails))
+
+        texts = [" ".join(word() for _ in range(random.integers(0, 9))) for _ in range(1500)]
+        texts += ["", " ", "İ.", "aİ. İ", "ΣΑΣ ΟΔΟΣ.", "é. É", "e\u0301.", "a\u0301\u0327!", "K. Å!", "Hello <|endoftext|> World É."]
+        encoder, tokenizer = WordEncoder(TOKENIZER, 2), Tokenizer.from_file(TOKENIZER)
+        assert encoder.direct
+        for text, made in zip(texts, encoder.texts([t.encode() for t in texts]), strict=True):
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(made, encoder.kind).tolist() == [*ids, 2], text
+
+
 class TestPack:
     def test_windows_hold_the_proportions(self, sample):
         texts = {r["doc_id"]: r["text"] for r in sample.collect()}
