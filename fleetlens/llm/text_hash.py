@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that one numpy pass works on; longer texts are cut between words.
-STEP = 1 << 21
+#: Bytes of text that are taken together; bytes whose words are hashed in one pass, cut between words.
+STEP, RUN = 1 << 21, 1 << 17
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -17,7 +17,10 @@ _LOWER[65:91] += 32
 
 _random = np.random.default_rng(20240607)
 _BYTE = _random.integers(1, 2**64, 256, dtype=np.uint64)
+#: What a white-space character adds to a word's hash is nothing; A-Z add what a-z do.
+_ADDS = np.where(_SPACE, np.uint64(0), _BYTE[_LOWER])
 _STEP_MUL = np.uint64(0x9E3779B97F4A7C15)
+_STEP_INVERSE = np.uint64(pow(int(_STEP_MUL), -1, 1 << 64))
 _PLACE_MUL = _random.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -56,26 +59,38 @@ def steps(offsets: np.ndarray, limit: int = STEP) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes are white space."""
+    return np.frombuffer(data.tobytes().translate(_SPACE.tobytes()), bool)
+
+
+_RUN_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, ...]:
+    """The first ``n`` powers of the multiplier and of its inverse; those of a usual run are kept."""
+
+    def first(m: int) -> list[np.ndarray]:
+        return [np.multiply.accumulate(np.r_[np.uint64(1), np.full(m - 1, x)]) for x in (_STEP_MUL, _STEP_INVERSE)]
+
+    if not _RUN_POWERS:
+        _RUN_POWERS.extend(first(2 * RUN))
+    return tuple(x[:n] for x in (_RUN_POWERS if n <= len(_RUN_POWERS[0]) else first(n)))
+
+
 def _hash_run(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word of ``data``; a new word also begins at each of ``cuts``."""
-    inside = ~_SPACE[data]
+    inside = ~_spaces(data)
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     first[cuts] = inside[cuts]
     starts = np.flatnonzero(first)
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    ends = np.append(starts[1:], len(data))
-    place = np.arange(len(data)) - np.repeat(starts, ends - starts)[: len(data)] if starts[0] == 0 else None
-    if place is None:
-        lead = int(starts[0])
-        place = np.concatenate([np.zeros(lead, np.int64), np.arange(lead, len(data)) - np.repeat(starts, ends - starts)])
-    powers = np.full(int(place.max()) + 1, _STEP_MUL, dtype=np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    parts = _BYTE[_LOWER[data]] * powers[place]
-    parts[~inside] = 0
-    return mix(np.add.reduceat(parts, starts)), starts
+    # A byte's weight is a power by its place in the run; dividing by the power of the word's start
+    # makes it one by its place in the word. The multiplier is odd, so it has an inverse.
+    weights, inverse = _powers(len(data))
+    return mix(np.add.reduceat(_ADDS[data] * weights, starts) * inverse[starts]), starts
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,15 +98,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     found, begins, at = [], [], 0
     rows = offsets[:-1][offsets[:-1] < len(data)]
     while at < len(data):
-        end = min(at + STEP, len(data))
-        while end < len(data):
-            # Cut between words: just after the last white space, or at the next one.
-            back = np.flatnonzero(_SPACE[data[at:end]])
-            if len(back):
-                end = at + int(back[-1]) + 1
-                break
-            ahead = np.flatnonzero(_SPACE[data[end : end + STEP]])
-            end = end + int(ahead[0]) + 1 if len(ahead) else min(end + STEP, len(data))
+        end = min(at + RUN, len(data))
+        # Cut between words: just after the last white space, or else after the next one.
+        back = np.flatnonzero(_spaces(data[at:end])) if end < len(data) else ()
+        if len(back):
+            end = at + int(back[-1]) + 1
+        while not len(back) and end < len(data):
+            back = np.flatnonzero(_spaces(data[end : end + RUN]))
+            end = end + int(back[0]) + 1 if len(back) else min(end + RUN, len(data))
         cuts = rows[np.searchsorted(rows, at) : np.searchsorted(rows, end)] - at
         hashes, starts = _hash_run(data[at:end], cuts)
         found.append(hashes)

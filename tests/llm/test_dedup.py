@@ -103,7 +103,7 @@ class TestHashes:
         data = np.frombuffer("".join(texts).encode(), np.uint8)
         offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
         whole = word_hashes(data, offsets)
-        monkeypatch.setattr(module, "STEP", 16)
+        monkeypatch.setattr(module, "RUN", 16)
         cut = word_hashes(data, offsets)
         assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
         assert list(np.diff(whole[1])) == [len(t.split()) for t in texts]
