@@ -3,7 +3,8 @@
 A fingerprint is the minima of HASHES universal hash functions over a text's five-word shingles, as hex
 digits; two fingerprints' likeness is the share of equal minima, an estimate of the Jaccard similarity
 whose standard deviation is at most 0.045. ``similar`` joins signature bands in Spark, a star to the least
-document of a band and never all pairs, and verifies the Jaccard similarity on the full shingle sets.
+document of a band, then strays with the others, and never all pairs, and verifies the Jaccard similarity on
+the full shingle sets. Each row names the group that these links put its document in, and counts its links.
 
 ``with_next`` puts each document beside the next by ascending doc_id with one shuffle of the texts: parts
 of the id range are sorted by themselves, and the first document of each part is also dealt to the
@@ -11,7 +12,7 @@ part before it.
 
 Defined results: a null text counts as empty; a text without words has the empty fingerprint, every
 digit f; fewer than five words are one shingle; two empty texts have likeness 1, an empty and another
-one 0; a null doc_id sorts first; rows that repeat a doc_id follow each other by text; after the
+one 0; a text without words has no link, nor a row without doc_id; a null doc_id sorts first; rows that repeat a doc_id follow each other by text; after the
 last document comes the first; an empty table gives no rows; other columns are not read.
 """
 
@@ -23,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import partitions, shared_folder, ship, stored
-from fleetlens.llm.near_dedup import _confirm, _sets, banding, text_sets
-from fleetlens.llm.text_hash import Minima, band_keys
+from fleetlens.llm.common import drop_folder, partitions, shared_folder, ship, stored
+from fleetlens.llm.components import components
+from fleetlens.llm.near_dedup import BROADCAST_IDS, banding, linked, sketches, text_sets
+from fleetlens.llm.text_hash import Minima
 
 HASHES, SHINGLE = 128, 5
 #: Parts of the id range per shuffle partition: few enough to be cheap, many enough to even out.
@@ -54,10 +56,11 @@ def _bounds(docs: DataFrame, parts: int) -> list[int]:
     return sorted(set(at or []))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows of (part, ghost, doc_id, text): in each partition sorted by part, ghosts last.
+def with_next(docs: DataFrame, notes: DataFrame) -> DataFrame:
+    """Rows of (part, ghost, doc_id, text, group_id, n_links): in each partition sorted by part, ghosts last.
 
     A ghost is the first document of the next part; it only serves as the last document's successor.
+    The rows of ``notes`` (doc_id, group_id, n_links) come without text, just before their documents.
     """
     spark = docs.sparkSession
     parts = PARTS * partitions(spark)
@@ -102,8 +105,18 @@ def with_next(docs: DataFrame) -> DataFrame:
         ).alias("dealt"),
     )
     order = ["part", "ghost", "doc_id", "text"]
+    none = F.lit(None).cast("long")
+    noted = notes.select(
+        part(F.col("doc_id")).alias("part"),
+        F.lit(False).alias("ghost"),
+        "doc_id",
+        F.lit(None).cast("string").alias("text"),
+        "group_id",
+        "n_links",
+    )
     return (
-        dealt.select("dealt.part", "dealt.ghost", "doc_id", "text")
+        dealt.select("dealt.part", "dealt.ghost", "doc_id", "text", none.alias("group_id"), none.alias("n_links"))
+        .unionAll(noted)
         .repartition(partitions(spark), "part")
         .sortWithinPartitions(*order)
     )
@@ -116,39 +129,48 @@ def edited(text: str, following: str) -> str:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per document: its fingerprint, its edited text's, and their likeness; see the module.
+    """One row per document: its fingerprint, its edited text's, their likeness, its group; see the module.
 
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, group_id, n_links.
     """
     ship(docs.sparkSession)
+    notes = groups(docs)
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+        "near_edited double, near_next double, group_id long, n_links long"
     )
 
     def compare(batches):
         minima = Minima(HASHES)
-        last = None  # the row whose successor has not come yet: part, doc_id, text, signature
+        last = None  # the row whose successor has not come yet: part, doc_id, text, signature, group, links
+        note = (None, None, 0)  # the last note: doc_id, group, links
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+            rows = []
+            for part, ghost, doc_id, text, *noted in zip(
+                *(batch.column(i).to_pylist() for i in range(6)), strict=True
+            ):
+                if text is None:
+                    note = (doc_id, *noted)
+                else:
+                    rows.append((part, ghost, doc_id, text, note[1:] if note[0] == doc_id else (doc_id, 0)))
             for at in range(0, len(rows), 500):
                 piece = rows[at : at + 500]
                 own = signatures(pa.array([r[3] for r in piece]), minima)
                 pairs = []
-                for (part, ghost, doc_id, text), signature in zip(piece, own, strict=True):
+                for (part, ghost, doc_id, text, group), signature in zip(piece, own, strict=True):
                     if last is not None and last[0] == part:
                         pairs.append((*last[1:], text, signature))
                         last = None
                     if not ghost:
-                        last = (part, doc_id, text, signature)
+                        last = (part, doc_id, text, signature, group)
                 if pairs:
                     yield _compared(pairs, minima, schema)
 
-    return with_next(docs).select("part", "ghost", "doc_id", "text").mapInArrow(compare, schema)
+    return with_next(docs, notes).mapInArrow(compare, schema)
 
 
 def _compared(pairs: list[tuple], minima: Minima, schema: str) -> pa.RecordBatch:
-    changed = [edited(text, after) for _, text, _, after, _ in pairs]
+    changed = [edited(text, after) for _, text, _, _, after, _ in pairs]
     theirs = signatures(pa.array(changed, pa.string()), minima)
     rows = [
         (
@@ -159,45 +181,74 @@ def _compared(pairs: list[tuple], minima: Minima, schema: str) -> pa.RecordBatch
             digits(their),
             likeness(own, their),
             likeness(own, after),
+            *group,
         )
-        for (doc_id, text, own, _, after), new, their in zip(pairs, changed, theirs, strict=True)
+        for (doc_id, text, own, group, _, after), new, their in zip(pairs, changed, theirs, strict=True)
     ]
-    kinds = [pa.int64()] * 2 + [pa.string()] * 3 + [pa.float64()] * 2
+    kinds = [pa.int64()] * 2 + [pa.string()] * 3 + [pa.float64()] * 2 + [pa.int64()] * 2
     names = [part.split()[0] for part in schema.split(", ")]
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str | None = None) -> DataFrame:
-    """Verified links (u, v), u < v, of each document to the least one of a signature band they share."""
+    """Verified links (u, v), u < v: enough of them to join all documents that any chain of links joins.
+
+    Equal sets are linked to their least document. Of different ones a band's members are compared with its
+    least, and then those that are in no component with it with the others, as ``near_dedup`` does.
+    """
     spark = docs.sparkSession
     ship(spark)
     folder = folder or shared_folder(spark, "similar")
     bands, rows = banding(percent / 100)
-
-    def keys(batches):
-        minima = Minima(bands * rows)
-        for batch in batches:
-            found = [
-                band_keys(minima.of(shingles), bands) if len(shingles) else []
-                for shingles in text_sets(batch.column(1), size)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "bands"]
-            )
-
-    marked = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = stored(
+        sketches(named, size, bands, rows).filter("set_digest is not null").select("doc_id", "set_digest", "bands"),
+        f"{folder}/marked",
+    )
+    classes = stored(marked.groupBy("set_digest").agg(F.min("doc_id").alias("node")), f"{folder}/classes")
+    placed = marked.join(classes, "set_digest")
+    copies = placed.filter("doc_id <> node").select(F.col("node").alias("u"), F.col("doc_id").alias("v")).distinct()
     keyed = stored(
-        marked.mapInArrow(keys, "node long, bands array<long>").select(F.explode("bands").alias("band"), "node"),
-        f"{folder}/bands",
+        placed.filter("doc_id = node").select(F.explode("bands").alias("band"), "node"), f"{folder}/bands"
+    )
+    centers = stored(
+        keyed.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("top")).filter("top > center"),
+        f"{folder}/centers",
+    )
+    buckets = stored(
+        keyed.join(centers, "band").select("band", "center", "node").distinct(), f"{folder}/buckets"
     )
-    least = stored(keyed.groupBy("band").agg(F.min("node").alias("a")), f"{folder}/least")
-    pairs = stored(
-        keyed.join(least, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(),
-        f"{folder}/pairs",
+    # Signatures are kept of the documents that share a band only.
+    wanted = stored(buckets.select("node").distinct(), f"{folder}/wanted")
+    asked = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    first = stored(
+        sketches(named.join(asked, F.col("doc_id") == F.col("node"), "left_semi"), size, bands, rows)
+        .filter("set_digest is not null")
+        .select(F.col("doc_id").alias("node"), "set_digest", "n_shingles", "signature", "odd")
+        .dropDuplicates(["node", "set_digest"]),
+        f"{folder}/first",
     )
-    wanted = stored(
-        pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(),
-        f"{folder}/wanted",
+    links, _, more = linked(named, first, buckets, size, percent, bands * rows, folder)
+    return stored(
+        links.unionAll(more).unionAll(copies).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        .distinct(),
+        f"{folder}/links",
+    )
+
+
+def groups(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str | None = None) -> DataFrame:
+    """Of each document with a link: doc_id, group_id (the least document that links lead to), n_links."""
+    folder = folder or shared_folder(docs.sparkSession, "groups")
+    links = similar(docs, percent, size, f"{folder}/similar")
+    ends = links.select(F.col("u").alias("node")).unionAll(links.select(F.col("v").alias("node")))
+    counted = stored(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), f"{folder}/counted")
+    found = stored(components(links, f"{folder}/components"), f"{folder}/found")
+    result = stored(
+        counted.join(found, "node").select(
+            F.col("node").alias("doc_id"), F.col("component").alias("group_id"), "n_links"
+        ),
+        f"{folder}-result",
     )
-    return _confirm(pairs, stored(_sets(docs, wanted, size), f"{folder}/sets"), percent)
+    drop_folder(docs.sparkSession, folder)
+    return result

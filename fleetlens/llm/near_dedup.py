@@ -220,6 +220,32 @@ def _cross_pairs(buckets: DataFrame, first: DataFrame, percent: int, folder: str
     return strays.join(others, met).select("a", "b").distinct()
 
 
+def linked(
+    docs: DataFrame, first: DataFrame, buckets: DataFrame, size: int, percent: int, minima: int, folder: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links of the stars, the components they give, links between those): see the module.
+
+    ``first`` has each class's node, n_shingles, signature and odd; ``buckets`` is (band, center, node).
+    """
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        near = stored(_agree(pairs, first, minima, percent / 100), f"{folder}/{name}-near")
+        wanted = stored(
+            near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct(),
+            f"{folder}/{name}-wanted",
+        )
+        sets = stored(_sets(docs, wanted, size), f"{folder}/{name}-sets")
+        return stored(_confirm(near, sets, percent), f"{folder}/{name}-links")
+
+    stars = buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    links = verified(stars, "star")
+    found = stored(components(links, f"{folder}/found"), f"{folder}/found-all")
+    placed = buckets.join(found, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component")
+    )
+    return links, found, verified(_cross_pairs(placed, first, percent, folder), "cross")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (it is its component's least doc_id)."""
     spark = docs.sparkSession
@@ -247,22 +273,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: s
     )
     buckets = stored(keyed.join(centers, "band").select("band", "center", "node"), f"{folder}/buckets")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        near = stored(_agree(pairs, first, bands * rows, percent / 100), f"{folder}/{name}-near")
-        wanted = stored(
-            near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct(),
-            f"{folder}/{name}-wanted",
-        )
-        sets = stored(_sets(docs, wanted, size), f"{folder}/{name}-sets")
-        return stored(_confirm(near, sets, percent), f"{folder}/{name}-links")
-
-    stars = buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(stars, "star")
-    found = stored(components(links, f"{folder}/found"), f"{folder}/found-all")
-    placed = buckets.join(found, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
-    )
-    more = verified(_cross_pairs(placed, first, percent, folder), "cross")
+    links, found, more = linked(docs, first, buckets, size, percent, bands * rows, folder)
     if not more.isEmpty():
         found = stored(components(links.unionAll(more), f"{folder}/joined"), f"{folder}/joined-all")
     named = classes.join(found, "node", "left").select(

@@ -262,6 +262,49 @@ class TestFingerprints:
         assert {(300, 300 + k) for k in range(1, 6)} <= links
 
 
+def _strays():
+    """Near copies 200 and 201; in each band they share lies one of 1 to 100, which are too far from both."""
+    random = np.random.default_rng(11)
+    base = list(random.choice([f"w{i}" for i in range(300)], 200))
+    texts = {200: " ".join(base), 201: " ".join([*base[:-1], "end"])}
+    for k in range(100):
+        edit = list(base)
+        for at in range(k % 28, 200, 28):
+            edit[at] = f"s{k}-{at}"
+        texts[1 + k] = " ".join(edit)
+    return texts
+
+
+class TestGroups:
+    def test_links_join_all_that_brute_force_joins(self, frame):
+        texts = _near_texts() | {d + 1000: t for d, t in _strays().items()}
+        wanted = brute_components(texts, 5, 80)
+        assert wanted[1201] == 1200 and wanted[1001] == 1001
+        links = [(r["u"], r["v"]) for r in similar(frame(list(texts.items()))).collect()]
+        root = {d: d for d in texts}
+        for _ in texts:
+            for u, v in links:
+                root[u] = root[v] = min(root[u], root[v])
+        assert root == wanted
+        assert len(set(links)) == len(links) and all(u < v for u, v in links)
+
+    def test_the_query_names_groups(self, frame):
+        texts = _near_texts() | {d + 1000: t for d, t in _strays().items()}
+        docs = frame([*texts.items(), (None, texts[1])])
+        links = [(r["u"], r["v"]) for r in similar(docs).collect()]
+        found = fingerprints(docs).collect()
+        assert len(found) == len(texts) + 1
+        known = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in found}
+        assert known.pop(None) == (None, 0)
+        assert {d: group for d, (group, _) in known.items()} == brute_components(texts, 5, 80)
+        assert {d: n for d, (_, n) in known.items()} == {d: sum(d in pair for pair in links) for d in texts}
+
+    def test_rows_of_one_id_share_a_group(self, frame):
+        a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+        found = fingerprints(frame([(1, a), (5, a), (5, b), (9, b), (9, b), (12, "c")])).collect()
+        assert sorted((r["doc_id"], r["group_id"]) for r in found) == [(1, 1), (5, 1), (5, 1), (9, 1), (9, 1), (12, 12)]
+
+
 def test_text_sets_of_null_and_sliced_columns():
     from fleetlens.llm.near_dedup import text_sets
 
