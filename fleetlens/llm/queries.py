@@ -48,7 +48,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(documents(spark, sf_dir))
+    return score_documents(documents(spark, sf_dir), listed=1, discount=None)
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

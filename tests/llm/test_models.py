@@ -15,6 +15,7 @@ from fleetlens.llm import ngram
 from fleetlens.llm.common import shared_folder
 from fleetlens.llm.elias_fano import EliasFano, load, save
 from fleetlens.llm.language import Model, fit, grams, identify
+from fleetlens.llm.queries import op6_lm_scoring
 from fleetlens.llm.token_counts import SPACE, Automaton, token_counts, vocabulary
 from fleetlens.llm.token_counts import Counter as TokenCounter
 
@@ -167,6 +168,50 @@ class TestNgrams:
         assert (ngram._unpacked(ngram._packed(keys, np.uint64(5)), np.uint64(5)) == keys).all()
 
 
+class FullReference(Reference):
+    """The model that lists every n-gram, with discounts from counts of counts."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.d2, self.d3 = self.discount(self.c2), self.discount(self.c3)
+        self.s2, self.s3 = defaultdict(float), defaultdict(float)
+        for (a, _), c in self.c2.items():
+            self.s2[a] += (c - self.d2) / self.c1[a]
+        for (a, b, _), c in self.c3.items():
+            self.s3[a, b] += (c - self.d3) / self.c2[a, b]
+
+    @staticmethod
+    def discount(counts):
+        of = Counter(counts.values())
+        return of[1] / (of[1] + 2 * of[2])
+
+    def p2(self, a, w):
+        c, low = self.c2[a, w], (1 - self.s2.get(a, 0.0)) * self.p1(w)
+        return (c - self.d2) / self.c1[a] + low if c else low
+
+    def p3(self, a, b, w):
+        c, low = self.c3[a, b, w], (1 - self.s3.get((a, b), 0.0)) * self.p2(b, w)
+        return (c - self.d3) / self.c2[a, b] + low if c else low
+
+
+class TestAllNgrams:
+    @pytest.mark.parametrize("shard_bytes", [ngram.SHARD_BYTES, 20_000])
+    def test_the_query_lists_every_ngram(self, spark, sample, monkeypatch, shard_bytes):
+        monkeypatch.setattr(ngram, "SHARD_BYTES", shard_bytes)
+        texts = {r["doc_id"]: r["text"] for r in sample.collect()}
+        model = FullReference(t for d, t in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2)
+        found = op6_lm_scoring(spark, "/root/testdata/sf0.001").collect()
+        assert len(found) == len(texts)
+        for r in found:
+            t = texts[r["doc_id"]]
+            assert r["score"] == pytest.approx(model.score(t), abs=2.5e-4 * len(tokens(t)))
+
+    def test_every_distinct_pair_and_triple_has_a_node(self, spark, sample):
+        trie = ngram.train(sample.select("text"), shared_folder(spark, "test-all"), listed=1, discount=None)
+        model = Reference(r["text"] for r in sample.collect())
+        assert [level[-1] for level in trie.levels] == [len(model.c1), len(model.c2), len(model.c3)]
+
+
 class TestEliasFano:
     @pytest.mark.parametrize(("n", "top"), [(0, 1), (1, 5), (1000, 50), (1000, 10**6), (5000, 2**58), (5, 2**61)])
     def test_access_and_search(self, n, top):
