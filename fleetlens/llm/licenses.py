@@ -72,6 +72,48 @@ TEMPLATES = (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at",
+    ),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to this work."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    (
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
 )
 
 
@@ -142,10 +184,37 @@ def _windows(hashes: Column, words: Column, keys: dict[int, list[int]]) -> Colum
     return F.flatten(F.array(*found))
 
 
+def _lost(verified: DataFrame, wanted: DataFrame, path: str) -> DataFrame:
+    """(lost_id, lost_template, lost_found): matches that a better one in the document explains wholly.
+
+    Better is more of the template, then the larger template, of another license; explained is a match whose found
+    shingles are all shingles of the better template. A document has one row a template on the better side.
+    """
+    share = F.col("n_found") / F.col("n")
+    matched = stored(verified.groupBy("doc_id", "template", "license", "n").agg(F.max(share).alias("share")), path)
+    weak = verified.select(
+        F.col("doc_id").alias("lost_id"),
+        F.col("template").alias("lost_template"),
+        F.col("license").alias("lost_license"),
+        F.col("found").alias("lost_found"),
+        F.struct(share.alias("share"), "n").alias("lost"),
+    )
+    strong = matched.join(wanted.select("template", "asked"), "template")
+    beaten = (
+        F.col("doc_id").eqNullSafe(F.col("lost_id"))
+        & (F.col("license") != F.col("lost_license"))
+        & (F.struct("share", "n") > F.col("lost"))
+        & (F.size(F.array_except("lost_found", "asked")) == 0)
+    )
+    return weak.join(strong, beaten).select("lost_id", "lost_template", "lost_found").distinct()
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, folder: str | None = None) -> DataFrame:
     """One row per document and license found: doc_id, license, n_shingles, n_found, containment, word_at.
 
-    Of a license's templates and the windows of a text the best match counts, then the first.
+    Of a license's templates and the windows of a text the best match counts, then the first. Neighbours such as
+    the GNU headers hold most of each other: a match without a shingle of its own gives way to the better one.
+    Where several headers in one window hold all shingles of another license, that is a match as well.
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "licenses")
@@ -189,8 +258,19 @@ def scan(docs: DataFrame, templates=TEMPLATES, folder: str | None = None) -> Dat
         windows.select("id", "at", "doc_id", _shingle_words(F.col("words")).alias("held"))
         .join(retrieved, ["id", "at"])
         .join(wanted, "template")
-        .withColumn("n_found", F.size(F.array_intersect("asked", "held")))
+        .withColumn("found", F.array_intersect("asked", "held"))
+        .withColumn("n_found", F.size("found"))
         .filter(F.col("n_found") * 100 >= F.col("n") * PERCENT)
+        .select("doc_id", "at", "template", "license", "n", "n_found", "found")
+    )
+    verified = stored(verified, f"{folder}/verified")
+    lost = _lost(verified, wanted, f"{folder}/matched")
+    verified = verified.join(
+        lost,
+        F.col("doc_id").eqNullSafe(F.col("lost_id"))
+        & (F.col("template") == F.col("lost_template"))
+        & (F.col("found") == F.col("lost_found")),
+        "left_anti",
     )
     best = F.max(
         F.struct(

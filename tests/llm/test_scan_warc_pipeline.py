@@ -71,6 +71,30 @@ class TestLicenses:
         assert "Python" not in plan and "Arrow" not in plan
 
 
+class TestNeighbouringLicenses:
+    GNU = ("GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later")
+
+    def found(self, frame, texts):
+        names = {d: set() for d in texts}
+        for r in licenses.scan(frame(list(texts.items()))).collect():
+            names[r["doc_id"]].add(r["license"])
+        return names
+
+    def test_each_gnu_header_is_named_alone(self, frame):
+        header = {n: next(t for m, t in licenses.TEMPLATES if m == n) for n in self.GNU}
+        texts = {i: f"some words before. {header[n]} and some after" for i, n in enumerate(self.GNU)}
+        # Two headers of one text are both named, the third that lies between them is not, and one with a word changed is still its own.
+        texts[10] = header["GPL-2.0-or-later"] + " w" * 300 + " " + header["AGPL-3.0-or-later"]
+        texts[11] = header["LGPL-3.0-or-later"].replace("redistribute it", "redistribute them")
+        wanted = {i: {n} for i, n in enumerate(self.GNU)}
+        wanted |= {10: {"GPL-2.0-or-later", "AGPL-3.0-or-later"}, 11: {"LGPL-3.0-or-later"}}
+        assert self.found(frame, texts) == wanted
+
+    def test_every_template_names_its_license(self, frame):
+        texts = {i: text for i, (_, text) in enumerate(licenses.TEMPLATES)}
+        assert self.found(frame, texts) == {i: {name} for i, (name, _) in enumerate(licenses.TEMPLATES)}
+
+
 class TestWarc:
     def test_pages(self, spark):
         big, small = "é<p>" * 30_000, "tiny"
