@@ -16,11 +16,13 @@ def page(entities: DataFrame, number: int, order: list[str], size: int = PAGE_SI
     """One page, counted from 1; empty past the last one.
 
     An early page is a top-k. A later one, which a top-k would gather with all
-    rows before it in one task, is found by its number.
+    rows before it in one task, is found by its number. Both tell rows that tie
+    apart by a hash of their content, so pages neither overlap nor lose a row.
     """
+    keys = [*order, F.xxhash64(*entities.columns)]
     if number * size <= NEAR_ROWS:
-        return entities.orderBy(*order).offset((number - 1) * size).limit(size)
-    return with_page_number(entities, order, size).filter(F.col("page") == number).drop("page").orderBy(*order)
+        return entities.orderBy(*keys).offset((number - 1) * size).limit(size)
+    return with_page_number(entities, order, size).filter(F.col("page") == number).drop("page").orderBy(*keys)
 
 
 def page_after(entities: DataFrame, key: str, last: object | None, size: int = PAGE_SIZE) -> DataFrame:

@@ -159,3 +159,13 @@ def test_deep_pages_are_no_top_k(spark, monkeypatch):
     deep = page(df, 9, ["id"], 100)
     assert [row.id for row in deep.collect()] == wanted[800:900]
     assert "TakeOrdered" not in plan_of(deep)
+
+
+def test_pages_with_ties_neither_overlap_nor_lose_rows(spark, monkeypatch):
+    monkeypatch.setattr(paging, "NEAR_ROWS", 500)
+    rows = spark.range(1000).repartition(5).select((F.col("id") % 2).alias("key"), "id")
+    pages = [[r["id"] for r in page(rows, number, ["key"], 100).collect()] for number in (1, 4, 5, 6, 7)]
+    assert [len(set(p)) for p in pages] == [100] * 5
+    assert len({i for p in pages for i in p}) == 500
+    numbered = {r["id"]: r["page"] for r in with_page_number(rows, ["key"], 100).collect()}
+    assert [{numbered[i] for i in p} for p in pages] == [{1}, {4}, {5}, {6}, {7}]
