@@ -13,6 +13,7 @@ from fleetlens.llm import licenses, warc
 from fleetlens.llm.common import shared_folder
 from fleetlens.llm.oracle import SQL
 from fleetlens.llm.queries import QUERIES
+from llm_helpers import brute_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -177,8 +178,6 @@ class TestPipeline:
         assert {"doc_id", "sequence_id", "offset", "ids"} <= set(kept[-1].columns)
 
     def test_stages_against_brute_force(self, kept):
-        from test_dedup import brute_components
-
         before = kept[0].select("doc_id", "text").collect()
         named = {r["doc_id"]: r["text"] for r in before if any(c.isalpha() for c in r["text"] or "")}
         assert {r["doc_id"] for r in kept[1].select("doc_id").collect()} == set(named)
