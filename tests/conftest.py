@@ -24,7 +24,3 @@ def rows(spark):
         return spark.createDataFrame(list(data), schema)
 
     return build
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import check
 from slate.jobs import QUERIES
-from conftest import plan_of
+from helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")

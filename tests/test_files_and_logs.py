@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from fleetlens.functions.names import bundle_name, host_file, stem, without_extension
 from fleetlens.functions.text import first_word, megabytes
 from fleetlens.operators import bundle, logs, status

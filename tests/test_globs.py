@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from fleetlens.functions import globs
 
 ALPHABET = "ab-z[]!*?^\\%_.&~|{}$\n"

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators.inventory import inventory, orphans
 from fleetlens.operators.listing import LISTING_HEADER, list_hosts, listing_report, selection_line
-from conftest import plan_of
+from helpers import plan_of
 from fleetlens.operators import paging
 from fleetlens.operators.paging import page, page_after, with_page_number
 from fleetlens.operators.spread import spread_join

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.plans import collect
 from fleetlens.plans.tiers import BASE_REPORTS, LOWEST_REPORTS, TIER_30_REPORTS, by_tier, host_tiers, tier_of
-from test_select import SCHEMA
+from helpers import HOST_SCHEMA
 
 TIERS = host_tiers("prod")
 
@@ -46,7 +46,7 @@ def plan(rows):
     )
 
     def build(**options):
-        df = collect.collection_plan(rows(SCHEMA, *hosts), versions, TIERS, **options)
+        df = collect.collection_plan(rows(HOST_SCHEMA, *hosts), versions, TIERS, **options)
         return {row.address: row for row in df.collect()}
 
     return build
@@ -73,7 +73,7 @@ def test_host_plans(plan):
 
 
 def test_the_latest_version_counts(rows):
-    hosts = rows(SCHEMA, ("d", "1", "c", False, "h", False, True))
+    hosts = rows(HOST_SCHEMA, ("d", "1", "c", False, "h", False, True))
     versions = rows("host string, version string", ("h", "3.6"), ("h", "4.0"), ("h", "3.10"), ("h", None))
     got = collect.collection_plan(hosts, versions, TIERS).collect()
     assert [(row.version, row.tier) for row in got] == [("4.0", 40)]

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from fleetlens.functions.text import after, base_name, comma_list, first_word, lines, strip
 from fleetlens.operators import redact, reports, sections
 

@@ -4,13 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import HOST_SCHEMA, plan_of
 from fleetlens.operators import select
 
-SCHEMA = (
-    "datacenter string, cluster_id string, cluster string, gluster_enabled boolean, address string, "
-    "is_spm boolean, is_up boolean"
-)
 FLEET = [
     ("Legacy", "1", "LegacyCluster", False, "192.168.122.11", False, True),
     ("Legacy", "2", "NewCluster", True, "192.168.125.42", True, True),
@@ -23,7 +19,7 @@ FLEET = [
 
 @pytest.fixture
 def fleet(rows):
-    return rows(SCHEMA, *FLEET)
+    return rows(HOST_SCHEMA, *FLEET)
 
 
 def addresses(df):
@@ -101,7 +97,7 @@ def test_one_per_cluster(fleet):
 
 
 def test_a_down_spm_host_beats_an_up_one(rows):
-    df = rows(SCHEMA, ("d", "1", "c", False, "a", False, True), ("d", "1", "c", False, "b", True, False))
+    df = rows(HOST_SCHEMA, ("d", "1", "c", False, "a", False, True), ("d", "1", "c", False, "b", True, False))
     row = select.one_per_cluster(df).first()
     assert (row.address, row.is_spm, row.is_up) == ("b", True, False)
     assert select.one_per_cluster(df).columns == df.columns
@@ -137,7 +133,7 @@ def test_short_globs_and_whole_fleets(spark):
         table = spark.createDataFrame([(glob,) for glob in globs], "pattern string")
         got = sorted(row.address for row in select.match_patterns(df, table).collect())
         assert got == sorted(r.address for r in df.collect() if any(fnmatch.fnmatchcase(r.address, g) for g in globs))
-    fleet = spark.createDataFrame([("d", "1", "c", False, f"h{i}", False, True) for i in range(50)], SCHEMA)
+    fleet = spark.createDataFrame([("d", "1", "c", False, f"h{i}", False, True) for i in range(50)], HOST_SCHEMA)
     aliases = spark.range(4_000).selectExpr("concat('name', id) name", "if(id % 2 = 0, 'h0', concat('h', id)) ip")
     wanted = aliases.select("name")
     found = select.resolve_names(fleet, wanted, aliases).collect()
