@@ -194,8 +194,8 @@ def _compared(pairs: list[tuple], minima: Minima, schema: str) -> pa.RecordBatch
 def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str | None = None) -> DataFrame:
     """Verified links (u, v), u < v: enough of them to join all documents that any chain of links joins.
 
-    Equal sets are linked to their least document. Of different ones a band's members are compared with its
-    least, and then those that are in no component with it with the others, as ``near_dedup`` does.
+    Equal sets are linked to their least document. Different ones are compared with the least member of a band,
+    and then as strays of their bands, as ``near_dedup`` does.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -225,13 +225,13 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     first = stored(
         sketches(named.join(asked, F.col("doc_id") == F.col("node"), "left_semi"), size, bands, rows)
         .filter("set_digest is not null")
-        .select(F.col("doc_id").alias("node"), "set_digest", "n_shingles", "signature", "odd")
+        .select(F.col("doc_id").alias("node"), "set_digest", "n_shingles", "signature", "bands", "odd")
         .dropDuplicates(["node", "set_digest"]),
         f"{folder}/first",
     )
-    links, _, more = linked(named, first, buckets, size, percent, bands * rows, folder)
+    links, _ = linked(named, first, buckets, size, percent, bands * rows, folder)
     return stored(
-        links.unionAll(more).unionAll(copies).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        links.unionAll(copies).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct(),
         f"{folder}/links",
     )

@@ -1,24 +1,19 @@
 """MinHash near-dedup: minima, banding, signature check, full-set check, connected components.
 
 Texts with one and the same shingle set are one class from the start, so copies cost nothing more.
-Classes that share a band are a bucket. First each class of a bucket is compared with the bucket's
-least class only: a star, never all pairs. The links found give components. Where a bucket still
-holds several components, the classes outside its largest one are compared with the classes of the
-others, so no pair of a bucket that could join two components goes unseen, and a bucket of
-one large group and a few strays costs its size times the strays.
-
-Two bounds keep comparisons cheap and lose nothing. The signature check leaves out pairs whose equal
-minima are DEVIATIONS standard deviations too few. An odd sketch has a bit for each hash value that occurs an
-odd number of times in a set; two sketches differ in no more bits than the sets do in shingles, so
-where they differ in too many the threshold is out of reach. The second one is tested inside the join of
-strays and others, which so gives hardly more rows than there are links.
+Classes that share a band are a bucket. Each class is first compared with the least class of one of its
+buckets: a star, never all pairs. The links found give components. Where a bucket still holds several
+components, strays become centres by rounds (``resolve``), so no pair of a bucket that could join two
+components goes unseen.
 
+The signature check leaves out pairs whose equal minima are DEVIATIONS standard deviations too few.
 Every link is confirmed on the full sets. Rows per band follow from the threshold: of pairs exactly at
 the threshold, less than one in a million shares no band (``banding``).
 
 Defined results: a null or empty text, or one without words, has the empty set and is linked with
 nothing; fewer words than a shingle are one shingle as a whole; rows that share an identifier are
-one node; a row without identifier has component null and is kept; other columns are not read.
+one node, which joins what each of their texts is linked with; a row without identifier has component
+null and is kept; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,20 +21,20 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import kept, shared_folder, ship, stored
 from fleetlens.llm.components import components
+from fleetlens.llm.resolve import contract, odd_sketch
 from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, steps, text_buffers, word_hashes
 
 #: Identifiers that may be broadcast to pick texts (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
-#: Bits of an odd sketch, a multiple of 64.
-ODD_BITS = 2048
 #: The signature check leaves out pairs whose estimate is so many standard deviations too low.
 DEVIATIONS = 6
 
@@ -64,24 +59,6 @@ def text_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingles[begins[i] : begins[i + 1]])
 
 
-def odd_sketch(shingles: np.ndarray) -> np.ndarray:
-    """ODD_BITS bits as 64-bit numbers: which hash values occur an odd number of times in the set."""
-    held = np.bincount((shingles >> np.uint64(16)).astype(np.int64) & (ODD_BITS - 1), minlength=ODD_BITS) & 1
-    return np.packbits(held.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def _within_reach(percent: int) -> Column:
-    """May sets with sketches ``odd_a``, ``odd_b`` and sizes ``n_a``, ``n_b`` reach the threshold?
-
-    At the threshold t sets of p and q shingles differ in at most (1-t)/(1+t) * (p+q) of them.
-    """
-    room = (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    bits = F.aggregate(
-        F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
-    return (F.abs(F.col("n_a") - F.col("n_b")) * (100 + percent) <= room) & (bits * (100 + percent) <= room)
-
-
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """Per document: number of shingles, digest of the set, minima, band keys."""
 
@@ -185,65 +162,45 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(buckets: DataFrame, first: DataFrame, percent: int, folder: str) -> DataFrame:
-    """Pairs of classes of one bucket but of different components, one of them outside the bucket's largest.
-
-    Only those that their odd sketches leave within reach of the threshold.
-    """
-    per = buckets.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    several = stored(
-        per.groupBy("band")
-        .agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1")
-        .select("band", F.col("top.component").alias("largest")),
-        f"{folder}/several",
-    )
-    sized = first.select("node", "n_shingles", "odd")
-    members = stored(buckets.join(several, "band").join(sized, "node"), f"{folder}/members")
-    strays = members.filter("component <> largest").select(
-        "band",
-        F.col("node").alias("a"),
-        F.col("component").alias("ca"),
-        F.col("n_shingles").alias("n_a"),
-        F.col("odd").alias("odd_a"),
-    )
-    others = members.select(
-        F.col("band").alias("other_band"),
-        F.col("node").alias("b"),
-        F.col("component").alias("cb"),
-        (F.col("component") == F.col("largest")).alias("main"),
-        F.col("n_shingles").alias("n_b"),
-        F.col("odd").alias("odd_b"),
-    )
-    apart = (F.col("ca") != F.col("cb")) & (F.col("main") | (F.col("a") < F.col("b")))
-    met = (F.col("band") == F.col("other_band")) & apart & _within_reach(percent)
-    return strays.join(others, met).select("a", "b").distinct()
-
-
 def linked(
     docs: DataFrame, first: DataFrame, buckets: DataFrame, size: int, percent: int, minima: int, folder: str
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(links of the stars, the components they give, links between those): see the module.
+) -> tuple[DataFrame, DataFrame]:
+    """(links, the components they give): see ``resolve``.
 
-    ``first`` has each class's node, n_shingles, signature and odd; ``buckets`` is (band, center, node).
+    ``first`` has each class's node, n_shingles, signature, bands and odd; ``buckets`` is (band, center, node).
     """
+    have: list[DataFrame] = []
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verify(pairs: DataFrame, name: str) -> DataFrame:
         near = stored(_agree(pairs, first, minima, percent / 100), f"{folder}/{name}-near")
-        wanted = stored(
-            near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct(),
-            f"{folder}/{name}-wanted",
-        )
-        sets = stored(_sets(docs, wanted, size), f"{folder}/{name}-sets")
-        return stored(_confirm(near, sets, percent), f"{folder}/{name}-links")
-
-    stars = buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(stars, "star")
-    found = stored(components(links, f"{folder}/found"), f"{folder}/found-all")
-    placed = buckets.join(found, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
+        wanted = near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct()
+        for sets in have:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        wanted = stored(wanted, f"{folder}/{name}-wanted")
+        if not wanted.isEmpty():
+            have.append(stored(_sets(docs, wanted, size), f"{folder}/{name}-sets"))
+        confirmed = _confirm(near, reduce(DataFrame.unionAll, have), percent) if have else near.toDF("u", "v")
+        return stored(confirmed, f"{folder}/{name}-links")
+
+    # Of a node's buckets the one with the least centre: one pair a node.
+    stars = (
+        buckets.groupBy("node").agg(F.min("center").alias("a")).filter("a <> node").select("a", F.col("node").alias("b"))
+    )
+    sized = first.select("node", "n_shingles", "odd", "bands")
+    links, found = contract(stars, buckets, sized, verify, percent, folder)
+    return reduce(DataFrame.unionAll, links), found
+
+
+def _one_node(sketched: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
+    """Links (u, v) between the classes of rows that share an identifier but not their text."""
+    held = sketched.filter("set_digest is not null and doc_id is not null").select("doc_id", "set_digest")
+    again = held.groupBy("doc_id").agg(F.min("set_digest").alias("x"), F.max("set_digest").alias("y")).filter("x <> y")
+    several = stored(
+        held.join(again.select("doc_id"), "doc_id").join(classes, "set_digest").select("doc_id", "node").distinct(),
+        f"{folder}/several",
     )
-    return links, found, verified(_cross_pairs(placed, first, percent, folder), "cross")
+    least = stored(several.groupBy("doc_id").agg(F.min("node").alias("u")), f"{folder}/several-least")
+    return several.join(least, "doc_id").select("u", F.col("node").alias("v")).filter("u <> v").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: str | None = None) -> DataFrame:
@@ -273,9 +230,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, folder: s
     )
     buckets = stored(keyed.join(centers, "band").select("band", "center", "node"), f"{folder}/buckets")
 
-    links, found, more = linked(docs, first, buckets, size, percent, bands * rows, folder)
-    if not more.isEmpty():
-        found = stored(components(links.unionAll(more), f"{folder}/joined"), f"{folder}/joined-all")
+    _, found = linked(docs, first, buckets, size, percent, bands * rows, folder)
+    same = stored(_one_node(sketched, classes, folder), f"{folder}/same")
+    if not same.isEmpty():
+        edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(same)
+        found = stored(components(edges, f"{folder}/joined"), f"{folder}/joined-all")
     named = classes.join(found, "node", "left").select(
         "set_digest", F.coalesce("component", "node").alias("component_id")
     )

@@ -15,6 +15,7 @@ from fleetlens.llm.components import components
 from fleetlens.llm.exact_dedup import exact_dedup, land, update_state
 from fleetlens.llm.fingerprints import edited, fingerprints, similar
 from fleetlens.llm.near_dedup import banding, near_duplicates, odd_sketch
+from fleetlens.llm.resolve import within_reach
 from fleetlens.llm.text_hash import Minima, shingle_hashes, word_hashes
 from llm_helpers import brute_components, shingles
 
@@ -170,12 +171,50 @@ class TestNear:
 
     def test_odd_sketches_differ_no_more_than_sets(self):
         random = np.random.default_rng(8)
-        pool = random.integers(0, 2**64, 4000, dtype=np.uint64)
+        pool = random.integers(0, 2**64, 9000, dtype=np.uint64)
         for _ in range(50):
-            a, b = (np.unique(random.choice(pool, random.integers(1, 3000))) for _ in range(2))
+            a, b = (np.unique(random.choice(pool, random.integers(1, 9000))) for _ in range(2))
             x, y = odd_sketch(a).view(np.uint64), odd_sketch(b).view(np.uint64)
+            if len(x) != len(y):
+                x, y = sorted((x, y), key=len)
+                y = y[: len(x)] ^ y[len(x) :]
             assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
 
+    def test_reach_of_sets_of_any_length(self, spark):
+        """The bound lets every pair at the threshold through, also where one sketch is twice as long."""
+        random = np.random.default_rng(9)
+        rows, near = [], []
+        for n in (50, 4000, 4200, 9000):
+            pool = np.unique(random.integers(0, 2**64, 2 * n, dtype=np.uint64))
+            a = np.sort(pool[:n])
+            for b in (np.sort(pool[: int(n * 0.81)]), np.sort(pool[: int(n * 1.2)]), np.sort(pool[n // 2 : n // 2 + n])):
+                both = len(np.intersect1d(a, b))
+                rows.append((len(rows), n, odd_sketch(a).tolist(), len(b), odd_sketch(b).tolist()))
+                near.append(100 * both >= 80 * (n + len(b) - both))
+        df = spark.createDataFrame(rows, "i int, n_a long, odd_a array<long>, n_b long, odd_b array<long>")
+        reached = [r[0] for r in df.orderBy("i").select(within_reach(80)).collect()]
+        assert reached == near
+
+    def test_centre_beyond_the_threshold(self, frame):
+        """Edits of one text by a word or two, all pairs just around the threshold, whatever the least one is."""
+        random = np.random.default_rng(1)
+        base = [f"w{i}" for i in range(90)]
+        texts = {}
+        for k in range(150):
+            edit = list(base)
+            for at in random.choice(90, 1 + (k % 40 == 0), replace=False):
+                edit[int(at)] = f"e{k}"
+            texts[k] = " ".join(edit)
+        found = near_duplicates(frame(list(texts.items()))).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == brute_components(texts, 5, 80)
+
+    def test_rows_of_one_id_are_one_node(self, frame):
+        x = [f"x{i}" for i in range(100)]
+        rows = [(1, " ".join(x[:99] + ["z"])), (5, " ".join(x)), (5, "other text of its own"), (3, "other text of its own")]
+        rows += [(8, "one"), (8, "two"), (9, "two"), (8, None)]
+        found = near_duplicates(frame(rows)).select("doc_id", "component_id").collect()
+        assert sorted(map(tuple, found)) == [(1, 1), (3, 1), (5, 1), (5, 1), (8, 8), (8, 8), (8, 8), (9, 8)]
+
     def test_odd_rows(self, frame, odd_rows):
         found = near_duplicates(frame(odd_rows)).collect()
         assert len(found) == len(odd_rows)
