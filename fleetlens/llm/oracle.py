@@ -109,10 +109,70 @@ select t.page_id, strlen(t.x) as payload_bytes, sha256(t.x) as payload_digest,
 from t left join g on t.x = g.x
 """
 
+# The checksum of a document's number, bit by bit, as DuckDB has no function for it.
+_CRC32 = """xor(list_reduce([cast(4294967295 as bigint)] || list_transform(range(1, length(cast(doc_id as varchar)) + 1),
+  lambda i: cast(ascii(cast(doc_id as varchar)[i]) as bigint)), lambda c, b:
+  list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)
+  ), 4294967295)"""
+
+RUNS = rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, {_CRC32} as h from documents),
+e as (select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as bent, (h // 10) % greatest(len(w), 1) as a, (h // 10) % 8 as k from d),
+f as (select doc_id, n, list_transform(range(0, n), lambda i: w[1 + case when bent and i >= a
+        then a + (i - a) % (1 + (n - a) // (3 + k)) else i end]) as w from e),
+t as (select doc_id, n, unnest(w) as t, unnest(range(0, n)) as i from f),
+m as (select x.doc_id, y.i - x.i as q, x.i, x.n from t x join t y
+      on x.doc_id = y.doc_id and x.t = y.t and y.i > x.i and 3 * (y.i - x.i) <= x.n),
+g as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as island from m),
+r as (select doc_id, min(i) as start, count(*) + q as length, q from g group by doc_id, q, island
+      having count(*) + q >= greatest(24, 3 * q)),
+s as (select doc_id, start, length, min(q) as period from r group by doc_id, start, length),
+o as (select doc_id, count(*) as n_runs,
+        first(struct_pack(s := start, l := length, p := period) order by cast(length as double) / period desc, start, period) as best,
+        sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period)) as runs_sha256
+      from s group by doc_id),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from s),
+left_over as (select t.doc_id, sha256(string_agg(t.t, ' ' order by t.i)) as collapsed_sha256
+         from t left join gone on gone.doc_id = t.doc_id and gone.i = t.i where gone.i is null group by t.doc_id)
+select f.doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, best.s as start, best.l as length, best.p as period,
+  1000 * best.l // best.p as exponent_milli, coalesce(runs_sha256, sha256('')) as runs_sha256,
+  coalesce(collapsed_sha256, sha256('')) as collapsed_sha256
+from f left join o on o.doc_id = f.doc_id left join left_over c on c.doc_id = f.doc_id
+"""
+
+
+def _terms(table: str, key: str) -> str:
+    return rf"""select {key}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from {table} where text is not null"""
+
+
+SEARCH = rf"""
+with d as ({_terms("documents", "doc_id")}),
+b as ({_terms("benchmark", "item_id")}),
+total as (select count(*) filter (len(w) > 0) as n, cast(sum(len(w)) as bigint) as l from d),
+asked as (select item_id, unnest(w) as t from b),
+query as (select item_id, t, count(*) as times from asked group by all),
+held as (select doc_id, len(w) as n, unnest(w) as t from d),
+counted as (select doc_id, n, t, count(*) as tf from held where t in (select t from query) group by all),
+weights as (select t, cast(floor(1000 * ln((2 * max(total.n) + 2) / (2 * count(*) + 1))) as bigint) as w from counted, total group by t),
+scored as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * c.n * total.n) // total.l)))) as bigint) as score
+  from query q join counted c on q.t = c.t join weights on weights.t = q.t, total group by item_id, doc_id)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 20
+"""
+
+JOIN = NEAR.replace("len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])",
+                    "len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))").replace(
+                    "min(c) as component_id,\n  min(c) = r.d as kept\n", "min(c) as component_id\n")
+
 SQL = {
     "op1_exact_dedup": EXACT,
     "op2_license_scan": LICENSES,
     "op3_source_mix": MIX,
     "op7_near_dedup": NEAR,
     "op10_warc": WARC,
+    "op11_periodic_runs": RUNS,
+    "op12_ranked_search": SEARCH,
+    "op13_shingle_join": JOIN,
 }

@@ -17,6 +17,9 @@ from fleetlens.llm.mixing import mix_sources
 from fleetlens.llm.near_dedup import near_duplicates
 from fleetlens.llm.ngram import score_documents
 from fleetlens.llm.packing import pack
+from fleetlens.llm.part_enum import shingle_join
+from fleetlens.llm.runs import digests, periodic_runs
+from fleetlens.llm.search import search
 from fleetlens.llm.token_counts import token_counts
 from fleetlens.llm.warc import page_records
 
@@ -67,6 +70,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return digests(periodic_runs(docs, F.crc32(F.col("doc_id").cast("string"))))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join(documents(spark, sf_dir), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_language,
         op10_warc,
+        op11_periodic_runs,
+        op12_ranked_search,
+        op13_shingle_join,
     )
 }
