@@ -110,31 +110,32 @@ def _digest(shingles: np.ndarray) -> int:
 
 
 def classes_of(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (a hash of the set, null for the empty one) of each document."""
+    """doc_id, n_shingles, set_id (a hash of the set, null for the empty one) of each document."""
 
     def digest(batches):
         for batch in batches:
-            counts, nodes = [], []
+            counts, named = [], []
             for shingles in text_sets(batch.column(1), size):
                 counts.append(len(shingles))
-                nodes.append(_digest(shingles) if len(shingles) else None)
+                named.append(_digest(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64())],
-                names=["doc_id", "n_shingles", "node"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(named, pa.int64())],
+                names=["doc_id", "n_shingles", "set_id"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digest, "doc_id long, n_shingles long, node long")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return texts.mapInArrow(digest, "doc_id long, n_shingles long, set_id long")
 
 
 def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents in ``wanted`` (doc_id)."""
+    """(node, text) of the documents in ``wanted`` (node)."""
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    return docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
 
 
-def combined(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(signature, node, least node of the signature, whether it has others) of each distinct pair, in order."""
+def combined(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, node, least node of the signature, whether it is the only one) of each distinct pair, in order."""
     order = np.lexsort((nodes, signatures))
     signatures, nodes = signatures[order], nodes[order]
     new = np.ones(len(order), bool)
@@ -144,39 +145,33 @@ def combined(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, ...
     signatures, nodes, new = signatures[once], nodes[once], new[once]
     firsts = np.flatnonzero(new)
     held = np.diff(np.r_[firsts, len(nodes)])
-    return signatures, nodes, np.repeat(nodes[firsts], held), np.repeat(held > 1, held)
+    return signatures, nodes, np.repeat(nodes[firsts], held), np.repeat(held == 1, held)
 
 
 def _signed(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(band, node, least, many): the signatures of each class, as ``band``.
+    """(band, node, least): the signatures of each document, as ``band``.
 
-    ``least`` is the least class of the task with that signature, null for that class itself; ``many`` says whether
-    the task has others with it.
+    ``least`` is the least document of the task with that signature; null where there is no other.
     """
 
     def out(waiting):
         signatures = np.concatenate([s for s, _ in waiting])
         nodes = np.repeat(np.array([n for _, n in waiting], np.int64), [len(s) for s, _ in waiting])
-        band, node, least, many = combined(signatures, nodes)
+        band, node, least, only = combined(signatures, nodes)
         for at in range(0, len(band), 100_000):
             part = slice(at, at + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(band[part]),
-                    pa.array(node[part]),
-                    pa.array(least[part], mask=least[part] == node[part]),
-                    pa.array(many[part]),
-                ],
-                names=["band", "node", "least", "many"],
+                [pa.array(band[part]), pa.array(node[part]), pa.array(least[part], mask=only[part])],
+                names=["band", "node", "least"],
             )
 
     def sign(batches):
         signer = kept(("signer", percent), lambda: Signer(percent))
         waiting, held = [], 0
         for batch in batches:
-            for shingles in text_sets(batch.column(1), size):
+            for node, shingles in zip(batch.column(0).to_pylist(), text_sets(batch.column(1), size), strict=True):
                 if len(shingles):
-                    waiting.append((signer.of(shingles), _digest(shingles)))
+                    waiting.append((signer.of(shingles), node))
                     held += len(waiting[-1][0])
                     if held >= COMBINED:
                         yield from out(waiting)
@@ -184,7 +179,7 @@ def _signed(texts: DataFrame, size: int, percent: int) -> DataFrame:
         if waiting:
             yield from out(waiting)
 
-    return texts.mapInArrow(sign, "band long, node long, least long, many boolean")
+    return texts.mapInArrow(sign, "band long, node long, least long")
 
 
 def _sketched(texts: DataFrame, size: int) -> DataFrame:
@@ -192,18 +187,17 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
 
     def sketch(batches):
         for batch in batches:
-            nodes, counts, odds = [], [], []
-            for shingles in text_sets(batch.column(1), size):
-                if len(shingles):
-                    nodes.append(_digest(shingles))
-                    counts.append(len(shingles))
-                    odds.append(odd_sketch(shingles))
+            sets = list(text_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(odds, pa.list_(pa.int64()))],
+                [
+                    batch.column(0),
+                    pa.array(map(len, sets), pa.int64()),
+                    pa.array(map(odd_sketch, sets), pa.list_(pa.int64())),
+                ],
                 names=["node", "n_shingles", "odd"],
             )
 
-    return texts.mapInArrow(sketch, "node long, n_shingles long, odd array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(sketch, "node long, n_shingles long, odd array<long>").filter("n_shingles > 0")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -211,11 +205,8 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            found = [s for s in text_sets(batch.column(1), size) if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(map(_digest, found), pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["node", "shingles"],
-            )
+            sets = [s.tobytes() for s in text_sets(batch.column(1), size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     return texts.mapInArrow(cut, "node long, shingles binary")
 
@@ -241,60 +232,56 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, folder: str | None = None) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, node (the class of equal sets), n_links.
+    """One row per document: doc_id, n_shingles, component_id, node (the least document of the same set), n_links.
 
-    ``n_links`` counts the confirmed links of the class to other classes: enough of them to join all that any
-    chain of links joins.
+    ``n_links`` counts the confirmed links of the node to others: enough of them to join all that any chain of links
+    joins.
     """
     spark = docs.sparkSession
     ship(spark)
     folder = folder or shared_folder(spark, "join")
     marked = stored(classes_of(docs, size), f"{folder}/marked")
-    rows = marked.filter("node is not null and doc_id is not null")
-    classes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{folder}/classes")
+    rows = marked.filter("set_id is not null and doc_id is not null").select("doc_id", "set_id")
+    classes = stored(rows.groupBy("set_id").agg(F.min("doc_id").alias("node")), f"{folder}/classes")
 
-    def texts_of(nodes: DataFrame, name: str) -> DataFrame:
-        return _picked(docs, stored(classes.join(nodes, "node").select("doc_id").distinct(), f"{folder}/{name}"))
-
-    firsts = stored(classes.select("doc_id").distinct(), f"{folder}/firsts")
-    signed = _signed(_picked(docs, firsts), size, percent)
+    nodes = stored(classes.select("node").distinct(), f"{folder}/nodes")
     # One row a task and signature meets those of the other tasks; the rest are groups of their own.
-    together = Window.partitionBy("band", F.when(F.col("least").isNotNull(), F.col("node")))
+    follows = F.col("least").isNotNull() & (F.col("least") != F.col("node"))
+    signed = _signed(_picked(docs, nodes), size, percent).withColumn("apart", F.when(follows, F.col("node")))
+    together = Window.partitionBy("band", "apart")
     met = stored(
-        signed.withColumn("lead", F.min("node").over(together))
-        .withColumn("last", F.max("node").over(together))
-        .filter("lead < last or many")
-        .select("band", "node", F.coalesce("least", "lead").alias("center")),
+        signed.select("*", F.min("node").over(together).alias("lead"), F.max("node").over(together).alias("last"))
+        .filter("lead < last or least is not null")
+        .select("band", "node", F.when(F.col("apart").isNull(), F.col("lead")).otherwise(F.col("least")).alias("center")),
         f"{folder}/met",
     )
-    sized = stored(
-        _sketched(texts_of(met.select("node").distinct(), "sketched-ids"), size), f"{folder}/sketched"
-    )
+    shared = stored(met.select("node").distinct(), f"{folder}/shared")
+    sized = stored(_sketched(_picked(docs, shared), size), f"{folder}/sketched")
     have: list[DataFrame] = []
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         if name == "star":
             a = sized.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("odd").alias("odd_a"))
             b = sized.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("odd").alias("odd_b"))
-            pairs = pairs.join(a, "a").join(b, "b").filter(within_reach(percent)).select("a", "b")
+            pairs = pairs.join(a, "a").join(b, "b").filter(within_reach(percent)).select("a", "b").distinct()
         near = stored(pairs, f"{folder}/{name}-near")
         wanted = near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct()
         for sets in have:
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
         wanted = stored(wanted, f"{folder}/{name}-wanted")
         if not wanted.isEmpty():
-            sets = _sets(texts_of(wanted, f"{name}-ids"), size).join(wanted, "node", "left_semi")
-            have.append(stored(sets.dropDuplicates(["node"]), f"{folder}/{name}-sets"))
+            have.append(stored(_sets(_picked(docs, wanted), size), f"{folder}/{name}-sets"))
         if not have:
             return near.toDF("u", "v")
         return stored(_confirmed(near, reduce(DataFrame.unionAll, have), percent), f"{folder}/{name}-links")
 
     stars = met.groupBy("node").agg(F.min("center").alias("a")).filter("a <> node").select("a", F.col("node").alias("b"))
     tables, found = contract(stars, met, sized, verify, percent, folder)
-    again = rows.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("top")).filter("u <> top")
-    same = stored(
-        rows.join(again, "doc_id").filter("node <> u").select("u", F.col("node").alias("v")).distinct(), f"{folder}/same"
-    )
+    # Rows of one identifier with several texts are one node.
+    again = rows.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).filter("x <> y")
+    several = stored(rows.join(again.select("doc_id"), "doc_id").join(classes, "set_id"), f"{folder}/several")
+    least = several.groupBy("doc_id").agg(F.min("node").alias("u"))
+    same = stored(several.join(least, "doc_id").filter("node <> u").select("u", F.col("node").alias("v")), f"{folder}/same")
     if not same.isEmpty():
         edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(same)
         found = stored(components(edges, f"{folder}/joined"), f"{folder}/joined-all")
@@ -302,20 +289,13 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, folder: str
     links = reduce(DataFrame.unionAll, tables)
     ends = links.select(F.col("u").alias("node")).unionAll(links.select(F.col("v").alias("node")))
     counted = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = stored(
-        classes.join(found, "node", "left")
-        .join(counted, "node", "left")
-        .select(
-            "node",
-            "doc_id",
-            F.coalesce("component", "node").alias("component"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    named = stored(
+        classes.join(found, "node", "left").join(counted, "node", "left").select(
+            "set_id", "node", F.coalesce("component", "node").alias("component_id"), "n_links"
         ),
-        f"{folder}/placed",
+        f"{folder}/named",
     )
-    least = stored(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), f"{folder}/least")
-    named = stored(placed.join(least, "component").select("node", "component_id", "n_links"), f"{folder}/named")
-    return marked.join(named, "node", "left").select(
+    return marked.join(named, "set_id", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
