@@ -29,6 +29,8 @@ from fleetlens.llm.components import components
 
 #: The least number of bits of an odd sketch, a power of two from 64 on; longer sets get half a bit a shingle or more.
 ODD_BITS = 2048
+#: Centres, with their sketches, that are broadcast (some 600 bytes each); for more, the join shuffles.
+BROADCAST_CENTERS = 10_000
 #: Centres of a bucket in the first round of strays, and how many times as many in each further round.
 CENTERS, GROWTH = 2, 8
 
@@ -84,6 +86,7 @@ def contract(
     and bands where a node's buckets are bands; ``verify`` confirms pairs and stores the links.
     """
     by_band = "bands" in sized.columns
+    fields = [("node", "node"), ("n_shingles", "n"), ("odd", "odd"), *([("bands", "bands")] if by_band else [])]
     links = [verify(stars, "star")]
     found = stored(components(links[0], f"{folder}/found-star"), f"{folder}/found")
     left, centers, step = buckets.select("band", "node"), CENTERS, 0
@@ -104,41 +107,41 @@ def contract(
             return links, found
         stray = F.col("component") != F.col("largest")
         members = stored(
-            placed.join(several, "band")
-            .withColumn("center", stray & (_share(step) * F.col("strays") < centers))
-            .join(sized, "node"),
+            placed.join(several, "band").select(
+                "band", "node", "component", (stray & (_share(step) * F.col("strays") < centers)).alias("center")
+            ),
             f"{at}-members",
         )
-        chosen = members.filter("center").select(
-            "band",
-            F.col("node").alias("a"),
-            F.col("component").alias("ca"),
-            F.col("n_shingles").alias("n_a"),
-            F.col("odd").alias("odd_a"),
-            *([F.col("bands").alias("bands_a")] if by_band else []),
+        # Sketches join where the pairs are made; they are not carried through a shuffle by bucket unless they must.
+        chosen = stored(
+            members.filter("center")
+            .join(sized, "node")
+            .select("band", *(F.col(x).alias(f"{y}_a") for x, y in fields), F.col("component").alias("ca")),
+            f"{at}-centers",
         )
-        others = members.select(
+        others = members.join(sized, "node").select(
             F.col("band").alias("other_band"),
-            F.col("node").alias("b"),
+            *(F.col(x).alias(f"{y}_b") for x, y in fields),
             F.col("component").alias("cb"),
             F.col("center").alias("also"),
-            F.col("n_shingles").alias("n_b"),
-            F.col("odd").alias("odd_b"),
-            *([F.col("bands").alias("bands_b")] if by_band else []),
         )
         met = (
             (F.col("band") == F.col("other_band"))
             & (F.col("ca") != F.col("cb"))
-            & (~F.col("also") | (F.col("a") < F.col("b")))
+            & (~F.col("also") | (F.col("node_a") < F.col("node_b")))
             & within_reach(percent)
         )
         if by_band:
             met &= F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == F.col("band")
-        more = verify(chosen.join(others, met).select("a", "b").distinct(), f"strays{step}")
+        if chosen.count() <= BROADCAST_CENTERS:
+            chosen = F.broadcast(chosen)
+        pairs = others.join(chosen, met).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        more = verify(pairs, f"strays{step}")
         if not more.isEmpty():
             links.append(more)
             edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more)
             found = stored(components(edges, f"{at}-found"), f"{folder}/found{step}")
         left = stored(members.filter("not center").select("band", "node"), f"{folder}/left{step}")
-        drop_folder(found.sparkSession, f"{at}-members")
+        for part in ("members", "centers"):
+            drop_folder(found.sparkSession, f"{at}-{part}")
         centers, step = centers * GROWTH, step + 1
