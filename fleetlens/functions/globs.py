@@ -128,7 +128,17 @@ def glob(column: Column, pattern: str) -> Column:
     if not is_pattern(pattern):
         return column == F.lit(pattern)
     like = to_like(pattern)
-    return column.like(like) if like is not None else column.rlike(to_regex(pattern))
+    if like is not None:
+        return column.like(like)
+    # The literal ends beside the expression: a scan can test these.
+    tokens = _tokens(pattern)
+    wild = [i for i, token in enumerate(tokens) if _is_class(token) or token in "*?"]
+    start, end = "".join(tokens[: wild[0]]), "".join(tokens[wild[-1] + 1 :])
+    found = column.rlike(to_regex(pattern))
+    for literal, test in ((end, column.endswith), (start, column.startswith)):
+        if literal:
+            found = test(literal) & found
+    return found
 
 
 def any_glob(column: Column, patterns: Iterable[str]) -> Column:
@@ -173,6 +183,11 @@ def regex_of(pattern: Column) -> Column:
     return F.concat(F.lit(r"(?s)\A"), F.array_join(F.transform(tokens, translate), ""), F.lit(r"\z"))
 
 
+def literal_runs(pattern: Column) -> Column:
+    """The texts between the wildcards and classes of a glob, in order; empty ones as well."""
+    return F.split(F.regexp_replace(pattern, r"(?s)\[!?+\]?+[^\]]*\]|[*?]", "\x00"), "\x00")
+
+
 def literal_prefix(pattern: Column) -> Column:
     """The text every match of the glob must start with (may be empty)."""
     return F.regexp_extract(pattern, r"(?s)\A[^*?\[]*", 0)

@@ -10,6 +10,8 @@ from .spread import spread_join
 # Rows without a parent are spread over this many join keys that match nothing,
 # so they do not all meet in one shuffle partition.
 _SPREAD = 1024
+# Buckets by which two inventories are compared.
+BUCKETS = 4096
 
 
 def _spread(parent: str, spread_by: str) -> Column:
@@ -79,3 +81,32 @@ def orphans(datacenters: DataFrame, clusters: DataFrame, hosts: DataFrame) -> Da
     tree = cluster_tree(datacenters, clusters).select("cluster_id")
     placed = hosts.filter("cluster_id is not null").select("address", "cluster_id")
     return spread_join(placed, tree, ["cluster_id"], "left_anti").distinct()
+
+
+def inventory_changes(old: DataFrame, new: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows that two tables of the same columns do not share: the columns, side ``old`` or ``new``, times.
+
+    Rows are counted, so a row held twice and once differs by one. Both sides are first compared by the count and
+    the sum of the row hashes of each bucket; only buckets that differ are opened, so equal tables cost two scans
+    and no shuffle of rows.
+    """
+    columns = old.columns
+    hashed = F.xxhash64(*columns)
+    bucket = F.pmod(hashed, F.lit(buckets)).cast("int").alias("_bucket")
+
+    def sums(table: DataFrame, side: str) -> DataFrame:
+        total = F.sum(hashed.cast("decimal(38,0)")).alias(f"_sum_{side}")
+        return table.select(*columns).groupBy(bucket).agg(total, F.count(F.lit(1)).alias(f"_n_{side}"))
+
+    differs = ~(F.col("_sum_old").eqNullSafe(F.col("_sum_new")) & F.col("_n_old").eqNullSafe(F.col("_n_new")))
+    # No more rows than there are buckets.
+    opened = sums(old, "old").join(sums(new.select(*columns), "new"), "_bucket", "full").filter(differs).select("_bucket")
+
+    def within(table: DataFrame, sign: int) -> DataFrame:
+        held = table.select(*columns, bucket).join(F.broadcast(opened), "_bucket", "left_semi")
+        return held.select(*columns, F.lit(sign).alias("_sign"))
+
+    counted = within(old, -1).union(within(new, 1)).groupBy(*columns).agg(F.sum("_sign").alias("_more"))
+    return counted.filter("_more <> 0").select(
+        *columns, F.when(F.col("_more") > 0, "new").otherwise("old").alias("side"), F.abs("_more").alias("times")
+    )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import explode_lines, strings
+from .carry import carry_down
 
 # Log levels and their ranks.
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
@@ -44,6 +47,34 @@ def parse_log_lines(rows: DataFrame, column: str = "line") -> DataFrame:
     )
 
 
+def log_records(
+    rows: DataFrame, by: Sequence[str] = ("file",), order: str = "line_no", column: str = "line"
+) -> DataFrame:
+    """Each line with the record it is of: the further lines of a message, such as a traceback, keep its fields.
+
+    Gives (by, order, line, record_no, part, time, level, module, lineno, logger, message, severity): ``record_no`` is
+    the number of the record's first line, ``part`` the line's place in it from 0 on, and ``message`` this line's part
+    of the text. Lines above a file's first record are of none and have nulls. The fields are carried down over
+    blocks of lines, so a record may hold a third of all lines; its lines stay rows.
+    """
+    by = list(by)
+    fields = ["time", "level", "module", "lineno", "logger", "severity"]
+    parsed = parse_log_lines(rows.select(*by, order, column), column)
+    first = F.when(F.col("parsed"), F.struct(F.col(order).alias("record_no"), *fields))
+    carried = carry_down(parsed.select(*by, order, column, "parsed", "message", *fields), first, by, order, "_record")
+    number = F.col("_record.record_no")
+    return carried.select(
+        *by,
+        order,
+        column,
+        number.alias("record_no"),
+        (F.col(order) - number).alias("part"),
+        *[F.col(f"_record.{name}").alias(name) for name in fields[:-1]],
+        F.when(F.col("parsed"), F.col("message")).when(number.isNotNull(), F.col(column)).alias("message"),
+        F.col("_record.severity").alias("severity"),
+    )
+
+
 def message_lines(records: DataFrame, column: str = "message") -> DataFrame:
     """One record per line of a message, numbered from 1."""
     return explode_lines(records, column, column, "part")

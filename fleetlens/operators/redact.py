@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .spread import spread_join
+
 MASK = "********"
 
 # Words that name how the next word is to be read, as in ``Authorization: Bearer <secret>``.
@@ -21,12 +23,21 @@ def sensitive_keys(*lists: str | None) -> list[str]:
     return list(dict.fromkeys(key for key in keys if key))
 
 
+# What may stand for a key in a line, ahead of ``=`` or ``:``.
+_CANDIDATE = r"""([0-9A-Za-z_][0-9A-Za-z_.\-]*)["']?[ \t]*[=:]"""
+
+
 def _quoted(quote: str) -> str:
     """A quoted string with escapes; one that is never closed runs to the end of the line."""
     inside = rf"(?:[^{quote}\\\r\n]|\\[^\r\n])*+"
     return rf"{quote}{inside}(?:{quote}|[^\r\n]*)"
 
 
+def _value() -> str:
+    schemes = "|".join(SCHEMES)
+    return rf"(?:{_quoted(chr(34))}|{_quoted(chr(39))}|(?i:{schemes})[ \t]+[^ \t\r\n]+|[^ \t\r\n]+)"
+
+
 def redact(
     text: Column,
     keys: Iterable[str],
@@ -48,8 +59,7 @@ def redact(
     if include_sensitive or not keys:
         return text
     some = [key for key in keys if key not in whole_line]
-    schemes = "|".join(SCHEMES)
-    value = rf"(?:{_quoted(chr(34))}|{_quoted(chr(39))}|(?i:{schemes})[ \t]+[^ \t\r\n]+|[^ \t\r\n]+)"
+    value = _value()
     flag = "" if case_sensitive else "(?i)"
 
     def pattern(names: Iterable[str], held: str) -> str:
@@ -79,3 +89,47 @@ def redact_rows(
     return rows.withColumn(
         column, redact(F.col(column), keys, include_sensitive, case_sensitive, whole_line)
     )
+
+
+def _candidates(text: Column) -> Column:
+    """Every text of the line that could be a key; of ``a.b-c`` also ``b-c`` and ``c``."""
+
+    def ends(run: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.length(run)),
+            lambda i: (i == 1) | (run.substr(i - 1, F.lit(1)).isin(".", "-") & run.substr(i, F.lit(1)).rlike(r"\w")),
+        )
+        return F.transform(starts, lambda i: run.substr(i, F.length(run)))
+
+    return F.array_distinct(F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_CANDIDATE), 1), ends)))
+
+
+def redact_by_node(
+    rows: DataFrame, keys: DataFrame, node: str, ids: Iterable[str], column: str = "line"
+) -> DataFrame:
+    """Rows with the values of their own node's keys masked, as ``redact`` does for one list of keys.
+
+    ``keys`` is a table of (node, key) of any size; keys are of letters, digits, ``_``, ``.`` and ``-`` and begin
+    with none of the last two. ``ids`` tell rows of a node apart. What could be a key in a line meets its node's keys
+    in a join, which splits a hot node; the few keys that a line holds then make the pattern that rewrites it, in
+    one pass from left to right. Rows without any are not touched. A null text stays null.
+    """
+    ids = [node, *(name for name in ids if name != node)]
+    text = F.col(column)
+    held = rows.filter(text.contains("=") | text.contains(":")).select(*ids, F.explode(_candidates(text)).alias("_key"))
+    wanted = keys.select(node, F.col("key").alias("_key")).dropna().distinct()
+    found = (
+        spread_join(held, wanted, [node, "_key"], "left_semi").groupBy(*ids).agg(F.collect_set("_key").alias("_keys"))
+    )
+    # The longest first, as one may begin another.
+    names = F.transform(
+        F.array_sort(F.transform("_keys", lambda key: F.struct((-F.length(key)).alias("n"), key.alias("key")))),
+        lambda x: F.regexp_replace(x["key"], r"([^0-9A-Za-z_])", r"\\$1"),
+    )
+    pattern = F.concat(
+        F.lit("((?:^|[^0-9A-Za-z_])(?:"), F.array_join(names, "|"), F.lit(rf")[\"']?[ \t]*[=:][ \t]*){_value()}")
+    )
+    masked = F.when(F.col("_keys").isNotNull(), F.regexp_replace(text, pattern, F.lit(f"$1{MASK}"))).otherwise(text)
+    return spread_join(rows, found, ids, "left").select(
+        *[masked.alias(name) if name == column else F.col(name) for name in rows.columns]
+    )

@@ -12,13 +12,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.globs import any_glob, literal_prefix, literal_suffix, regex_of, sift
+from ..functions.globs import any_glob, literal_prefix, literal_runs, literal_suffix, regex_of, sift
 from .spread import spread_join
 
 LARGE_FLEET = 10  # fixed value: from this many hosts on, collecting takes long
 
 # Lengths of the literal ends a pattern table is joined on, longest first.
-_ANCHORS = (16, 8, 4, 3, 2, 1)
+_ANCHORS = (16, 8, 4, 3)
+# Lengths of the inner parts for globs without such an end, longest first.
+_GRAMS = (3, 2, 1)
 # Parts that the globs of one end are repeated for; values are parted by content.
 SALTS = 16
 
@@ -140,18 +142,23 @@ def unknown_hosts(inventory: DataFrame, wanted: DataFrame, aliases: DataFrame |
     return missing.join(found.select("name"), "name", "left_anti")
 
 
-def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address") -> DataFrame:
-    """Rows whose column matches at least one glob of a table (pattern).
+def _grams(text: Column, size: int) -> Column:
+    """The distinct parts of a text that are ``size`` characters long."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    parts = F.transform(starts, lambda at: F.concat(F.lit(f"={size}:"), text.substr(at, F.lit(size))))
+    return F.when(F.length(text) >= size, F.array_distinct(parts)).otherwise(F.array().cast("array<string>"))
+
 
-    Every glob is filed under the longest literal text it starts or ends with,
-    and distinct values look up only the globs filed under their own ends, so
-    this is an equi join with the full match as a second condition. ``a*`` and
-    ``*a`` are tested by their end alone, other globs by a regular expression. A
-    hot end (all hosts share a prefix, or a glob has no literal end) is salted by
-    value.
+def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
+    """(pattern, key): the text under which each glob is looked up.
+
+    The longest literal end, if it is not short; else the inner part (of three characters, or of fewer where no
+    literal is that long) that the fewest values hold; ``any`` without a literal. Globs with a part that no value
+    holds match none and are left out.
     """
-    prefix, suffix = literal_prefix(F.col("pattern")), literal_suffix(F.col("pattern"))
-    filed = F.coalesce(
+    pattern = F.col("pattern")
+    prefix, suffix = literal_prefix(pattern), literal_suffix(pattern)
+    end = F.coalesce(
         *[
             F.when(F.length(text) >= size, F.concat(F.lit(f"{end}{size}:"), cut))
             for size in _ANCHORS
@@ -159,22 +166,50 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
                 ("<", prefix, F.left(prefix, F.lit(size))),
                 (">", suffix, F.right(suffix, F.lit(size))),
             )
-        ],
-        F.lit("any"),
+        ]
     )
-    globs = (
-        patterns.select("pattern")
-        .filter(F.col("pattern").isNotNull())
-        .distinct()
-        .select(
-            filed.alias("_end"),
-            F.when(F.col("pattern") == F.concat(prefix, F.lit("*")), prefix).alias("_starts"),
-            F.when(F.col("pattern") == F.concat(F.lit("*"), suffix), suffix).alias("_ends"),
-            regex_of(F.col("pattern")).alias("_regex"),
-        )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    longest = F.array_max(F.transform("_runs", F.length))
+
+    def of_size(size: int) -> Column:
+        return F.array_distinct(F.flatten(F.transform("_runs", lambda run: _grams(run, size))))
+
+    parts = F.when(longest >= _GRAMS[0], of_size(_GRAMS[0]))
+    for size in _GRAMS[1:]:
+        parts = parts.when(longest >= size, of_size(size))
+    placed = globs.select(pattern, end.alias("_end"), literal_runs(pattern).alias("_runs")).select(
+        pattern, "_end", F.when(F.col("_end").isNull(), parts).alias("_parts")
+    )
+    by_end = placed.filter("_end is not null or _parts is null").select(pattern, F.coalesce("_end", F.lit("any")).alias("_key"))
+    asked = placed.select(pattern, F.explode("_parts").alias("_key"))
+    held = values.select(F.explode(F.concat(*[_grams(F.col("_value"), size) for size in _GRAMS])).alias("_key"))
+    wanted = asked.select("_key").distinct()
+    counts = held.join(wanted, "_key", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        asked.join(counts, "_key", "left")
+        .groupBy("pattern")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_key")).alias("_rarest"))
+        .filter("_rarest.n > 0")
+        .select("pattern", F.col("_rarest._key").alias("_key"))
+    )
+    return by_end.unionByName(rarest)
+
+
+def _looked_up(values: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """(distinct values by their keys, globs by theirs, when the two match)."""
+    pattern, value = F.col("pattern"), F.col("_value")
+    globs = patterns.select("pattern").filter(pattern.isNotNull()).distinct()
+    prefix, suffix = literal_prefix(pattern), literal_suffix(pattern)
+    # An inner part is the rarest there is; an end may be hot, so its globs are repeated for each part of the values.
+    salts = F.when(F.col("_key").startswith("="), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    filed = _filed(globs, values).select(
+        pattern,
+        F.col("_key").alias("_end"),
+        F.when(pattern == F.concat(prefix, F.lit("*")), prefix).alias("_starts"),
+        F.when(pattern == F.concat(F.lit("*"), suffix), suffix).alias("_ends"),
+        F.when(pattern == F.concat(F.lit("*"), F.get(literal_runs(pattern), F.lit(1)), F.lit("*")), F.get(literal_runs(pattern), F.lit(1))).alias("_holds"),
+        regex_of(pattern).alias("_regex"),
+        F.explode(salts).alias("_salt"),
     )
-    value = F.col("_value")
     ends = F.array_compact(
         F.array(
             *[
@@ -185,27 +220,49 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
             F.lit("any"),
         )
     )
-    values = (
-        rows.select(F.col(column).alias("_value"))
-        .filter(value.isNotNull())
-        .distinct()
-        .select(
-            "_value",
-            F.explode(ends).alias("_end"),
-            F.pmod(F.xxhash64("_value"), F.lit(SALTS)).cast("int").alias("_salt"),
-        )
-    )
+    salt = F.when(F.col("_end").startswith("="), 0).otherwise(F.pmod(F.xxhash64("_value"), F.lit(SALTS))).cast("int")
+    keyed = values.select(
+        "_value", F.explode(F.concat(ends, *[_grams(value, size) for size in _GRAMS])).alias("_end")
+    ).withColumn("_salt", salt)
+    # Only what some glob is filed under is probed.
+    keyed = keyed.join(filed.select("_end").distinct(), "_end", "left_semi").select("_value", "_end", "_salt")
     matches = (
-        (values["_end"] == globs["_end"])
-        & (values["_salt"] == globs["_salt"])
-        & F.when(globs["_starts"].isNotNull(), F.startswith(values["_value"], globs["_starts"]))
-        .when(globs["_ends"].isNotNull(), F.endswith(values["_value"], globs["_ends"]))
-        .otherwise(F.rlike(values["_value"], globs["_regex"]))
+        (keyed["_end"] == filed["_end"])
+        & (keyed["_salt"] == filed["_salt"])
+        & F.when(filed["_starts"].isNotNull(), F.startswith(keyed["_value"], filed["_starts"]))
+        .when(filed["_ends"].isNotNull(), F.endswith(keyed["_value"], filed["_ends"]))
+        .when(filed["_holds"].isNotNull(), F.contains(keyed["_value"], filed["_holds"]))
+        .otherwise(F.rlike(keyed["_value"], filed["_regex"]))
     )
-    hits = values.join(globs, matches, "left_semi").select(F.col("_value").alias(column)).distinct()
+    return keyed, filed, matches
+
+
+def _values(rows: DataFrame, column: str) -> DataFrame:
+    return rows.select(F.col(column).alias("_value")).filter("_value is not null").distinct()
+
+
+def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address") -> DataFrame:
+    """Rows whose column matches at least one glob of a table (pattern).
+
+    Every glob is filed under a literal text that its matches must hold: its longest
+    end, or of a glob such as ``*abc*`` the inner part that the fewest values hold.
+    Distinct values look up only the globs filed under their own ends and parts, so
+    this is an equi join with the full match as a second condition. ``a*``, ``*a``
+    and ``*a*`` are tested by their text alone, other globs by a regular expression.
+    A hot end (all hosts share a prefix) is salted by value, as are globs without any
+    literal, which alone meet every value.
+    """
+    keyed, filed, matches = _looked_up(_values(rows, column), patterns)
+    hits = keyed.join(filed, matches, "left_semi").select(F.col("_value").alias(column)).distinct()
     return spread_join(rows, hits, [column], "left_semi")
 
 
+def pattern_hits(rows: DataFrame, patterns: DataFrame, column: str = "address") -> DataFrame:
+    """Each distinct glob with each distinct value of the column that it matches: (pattern, value)."""
+    keyed, filed, matches = _looked_up(_values(rows, column), patterns)
+    return keyed.join(filed, matches).select("pattern", F.col("_value").alias("value")).distinct()
+
+
 def one_per_cluster(inventory: DataFrame, by: str = "cluster") -> DataFrame:
     """One host per cluster: an SPM host, else an up host, else any.
 

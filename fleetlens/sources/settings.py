@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from ..functions.text import LINE_BREAK, explode_lines, is_blank, lines, strip
+from ..operators.carry import carry_down
 from ..operators.settings import DROP_IN, FILE_DEFAULTS, MAIN_FILE
 
 DEFAULT_SECTION = "DEFAULT"  # fixed value: its entries hold in every section
@@ -76,19 +77,56 @@ def parse_section(files: DataFrame, section: str) -> DataFrame:
         .select(*rest, "_chunk", "_section", F.posexplode_outer(_entries(body)).alias("_at", "_entry"))
         .filter(F.col("_at").isNotNull())
     )
-    pair = r"(?s)\A([^=:]*)(?:([=:])(.*))?\z"
-    value = F.when(F.regexp_extract("_entry", pair, 2) == "", "true").otherwise(
-        strip(F.replace(F.regexp_extract("_entry", pair, 3), F.lit(_JOINED), F.lit("\n")))
-    )
     return entries.select(
         *rest,
         (F.col("_chunk").cast("bigint") * (1 << 32) + F.col("_at")).alias("seq"),
-        F.lower(strip(F.regexp_extract("_entry", pair, 1))).alias("key"),
-        value.alias("value"),
+        *_pair("_entry"),
         (F.col("_section") == DEFAULT_SECTION).alias("from_default"),
     )
 
 
+def parse_section_of_lines(line_table: DataFrame, section: str, by: Sequence[str] = ("file",)) -> DataFrame:
+    """The same over a table of numbered lines (by, line_no, line), for files cut into any number of rows.
+
+    Section headers are carried down to their lines, and so are the lines that begin an entry to those that go on
+    with it; a file that holds a third of all lines is cut into blocks like any other. ``seq`` is the number of
+    the entry's first line.
+    """
+    by = list(by)
+    line = F.col("line")
+    name = F.regexp_extract(line, r"\A\[([^\]\r\n]+)\]", 1)
+    header = F.when(name != "", F.struct(F.col("line_no").alias("starts"), name.alias("name")))
+    placed = carry_down(line_table.select(*by, "line_no", "line"), header, by, "line_no", "_section")
+    body = placed.filter(
+        F.col("_section.name").isin(section, DEFAULT_SECTION)
+        & (F.col("line_no") > F.col("_section.starts"))
+        & ~line.rlike(r"\A[ \t]*[#;]")
+        & ~is_blank(line)
+    ).select(*by, F.col("_section.starts").alias("_starts"), F.col("_section.name").alias("_name"), "line_no", "line")
+    goes_on = line.rlike(r"\A[ \t]")
+    entries = carry_down(body, F.when(~goes_on, F.col("line_no")), [*by, "_starts"], "line_no", "_entry_no")
+
+    def joined(held: Column, at: Column) -> Column:
+        return F.when(at == 0, held["line"]).otherwise(F.regexp_replace(held["line"], r"\A[ \t]+", ""))
+
+    text = F.array_join(F.transform("_lines", joined), _JOINED)
+    return (
+        entries.groupBy(*by, "_starts", "_name", "_entry_no")
+        .agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_lines"))
+        .select(*by, F.get("_lines", F.lit(0))["line_no"].cast("bigint").alias("seq"), "_name", text.alias("_entry"))
+        .select(*by, "seq", *_pair("_entry"), (F.col("_name") == DEFAULT_SECTION).alias("from_default"))
+    )
+
+
+def _pair(entry: str) -> list[Column]:
+    """Key and value of an entry's text."""
+    pair = r"(?s)\A([^=:]*)(?:([=:])(.*))?\z"
+    value = F.when(F.regexp_extract(entry, pair, 2) == "", "true").otherwise(
+        strip(F.replace(F.regexp_extract(entry, pair, 3), F.lit(_JOINED), F.lit("\n")))
+    )
+    return [F.lower(strip(F.regexp_extract(entry, pair, 1))).alias("key"), value.alias("value")]
+
+
 def read_settings(spark: SparkSession, main: str, section: str, run_id: str = "") -> DataFrame:
     """A main settings file and its drop-ins ``<main>.d/*.conf``, as far as there are any.
 
@@ -100,13 +138,33 @@ def read_settings(spark: SparkSession, main: str, section: str, run_id: str = ""
     return section_settings(files, section, F.substring_index("file", "/", -1) == name, F.lit(run_id))
 
 
+def read_large_settings(spark: SparkSession, main: str, section: str, run_id: str = "") -> DataFrame:
+    """``read_settings`` for files of any size: read in blocks by many tasks, never as one value."""
+    from .reports import read_report_lines
+
+    lines_ = read_report_lines(spark, f"{main}{{,.d/*.conf}}").withColumnRenamed("report_id", "file")
+    name = main.rsplit("/", 1)[-1]
+    return section_settings_of_lines(lines_, section, F.substring_index("file", "/", -1) == name, F.lit(run_id))
+
+
 def section_settings(files: DataFrame, section: str, is_main: Column, run_id: Column) -> DataFrame:
     """Settings rows of sectioned files (file, text).
 
     Entries of the default section lie below those of the section, but are still
     set by a file: their old keys are renamed as well.
     """
-    return parse_section(files, section).select(
+    return _layered(parse_section(files, section), is_main, run_id)
+
+
+def section_settings_of_lines(
+    line_table: DataFrame, section: str, is_main: Column, run_id: Column, by: Sequence[str] = ("file",)
+) -> DataFrame:
+    """The same of lines (by, line_no, line) of sectioned files."""
+    return _layered(parse_section_of_lines(line_table, section, by), is_main, run_id)
+
+
+def _layered(entries: DataFrame, is_main: Column, run_id: Column) -> DataFrame:
+    return entries.select(
         run_id.alias("run_id"),
         F.when(F.col("from_default"), FILE_DEFAULTS).when(is_main, MAIN_FILE).otherwise(DROP_IN).alias("layer"),
         "file",

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from fleetlens.functions.globs import sift_column
 from fleetlens.functions.names import bundle_name, stem, without_extension
 from fleetlens.functions.text import comma_list
+from fleetlens.functions.versions import version_key
 from fleetlens.operators import bundle, drift, inventory, listing, logs, paging, redact, reports, sections
 from fleetlens.operators import select, settings, status
+from fleetlens.operators.asof import as_of
+from fleetlens.operators.carry import carry_down
 from fleetlens.plans import collect
 from fleetlens.plans.tiers import host_tiers
 from fleetlens.sources.reports import collected_files, host_listings
-from fleetlens.sources.settings import parse_pairs, section_settings, service_settings
+from fleetlens.sources.settings import parse_pairs, section_settings, section_settings_of_lines, service_settings
 
 from . import views as v
 
@@ -311,6 +314,62 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.message_lines(v.log_message(spark, sf_dir))
 
 
+def carried_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = v.headed_line(spark, sf_dir)
+    return carry_down(lines, F.col("header"), ["file"], "line_no", "under").select("file", "line_no", "under")
+
+
+def sectioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings of ``sectioned_settings`` from a table of lines."""
+    lines = reports.report_lines(v.sectioned_file(spark, sf_dir))
+    main, run = F.col("file").endswith("/tool.conf"), F.concat(F.lit("run-"), "doc_id")
+    return settings.effective_settings(section_settings_of_lines(lines, "Tool", main, run, ["doc_id", "file"]))
+
+
+def select_infix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select.match_patterns(fleet(spark, sf_dir), v.infix_pattern(spark, sf_dir))
+
+
+def glob_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = select.pattern_hits(v.host(spark, sf_dir), v.infix_pattern(spark, sf_dir))
+    return hits.groupBy("pattern").agg(F.count("*").alias("hits"), F.max("value").alias("last_value"))
+
+
+def tier_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_of(v.dated_probe(spark, sf_dir), v.dated_tier(spark, sf_dir), "at", "valid_from", ["line"])
+
+
+def tier_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hosts = v.version(spark, sf_dir).withColumn("key", version_key(F.col("version")))
+    tiers = v.minimum_tier(spark, sf_dir).select("tier", version_key(F.col("minimum")).alias("minimum"))
+    return as_of(hosts, tiers, "key", "minimum").drop("key")
+
+
+def redact_by_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redact.redact_by_node(
+        v.node_line(spark, sf_dir), v.node_key(spark, sf_dir), "host", ["report_id", "line_no"]
+    )
+
+
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = logs.route_records(logs.log_records(v.log_file(spark, sf_dir)))
+    return routed.select("file", "line_no", "record_no", "part", "level", "route")
+
+
+def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status.run_outcome(v.run_exit(spark, sf_dir))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paging.landed_pages(v.landed_page(spark, sf_dir))
+
+
+def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory.inventory_changes(
+        v.host(spark, sf_dir).select("address", "status", "cluster_id"), v.later_host(spark, sf_dir)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "inventory": fleet,
     "orphans": orphans,
@@ -371,4 +430,15 @@ QUERIES: dict[str, Query] = {
     "log_routes": log_routes,
     "log_routes_quiet": log_routes_quiet,
     "message_lines": message_lines,
+    "carried_headers": carried_headers,
+    "sectioned_lines": sectioned_lines,
+    "select_infix": select_infix,
+    "glob_hits": glob_hits,
+    "tier_by_date": tier_by_date,
+    "tier_by_version": tier_by_version,
+    "redact_by_node": redact_by_node,
+    "log_records": log_records,
+    "run_outcome": run_outcome,
+    "landed_pages": landed_pages,
+    "inventory_changes": inventory_changes,
 }

@@ -400,4 +400,51 @@ ORACLE: dict[str, str] = {
         select seq, cast(unnest(range(1, len(parts) + 1)) as int) part, unnest(parts) message
         from (select seq, string_split(regexp_replace(replace(message, chr(13) || chr(10), chr(10)), '\\n$', ''),
             chr(10)) parts from v_log_message)"""),
+    "carried_headers": with_views("""
+        select file, line_no, last_value(header ignore nulls) over (partition by file order by line_no
+            rows unbounded preceding) as under from v_headed_line"""),
+    "select_infix": with_views(f"""
+        select {_INVENTORY} from v_inventory where address in (
+            select address from v_host, v_infix_pattern where address like replace(replace(pattern, '*', '%'), '?', '_'))"""),
+    "glob_hits": with_views("""
+        select pattern, count(*) as hits, max(address) as last_value from v_host, v_infix_pattern
+        where address like replace(replace(pattern, '*', '%'), '?', '_') group by pattern"""),
+    "tier_by_date": with_views("""
+        select p.event_id, p.line, p.at, t.tier from v_dated_probe p asof left join v_dated_tier t
+            on p.line = t.line and p.at >= t.valid_from"""),
+    "tier_by_version": with_views("""
+        select v.host, v.version, t.tier from (select *, cast(p_size as bigint) as key from v_version) v
+        asof left join (select n_nationkey tier, cast(n_nationkey // 4 * 10 + n_nationkey % 4 * 3 as bigint) as minimum
+            from nation) t on v.key >= t.minimum"""),
+    "redact_by_node": with_views(r"""
+        select l.host, l.report_id, l.line_no, regexp_replace(l.line, '((?:^|[^0-9A-Za-z_])(?:' || k.names ||
+            ')["'']?[ \t]*[=:][ \t]*)(?:"(?:[^"\\]|\\.)*(?:"|.*)|[^ \t]+)', '\1********', 'g') as line
+        from v_node_line l join (select host, string_agg(key, '|') as names from v_node_key group by host) k
+            on k.host = l.host"""),
+    "log_records": with_views("""
+        select file, line_no, record_no, part, level, 'file' as route from v_log_fields where severity >= 20
+        union all select file, line_no, record_no, part, level, 'stderr' from v_log_fields where severity >= 40
+        union all select file, line_no, record_no, part, level, 'stdout' from v_log_fields where severity >= 20 and severity < 40
+        union all select file, line_no, record_no, part, level, 'unparsed' from v_log_fields where severity is null"""),
+    "run_outcome": """
+        with e as (select user_id run_id, event_id seq,
+                case event_type when 'error' then 2 when 'purchase' then 1 when 'signup' then 0 end status_set,
+                event_type = 'error' and event_id % 29 = 0 as ends from events),
+            first_end as (select run_id, min(seq) ended_at from e where ends group by run_id)
+        select e.run_id, case when ended_at is not null then 1
+                else coalesce(arg_max(status_set, seq) filter (where status_set is not null), 0) end status,
+            case when ended_at is not null or bool_or(status_set = 1) then 1 when bool_or(status_set = 2) then 2
+                else 0 end worst_status, ended_at
+        from e left join first_end f on f.run_id = e.run_id group by e.run_id, ended_at""",
+    "landed_pages": with_views("""
+        select address, segment, min(page) first_page, count(*) as times,
+            min(page) < (select min(n) from (select unnest(range(1, (select max(page) + 2 from v_landed_page))) as n)
+                where n not in (select page from v_landed_page)) as taken
+        from v_landed_page group by address, segment"""),
+    "inventory_changes": with_views("""
+        select address, status, cluster_id, case when sum(n) > 0 then 'new' else 'old' end side, abs(sum(n)) as times
+        from (select address, status, cluster_id, -1 as n from v_host
+            union all select address, status, cluster_id, 1 from v_later_host)
+        group by address, status, cluster_id having sum(n) <> 0"""),
 }
+ORACLE["sectioned_lines"] = ORACLE["sectioned_settings"]

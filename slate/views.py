@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.operators.reports import report_lines
+
 PRODUCT = "fleet"
 
 # Stated, so that opening a table does not first read a file to infer them.
@@ -301,6 +303,111 @@ def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def headed_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents in few files, some lines headers; a third of all lines follow one header."""
+    lines = report_lines(report(spark, sf_dir))
+    return lines.selectExpr(
+        "if(report_id % 3 = 0, 'all', concat('file-', report_id % 7)) file",
+        "report_id * 1000000 + line_no line_no",
+        "case when report_id % 3 = 0 then if(report_id = 0 and line_no = 1, 'the first', null) "
+        "when line rlike '^[A-D]' then concat(report_id, ' ', left(line, 8)) end header",
+    )
+
+
+def infix_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many globs as there are events, hardly any of them with a literal end."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "case event_id % 4 when 0 then concat('*', lpad(cast(event_id * 37 % 100000 as string), 5, '0'), '*') "
+        "when 1 then concat('*', lpad(cast(event_id * 31 % 10000 as string), 4, '0'), '?*') "
+        "when 2 then concat('?*#*', lpad(cast(event_id * 29 % 100000 as string), 5, '0'), '??*') "
+        "else if(event_id % 1000 = 3, '*~*', concat('*', event_id % 1000, '*x*')) end pattern"
+    )
+
+
+def dated_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of five product lines; a third of all are of one moment."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "if(event_id % 11 = 0, null, user_id % 5) line",
+        "if(event_id % 3 = 0, timestamp_ntz '2024-01-15 00:00:00', ts) at",
+    )
+
+
+def dated_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers of four of the product lines, each valid from a date on."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey % 4 line",
+        "timestamp_ntz '2024-01-03 00:00:00' + make_dt_interval(0, cast(s_suppkey * 7 as int)) valid_from",
+        "s_name tier",
+    )
+
+
+def minimum_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of tiers with the version that each begins with."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey tier", "concat(n_nationkey div 4, '.', n_nationkey % 4 * 3) minimum"
+    )
+
+
+def node_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the documents of each host, some with keys that only part of the hosts mask."""
+    lines = report_lines(report(spark, sf_dir))
+    return lines.selectExpr(
+        "if(report_id % 3 = 0, 'hot', concat('host-', report_id % 8)) host",
+        "report_id",
+        "line_no",
+        "concat(line, case report_id % 5 when 0 then concat('  key_', report_id % 4, ' = v', line_no, ' x') "
+        "when 1 then concat(' a.key_1: v', report_id, ' key_2=key_3=z') else '' end) line",
+    )
+
+
+def node_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that each host masks."""
+    return spark.sql(
+        "select if(h = 8, 'hot', concat('host-', h)) host, key from (select explode(sequence(0, 8)) h) "
+        "lateral view explode(array('key_0', 'key_1', 'key_2', 'key_3', 'token')) k as key "
+        "where h = 8 or (h + length(key) + ascii(right(key, 1))) % 3 > 0"
+    )
+
+
+def log_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of several files, with tracebacks; one record of a file holds a third of all lines."""
+    return log_line(spark, sf_dir).join(table(spark, sf_dir, "events").selectExpr("event_id seq", "user_id"), "seq").selectExpr(
+        "if(user_id % 3 = 0, 'hot.log', concat('host-', user_id % 7, '.log')) file",
+        "seq line_no",
+        "case when user_id % 3 = 0 and seq >= 20 or seq % 4 = 1 then concat('  File ', seq) else line end line",
+    )
+
+
+def run_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status events, some of which end their run."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id run_id",
+        "event_id seq",
+        "case event_type when 'error' then 2 when 'purchase' then 1 when 'signup' then 0 end status_set",
+        "if(event_type = 'error', event_id % 29 = 0, null) ends",
+    )
+
+
+def landed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts by landed page: a page is missing, and shifted rows are on two pages."""
+    pages = table(spark, sf_dir, "customer").selectExpr(
+        "c_name address", "c_mktsegment segment", "explode(if(c_custkey % 40 = 0 and c_custkey > 0, "
+        "array(c_custkey div 40 + 1, c_custkey div 40), array(c_custkey div 40 + 1))) page"
+    )
+    return pages.filter("page <> 3")
+
+
+def later_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hosts some time later: some changed, some gone, some twice, some new."""
+    return host(spark, sf_dir).selectExpr(
+        "explode(case cast(right(address, 3) as int) % 97 when 0 then array() when 1 then array(address, address) "
+        "when 2 then array(address, concat(address, '-new')) else array(address) end) address",
+        "if(cast(right(address, 3) as int) % 89 = 5, 'up', status) status",
+        "cluster_id",
+    )
+
+
 # DuckDB definitions. Each may use those above it.
 SQL = {
     "v_datacenter": "select cast(r_regionkey as varchar) id, r_name as name from region",
@@ -431,6 +538,54 @@ SQL = {
         select event_id seq, event_type || case event_id % 3 when 1 then chr(10) || props
             when 2 then chr(10) || props || chr(13) || chr(10) || chr(10) || 'end' || chr(10) else '' end message
         from events""",
+    "v_headed_line": """
+        select case when report_id % 3 = 0 then 'all' else 'file-' || (report_id % 7) end file,
+            report_id * 1000000 + line_no as line_no,
+            case when report_id % 3 = 0 then case when report_id = 0 and line_no = 1 then 'the first' end
+                when regexp_matches(line, '^[A-D]') then report_id || ' ' || left(line, 8) end header
+        from v_report_line""",
+    "v_infix_pattern": """
+        select distinct case event_id % 4 when 0 then '*' || lpad(cast(event_id * 37 % 100000 as varchar), 5, '0') || '*'
+            when 1 then '*' || lpad(cast(event_id * 31 % 10000 as varchar), 4, '0') || '?*'
+            when 2 then '?*#*' || lpad(cast(event_id * 29 % 100000 as varchar), 5, '0') || '??*'
+            else case when event_id % 1000 = 3 then '*~*' else '*' || (event_id % 1000) || '*x*' end end pattern
+        from events""",
+    "v_dated_probe": """
+        select event_id, case when event_id % 11 = 0 then null else user_id % 5 end line,
+            case when event_id % 3 = 0 then timestamp '2024-01-15 00:00:00' else ts end as at from events""",
+    "v_dated_tier": """
+        select s_suppkey % 4 line, timestamp '2024-01-03 00:00:00' + to_hours(cast(s_suppkey * 7 as int)) valid_from,
+            s_name tier from supplier""",
+    "v_node_line": """
+        select case when report_id % 3 = 0 then 'hot' else 'host-' || (report_id % 8) end host, report_id, line_no,
+            line || case report_id % 5 when 0 then '  key_' || (report_id % 4) || ' = v' || line_no || ' x'
+                when 1 then ' a.key_1: v' || report_id || ' key_2=key_3=z' else '' end as line
+        from v_report_line""",
+    "v_node_key": """
+        select case when h = 8 then 'hot' else 'host-' || h end host, key
+        from (select unnest(range(0, 9)) h), (select unnest(['key_0', 'key_1', 'key_2', 'key_3', 'token']) as key)
+        where h = 8 or (h + length(key) + ascii(right(key, 1))) % 3 > 0""",
+    "v_log_file": """
+        select case when user_id % 3 = 0 then 'hot.log' else 'host-' || (user_id % 7) || '.log' end file, l.seq line_no,
+            case when user_id % 3 = 0 and l.seq >= 20 or l.seq % 4 = 1 then '  File ' || l.seq else l.line end as line,
+            not (user_id % 3 = 0 and l.seq >= 20 or l.seq % 4 = 1) and l.parsed as starts, l.level, l.severity
+        from v_log l join events e on e.event_id = l.seq""",
+    "v_log_record": """
+        select *, last_value(case when starts then line_no end ignore nulls) over above record_no,
+            last_value(case when starts then struct_pack(level := level, severity := severity) end ignore nulls) over above f
+        from v_log_file window above as (partition by file order by line_no rows unbounded preceding)""",
+    "v_log_fields": """
+        select file, line_no, record_no, line_no - record_no as part, f.level as level, f.severity as severity
+        from v_log_record""",
+    "v_landed_page": """
+        select * from (select c_name address, c_mktsegment segment,
+            unnest(case when c_custkey % 40 = 0 and c_custkey > 0 then [c_custkey // 40 + 1, c_custkey // 40]
+                else [c_custkey // 40 + 1] end) page from customer) where page <> 3""",
+    "v_later_host": """
+        select unnest(case cast(right(address, 3) as int) % 97 when 0 then [] when 1 then [address, address]
+                when 2 then [address, address || '-new'] else [address] end) address,
+            case when cast(right(address, 3) as int) % 89 = 5 then 'up' else status end as status, cluster_id
+        from v_host""",
     "v_bundle_file": """
         select source bundle, doc_id || '.txt' path, octet_length(encode(text)) length, sha256(text) sha256
         from documents""",

@@ -12,6 +12,8 @@ from slate.jobs import QUERIES
 from helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
+NUMBERED = {"page_numbers", "tier_by_date", "tier_by_version"}
+CARRIED = {"carried_headers", "sectioned_lines", "log_records"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -44,8 +46,10 @@ def test_entry(spark):
 def test_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert not re.search(r"NestedLoop|Cartesian|ArrowEvalPython|BatchEvalPython|MapInPandas", plan)
-    # Only the page starts use a window, over one row per partition.
-    assert ("Window" in plan) == (name == "page_numbers")
+    # Windows only run over one row per partition, or per block of blocks.
+    windows = re.findall(r"Window \[[^\n]*", plan)
+    assert all("_range" in spec or "_block" in spec for spec in windows)
+    assert bool(windows) == (name in NUMBERED | CARRIED)
     # No filter cuts text into lines or parses a clock a second time.
     assert not re.search(r"Filter [^\n]*(split\((?!_line)|try_to_timestamp|gettimestamp)", plan)
     # No table is read whole for a few of its columns.
