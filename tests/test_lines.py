@@ -73,7 +73,7 @@ class TestSettingsOfLines:
             return [(r.file, r.key, r.value, r.from_default) for r in df.orderBy("file", "seq").collect()]
 
         assert entries(cut) == entries(whole)
-        assert len(entries(cut)) == 9
+        assert len(entries(cut)) == 8
 
     def test_files_cut_into_blocks(self, spark, tmp_path):
         folder = tmp_path / "tool.conf.d"
