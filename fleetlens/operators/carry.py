@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import use_checkpoint_dir
+
 #: Rows of a block, and blocks of a block of blocks.
 BLOCK = 256
 #: How often blocks are put together before a window runs over what is left.
@@ -74,9 +76,11 @@ def carry_down(
     """Every row with ``name``: the last value at or above it that is not null.
 
     Rows are told apart by the columns ``by`` (nulls are one group) and the whole number ``order``, 0 or more and
-    unique inside its group; numbers may be left out. Rows above the first value have null.
+    unique inside its group; numbers may be left out. Rows above the first value have null. The blocks with their
+    headers are checkpointed when this is called, so the rows are read once for them and once for the result.
     """
+    use_checkpoint_dir(rows.sparkSession)
     placed, blocks = _gathered(rows, value, by, order, block)
-    found = _joined(placed, _before(blocks, by, block, levels), by)
+    found = _joined(placed, _before(blocks.checkpoint(), by, block, levels), by)
     inside = _last(F.filter("_heads", lambda head: head["at"] <= F.col(order)))
     return found.select(*rows.columns, F.coalesce(inside["value"], F.col("_opens.value")).alias(name))
