@@ -183,9 +183,18 @@ def regex_of(pattern: Column) -> Column:
     return F.concat(F.lit(r"(?s)\A"), F.array_join(F.transform(tokens, translate), ""), F.lit(r"\z"))
 
 
+# What stands for itself in no match of a glob: a closed class or a wildcard.
+_WILD = r"(?s)\[!?+\]?+[^\]]*\]|[*?]"
+
+
 def literal_runs(pattern: Column) -> Column:
     """The texts between the wildcards and classes of a glob, in order; empty ones as well."""
-    return F.split(F.regexp_replace(pattern, r"(?s)\[!?+\]?+[^\]]*\]|[*?]", "\x00"), "\x00")
+    return F.split(F.regexp_replace(pattern, _WILD, "\x00"), "\x00")
+
+
+def has_literal(pattern: Column) -> Column:
+    """True when every match of the glob must hold some text."""
+    return F.regexp_replace(pattern, _WILD, "") != ""
 
 
 def literal_prefix(pattern: Column) -> Column:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.globs import any_glob, literal_prefix, literal_runs, literal_suffix, regex_of, sift
+from ..functions.globs import any_glob, has_literal, literal_prefix, literal_runs, literal_suffix, regex_of, sift
 from .spread import spread_join
 
 LARGE_FLEET = 10  # fixed value: from this many hosts on, collecting takes long
@@ -176,11 +176,15 @@ def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
     parts = F.when(longest >= _GRAMS[0], of_size(_GRAMS[0]))
     for size in _GRAMS[1:]:
         parts = parts.when(longest >= size, of_size(size))
-    placed = globs.select(pattern, end.alias("_end"), literal_runs(pattern).alias("_runs")).select(
-        pattern, "_end", F.when(F.col("_end").isNull(), parts).alias("_parts")
+    inner = end.isNull() & has_literal(pattern)
+    by_end = globs.filter(~inner).select(pattern, F.coalesce(end, F.lit("any")).alias("_key"))
+    # An outer generator: for a plain one Spark infers a filter that cuts the globs again.
+    asked = (
+        globs.filter(inner)
+        .select(pattern, literal_runs(pattern).alias("_runs"))
+        .select(pattern, F.explode_outer(parts).alias("_key"))
+        .filter("_key is not null")
     )
-    by_end = placed.filter("_end is not null or _parts is null").select(pattern, F.coalesce("_end", F.lit("any")).alias("_key"))
-    asked = placed.select(pattern, F.explode("_parts").alias("_key"))
     held = values.select(F.explode(F.concat(*[_grams(F.col("_value"), size) for size in _GRAMS])).alias("_key"))
     wanted = asked.select("_key").distinct()
     counts = held.join(wanted, "_key", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
