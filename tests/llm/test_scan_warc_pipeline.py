@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
