@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import base_name
 from ..operators.reports import report_lines
 from ..operators.sections import ADMIN_MARKER, section_lookup
+from .listing import RANGE, list_files, tree_manifest, whole_sums
 from .settings import empty_files, read_files
 
 
@@ -68,15 +70,15 @@ def collected_files(files: DataFrame, path: str) -> DataFrame:
 
     The bundle is the first folder below ``path``.
     """
-    below = F.regexp_extract("path", rf"\A.*?{_quoted(path)}/([^/]+)/", 1)
-    return files.select(below.alias("bundle"), "path", "length", "content")
+    return files.select(_bundle(path), "path", "length", "content")
 
 
 def read_collected(spark: SparkSession, path: str) -> DataFrame:
     """Files of finished collections, also empty ones: (bundle, path, length, content).
 
     Content is only read by jobs that use it. A file over 2 GiB fails the job
-    that reads its content; its length can be read all the same.
+    that reads its content; its length can be read all the same, and
+    ``read_manifest`` gives its checksum.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     # The listing escapes names as in URLs, where a plus sign stands for itself; ``path`` is the plain name.
@@ -87,6 +89,29 @@ def read_collected(spark: SparkSession, path: str) -> DataFrame:
     return collected_files(files.select("path", "length", "content").unionByName(nothing), path)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``file_manifest`` of finished collections straight from storage, for files of any size: (bundle, name, length,
+    sha256).
+
+    A file's sum is made by one task, which holds a megabyte of it at a time.
+    """
+    sums = whole_sums(list_files(spark, path, recursive=True))
+    return sums.select(_bundle(path), base_name(F.col("path")).alias("name"), "length", "sha256")
+
+
+def read_tree_manifest(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
+    """The same with a checksum that many tasks make of one file: (bundle, name, length, feeds, tree).
+
+    ``tree`` is made of the sums of ranges of ``size`` bytes; ``feeds`` is the number of line feeds.
+    """
+    trees = tree_manifest(list_files(spark, path, recursive=True), size)
+    return trees.select(_bundle(path), base_name(F.col("path")).alias("name"), "length", "feeds", "tree")
+
+
+def _bundle(path: str) -> Column:
+    return F.regexp_extract("path", rf"\A.*?{_quoted(path)}/([^/]+)/", 1).alias("bundle")
+
+
 def _quoted(path: str) -> str:
     bare = path.split(":", 1)[-1].rstrip("/")
     return "".join(char if char.isalnum() or char == "/" else "\\" + char for char in bare)

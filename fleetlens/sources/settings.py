@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from ..functions.text import LINE_BREAK, explode_lines, is_blank, lines, strip
 from ..operators.carry import carry_down
 from ..operators.settings import DROP_IN, FILE_DEFAULTS, MAIN_FILE
+from .listing import can_list, file_uri, list_files
 
 DEFAULT_SECTION = "DEFAULT"  # fixed value: its entries hold in every section
 _JOINED = "\x00"
@@ -25,8 +26,12 @@ _JOINED = "\x00"
 def empty_files(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
     """(file) of the files without content, which Spark's file sources pass over.
 
-    They are the files of the listing that a read of names alone does not give.
+    Tasks list the folders. Only for a file system that ``pyarrow.fs`` does not know the names come from Spark's own
+    listing, as those that a read of names alone does not give.
     """
+    if can_list(spark, *paths):
+        recursive = options.get("recursiveFileLookup", "false") == "true"
+        return list_files(spark, *paths, recursive=recursive).filter("length = 0").select(file_uri().alias("file"))
     source = spark.read.format("binaryFile").options(**options).load(list(paths))
     filled = source.select(F.col("_metadata.file_path").alias("file"))
     # Both are the same listing; only the number of slashes behind the scheme may differ.

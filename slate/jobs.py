@@ -17,7 +17,8 @@ from fleetlens.operators.asof import as_of
 from fleetlens.operators.carry import carry_down
 from fleetlens.plans import collect
 from fleetlens.plans.tiers import host_tiers
-from fleetlens.sources.reports import collected_files, host_listings
+from fleetlens.functions.text import megabytes
+from fleetlens.sources.reports import collected_files, host_listings, read_tree_manifest
 from fleetlens.sources.settings import parse_pairs, section_settings, section_settings_of_lines, service_settings
 
 from . import views as v
@@ -326,6 +327,16 @@ def sectioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.effective_settings(section_settings_of_lines(lines, "Tool", main, run, ["doc_id", "file"]))
 
 
+def landed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the files of each bundle, read by ranges of a quarter of a megabyte."""
+    files = read_tree_manifest(spark, v.landed_texts(spark, sf_dir), 1 << 18)
+    # Folders are named bundle=<name>.
+    name = F.substring_index("bundle", "=", -1)
+    return files.groupBy(name.alias("bundle")).agg(
+        F.sum("length").alias("bytes"), F.sum("feeds").alias("feeds"), megabytes(F.sum("length")).alias("size")
+    )
+
+
 def select_infix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.match_patterns(fleet(spark, sf_dir), v.infix_pattern(spark, sf_dir))
 
@@ -441,4 +452,5 @@ QUERIES: dict[str, Query] = {
     "run_outcome": run_outcome,
     "landed_pages": landed_pages,
     "inventory_changes": inventory_changes,
+    "landed_bundles": landed_bundles,
 }

@@ -447,4 +447,10 @@ ORACLE: dict[str, str] = {
             union all select address, status, cluster_id, 1 from v_later_host)
         group by address, status, cluster_id having sum(n) <> 0"""),
 }
+ORACLE["landed_bundles"] = """
+    select coalesce(nullif(source, ''), 'none') bundle, cast(sum(bytes) as bigint) bytes, cast(sum(feeds) as bigint) feeds,
+        printf('%.1fM', sum(bytes) / 1048576.0) size
+    from (select source, strlen(coalesce(text, '')) + 1 as bytes,
+            length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1 as feeds from documents)
+    group by 1"""
 ORACLE["sectioned_lines"] = ORACLE["sectioned_settings"]

@@ -5,10 +5,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.operators.reports import report_lines
+from fleetlens.session import use_checkpoint_dir
 
 PRODUCT = "fleet"
 
@@ -303,6 +306,16 @@ def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_texts(spark: SparkSession, sf_dir: str) -> str:
+    """A new folder below the shared one with the texts of documents as files, a folder per source."""
+    folder = f"{use_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    texts = table(spark, sf_dir, "documents").selectExpr(
+        "coalesce(nullif(source, ''), 'none') bundle", "coalesce(text, '') text"
+    )
+    texts.write.partitionBy("bundle").text(folder)
+    return folder
+
+
 def headed_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents in few files, some lines headers; a third of all lines follow one header."""
     lines = report_lines(report(spark, sf_dir))
