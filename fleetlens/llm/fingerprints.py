@@ -2,8 +2,8 @@
 
 A fingerprint is the minima of HASHES universal hash functions over a text's five-word shingles, as hex
 digits; two fingerprints' likeness is the share of equal minima, an estimate of the Jaccard similarity
-whose standard deviation is at most 0.045. ``similar`` joins signature bands in Spark, a star to the least
-document of a band, then strays with the others, and never all pairs, and verifies the Jaccard similarity on
+whose standard deviation is at most 0.045. ``similar`` joins bands of these same minima in Spark, a star to the
+least document of a band, then strays with the others, and never all pairs, and verifies the Jaccard similarity on
 the full shingle sets. Each row names the group that these links put its document in, and counts its links.
 
 ``with_next`` puts each document beside the next by ascending doc_id with one shuffle of the texts: parts
@@ -200,10 +200,12 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     spark = docs.sparkSession
     ship(spark)
     folder = folder or shared_folder(spark, "similar")
-    bands, rows = banding(percent / 100)
+    bands, rows = banding(percent / 100, most=HASHES)
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = stored(
-        sketches(named, size, bands, rows).filter("set_digest is not null").select("doc_id", "set_digest", "bands"),
+        sketches(named, size, bands, rows, HASHES)
+        .filter("set_digest is not null")
+        .select("doc_id", "set_digest", "bands"),
         f"{folder}/marked",
     )
     classes = stored(marked.groupBy("set_digest").agg(F.min("doc_id").alias("node")), f"{folder}/classes")
@@ -223,13 +225,13 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     wanted = stored(buckets.select("node").distinct(), f"{folder}/wanted")
     asked = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     first = stored(
-        sketches(named.join(asked, F.col("doc_id") == F.col("node"), "left_semi"), size, bands, rows)
+        sketches(named.join(asked, F.col("doc_id") == F.col("node"), "left_semi"), size, bands, rows, HASHES)
         .filter("set_digest is not null")
         .select(F.col("doc_id").alias("node"), "set_digest", "n_shingles", "signature", "bands", "odd")
         .dropDuplicates(["node", "set_digest"]),
         f"{folder}/first",
     )
-    links, _ = linked(named, first, buckets, size, percent, bands * rows, folder)
+    links, _ = linked(named, first, buckets, size, percent, HASHES, folder)
     return stored(
         links.unionAll(copies).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct(),

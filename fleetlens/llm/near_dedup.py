@@ -59,11 +59,15 @@ def text_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(shingles[begins[i] : begins[i + 1]])
 
 
-def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """Per document: number of shingles, digest of the set, minima, band keys."""
+def sketches(docs: DataFrame, size: int, bands: int, rows: int, hashes: int | None = None) -> DataFrame:
+    """Per document: number of shingles, digest of the set, minima, band keys.
+
+    The bands take the first ``bands * rows`` of ``hashes`` minima, by default all there are.
+    """
+    hashes = hashes or bands * rows
 
     def sketch(batches):
-        minima = kept(("minima", bands * rows), lambda: Minima(bands * rows))
+        minima = kept(("minima", hashes), lambda: Minima(hashes))
         for batch in batches:
             counts, digests, signatures, keys, odds = [], [], [], [], []
             for shingles in text_sets(batch.column(1), size):
@@ -75,7 +79,7 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 low = minima.of(shingles)
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                 signatures.append(low.tobytes())
-                keys.append(band_keys(low, bands))
+                keys.append(band_keys(low[: bands * rows], bands))
                 odds.append(odd_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
                 [

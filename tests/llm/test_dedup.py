@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import shared_folder, with_locator
 from fleetlens.llm.components import components
 from fleetlens.llm.exact_dedup import exact_dedup, land, update_state
-from fleetlens.llm.fingerprints import edited, fingerprints, similar
-from fleetlens.llm.near_dedup import banding, near_duplicates, odd_sketch
+from fleetlens.llm.fingerprints import HASHES, edited, fingerprints, similar
+from fleetlens.llm.near_dedup import banding, near_duplicates, odd_sketch, sketches
 from fleetlens.llm.resolve import within_reach
-from fleetlens.llm.text_hash import Minima, shingle_hashes, word_hashes
+from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, word_hashes
 from llm_helpers import brute_components, shingles
 
 def brute_exact(texts):
@@ -263,6 +263,16 @@ class TestFingerprints:
     def test_empty_table(self, frame):
         assert fingerprints(frame([(1, "a")]).limit(0)).count() == 0
 
+    def test_bands_are_cut_from_the_printed_fingerprint(self, frame):
+        docs = frame([(1, "one two three four five six seven"), (2, "a b"), (3, "one two three four five six")])
+        bands, rows = banding(0.8, most=HASHES)
+        assert (1 - 0.8**rows) ** bands <= 1e-6 and bands * rows <= HASHES
+        printed = {r["doc_id"]: r["fingerprint"] for r in fingerprints(docs).collect()}
+        for row in sketches(docs, 5, bands, rows, HASHES).collect():
+            low = np.frombuffer(bytes.fromhex(printed[row.doc_id]), ">u4").astype(np.uint32)
+            assert row.signature == low.tobytes()
+            assert row.bands == list(band_keys(low[: bands * rows], bands))
+
     def test_similar_links_hold(self, frame):
         texts = _near_texts()
         links = {(r["u"], r["v"]) for r in similar(frame(list(texts.items())), size=5).collect()}
