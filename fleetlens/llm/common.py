@@ -22,6 +22,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes of a batch that goes to Python.
 BATCH_ROWS, BATCH_BYTES = 5_000, 8 << 20
 
+#: Spark's setting that frees a query's shuffle files at its end; what is stored needs them no more.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own: dict[str, str] = {}
 _kept: dict = {}
 
@@ -88,9 +91,16 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as a table and read it back: the lineage ends there, and a lost executor costs no rework.
 
     What is read next has a known size, so Spark itself chooses broadcasts by it, and a join
-    on it gets a shuffle of its own, which adaptive execution can split where a key is hot.
+    on it gets a shuffle of its own, which adaptive execution can split where a key is hot. The shuffle files of
+    the write go with it: otherwise they stay until the driver happens to collect garbage.
     """
-    df.write.mode("overwrite").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, "false")
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

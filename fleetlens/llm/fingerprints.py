@@ -200,6 +200,11 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     spark = docs.sparkSession
     ship(spark)
     folder = folder or shared_folder(spark, "similar")
+
+    def done(*tables: str) -> None:
+        for table in tables:
+            drop_folder(spark, f"{folder}/{table}")
+
     bands, rows = banding(percent / 100, most=HASHES)
     named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = stored(
@@ -210,10 +215,14 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     )
     classes = stored(marked.groupBy("set_digest").agg(F.min("doc_id").alias("node")), f"{folder}/classes")
     placed = marked.join(classes, "set_digest")
-    copies = placed.filter("doc_id <> node").select(F.col("node").alias("u"), F.col("doc_id").alias("v")).distinct()
+    copies = stored(
+        placed.filter("doc_id <> node").select(F.col("node").alias("u"), F.col("doc_id").alias("v")).distinct(),
+        f"{folder}/copies",
+    )
     keyed = stored(
         placed.filter("doc_id = node").select(F.explode("bands").alias("band"), "node"), f"{folder}/bands"
     )
+    done("marked", "classes")
     centers = stored(
         keyed.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("top")).filter("top > center"),
         f"{folder}/centers",
@@ -221,6 +230,7 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
     buckets = stored(
         keyed.join(centers, "band").select("band", "center", "node").distinct(), f"{folder}/buckets"
     )
+    done("bands", "centers")
     # Signatures are kept of the documents that share a band only.
     wanted = stored(buckets.select("node").distinct(), f"{folder}/wanted")
     asked = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
@@ -231,6 +241,7 @@ def similar(docs: DataFrame, percent: int = 80, size: int = SHINGLE, folder: str
         .dropDuplicates(["node", "set_digest"]),
         f"{folder}/first",
     )
+    done("wanted")
     links, _ = linked(named, first, buckets, size, percent, HASHES, folder)
     return stored(
         links.unionAll(copies).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
