@@ -15,6 +15,7 @@ from fleetlens.operators import bundle, drift, inventory, listing, logs, paging,
 from fleetlens.operators import select, settings, status
 from fleetlens.operators.asof import as_of
 from fleetlens.operators.carry import carry_down
+from fleetlens.operators.joined import ordered_text
 from fleetlens.plans import collect
 from fleetlens.plans.tiers import host_tiers
 from fleetlens.functions.text import megabytes
@@ -89,6 +90,14 @@ def unknown_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.unknown_hosts(fleet(spark, sf_dir), v.wanted(spark, sf_dir), v.alias(spark, sf_dir))
 
 
+def unknown_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_text(unknown_hosts(spark, sf_dir), "name", chunk=200)
+
+
+def cluster_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_text(fleet(spark, sf_dir), "address", ["datacenter", "cluster"], separator=",", chunk=500)
+
+
 def selected_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     hosts = fleet(spark, sf_dir)
     every = select.selection_summary(hosts, select.select_hosts(hosts, hosts=["Cust*"]))
@@ -453,4 +462,6 @@ QUERIES: dict[str, Query] = {
     "landed_pages": landed_pages,
     "inventory_changes": inventory_changes,
     "landed_bundles": landed_bundles,
+    "unknown_text": unknown_text,
+    "cluster_text": cluster_text,
 }

@@ -454,3 +454,17 @@ ORACLE["landed_bundles"] = """
             length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1 as feeds from documents)
     group by 1"""
 ORACLE["sectioned_lines"] = ORACLE["sectioned_settings"]
+ORACLE["unknown_text"] = _resolved("v_alias", """
+    select cast(first_char // 200 as bigint) part, min(first_char) first_char, count(*) n_values,
+        string_agg(name, ', ' order by name) as text
+    from (select name, cast(coalesce(sum(length(name) + 2) over (order by name rows between unbounded preceding
+            and 1 preceding), 0) as bigint) first_char
+        from (select name from names where name not in (select name from resolved)))
+    group by part""")
+ORACLE["cluster_text"] = with_views("""
+    select datacenter, cluster, cast(first_char // 500 as bigint) part, min(first_char) first_char, count(*) n_values,
+        string_agg(address, ',' order by address) as text
+    from (select datacenter, cluster, address, cast(coalesce(sum(length(address) + 1) over (
+            partition by datacenter, cluster order by address rows between unbounded preceding and 1 preceding), 0)
+            as bigint) first_char from v_inventory)
+    group by all""")

@@ -13,6 +13,7 @@ from helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
 NUMBERED = {"page_numbers", "tier_by_date", "tier_by_version"}
+SUMMED = {"unknown_text", "cluster_text"}
 CARRIED = {"carried_headers", "sectioned_lines", "log_records"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -49,7 +50,7 @@ def test_plan(spark, name):
     # Windows only run over one row per partition, or per block of blocks.
     windows = re.findall(r"Window \[[^\n]*", plan)
     assert all("_range" in spec or "_block" in spec for spec in windows)
-    assert bool(windows) == (name in NUMBERED | CARRIED)
+    assert bool(windows) == (name in NUMBERED | SUMMED | CARRIED)
     # No filter cuts text into lines or parses a clock a second time.
     assert not re.search(r"Filter [^\n]*(split\((?!_line)|try_to_timestamp|gettimestamp)", plan)
     # No table is read whole for a few of its columns.
