@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import kept, shared_folder, ship, stored
+from fleetlens.llm.common import drop_folder, kept, shared_folder, ship, stored
 from fleetlens.llm.components import components
 from fleetlens.llm.resolve import contract, odd_sketch
 from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, steps, text_buffers, word_hashes
@@ -184,7 +184,10 @@ def linked(
         if not wanted.isEmpty():
             have.append(stored(_sets(docs, wanted, size), f"{folder}/{name}-sets"))
         confirmed = _confirm(near, reduce(DataFrame.unionAll, have), percent) if have else near.toDF("u", "v")
-        return stored(confirmed, f"{folder}/{name}-links")
+        found = stored(confirmed, f"{folder}/{name}-links")
+        for part in ("near", "wanted"):
+            drop_folder(docs.sparkSession, f"{folder}/{name}-{part}")
+        return found
 
     # Of a node's buckets the one with the least centre: one pair a node.
     stars = (

@@ -89,6 +89,7 @@ def contract(
     fields = [("node", "node"), ("n_shingles", "n"), ("odd", "odd"), *([("bands", "bands")] if by_band else [])]
     links = [verify(stars, "star")]
     found = stored(components(links[0], f"{folder}/found-star"), f"{folder}/found")
+    drop_folder(found.sparkSession, f"{folder}/found-star")
     left, centers, step = buckets.select("band", "node"), CENTERS, 0
     while True:
         at = f"{folder}/strays{step}"
@@ -141,6 +142,7 @@ def contract(
             links.append(more)
             edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more)
             found = stored(components(edges, f"{at}-found"), f"{folder}/found{step}")
+            drop_folder(found.sparkSession, f"{at}-found")
         left = stored(members.filter("not center").select("band", "node"), f"{folder}/left{step}")
         for part in ("members", "centers"):
             drop_folder(found.sparkSession, f"{at}-{part}")
