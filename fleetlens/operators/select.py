@@ -23,6 +23,8 @@ _ANCHORS = (16, 8, 4, 3)
 _GRAMS = (3, 2, 1)
 # Parts that the globs of one end are repeated for; values are parted by content.
 SALTS = 16
+# Values that the globs of one inner part meet at once; a part that more values hold is salted as well.
+MET = 50_000
 
 
 def hosts_predicate(hosts: Iterable[str] | None, address: Column | None = None) -> Column | None:
@@ -150,7 +152,7 @@ def _grams(text: Column, size: int) -> Column:
 
 
 def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
-    """(pattern, key): the text under which each glob is looked up.
+    """(pattern, key, salts): the text under which each glob is looked up, and for how many parts of the values.
 
     The longest literal end, if it is not short; else the inner part (of three characters, or of fewer where no
     literal is that long) that the fewest values hold; ``any`` without a literal. Globs with a part that no value
@@ -177,7 +179,7 @@ def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
     for size in _GRAMS[1:]:
         parts = parts.when(longest >= size, of_size(size))
     inner = end.isNull() & has_literal(pattern)
-    by_end = globs.filter(~inner).select(pattern, F.coalesce(end, F.lit("any")).alias("_key"))
+    by_end = globs.filter(~inner).select(pattern, F.coalesce(end, F.lit("any")).alias("_key"), F.lit(SALTS).alias("_salts"))
     # An outer generator: for a plain one Spark infers a filter that cuts the globs again.
     asked = (
         globs.filter(inner)
@@ -193,7 +195,7 @@ def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
         .groupBy("pattern")
         .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_key")).alias("_rarest"))
         .filter("_rarest.n > 0")
-        .select("pattern", F.col("_rarest._key").alias("_key"))
+        .select("pattern", F.col("_rarest._key").alias("_key"), F.ceil(F.col("_rarest.n") / MET).cast("int").alias("_salts"))
     )
     return by_end.unionByName(rarest)
 
@@ -201,10 +203,10 @@ def _filed(globs: DataFrame, values: DataFrame) -> DataFrame:
 def _looked_up(values: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     """(distinct values by their keys, globs by theirs, when the two match)."""
     pattern, value = F.col("pattern"), F.col("_value")
+    partitions = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     globs = patterns.select("pattern").filter(pattern.isNotNull()).distinct()
     prefix, suffix = literal_prefix(pattern), literal_suffix(pattern)
-    # An inner part is the rarest there is; an end may be hot, so its globs are repeated for each part of the values.
-    salts = F.when(F.col("_key").startswith("="), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    # Hot keys meet the values by parts, so their globs are repeated for each part.
     filed = _filed(globs, values).select(
         pattern,
         F.col("_key").alias("_end"),
@@ -212,7 +214,8 @@ def _looked_up(values: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataF
         F.when(pattern == F.concat(F.lit("*"), suffix), suffix).alias("_ends"),
         F.when(pattern == F.concat(F.lit("*"), F.get(literal_runs(pattern), F.lit(1)), F.lit("*")), F.get(literal_runs(pattern), F.lit(1))).alias("_holds"),
         regex_of(pattern).alias("_regex"),
-        F.explode(salts).alias("_salt"),
+        "_salts",
+        F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"),
     )
     ends = F.array_compact(
         F.array(
@@ -224,12 +227,14 @@ def _looked_up(values: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataF
             F.lit("any"),
         )
     )
-    salt = F.when(F.col("_end").startswith("="), 0).otherwise(F.pmod(F.xxhash64("_value"), F.lit(SALTS))).cast("int")
-    keyed = values.select(
-        "_value", F.explode(F.concat(ends, *[_grams(value, size) for size in _GRAMS])).alias("_end")
-    ).withColumn("_salt", salt)
-    # Only what some glob is filed under is probed.
-    keyed = keyed.join(filed.select("_end").distinct(), "_end", "left_semi").select("_value", "_end", "_salt")
+    keyed = values.select("_value", F.explode(F.concat(ends, *[_grams(value, size) for size in _GRAMS])).alias("_end"))
+    # Only what some glob is filed under is probed; the distinct keys are the side to build from.
+    keys = filed.select("_end", "_salts").distinct().hint("shuffle_hash")
+    keyed = keyed.join(keys, "_end").select(
+        "_value", "_end", F.pmod(F.xxhash64("_value"), F.col("_salts")).cast("int").alias("_salt")
+    )
+    # Many times the rows that Spark expects, which knows no explosion: neither broadcast nor put into few tasks.
+    keyed = keyed.repartition(partitions, "_end", "_salt").hint("merge")
     matches = (
         (keyed["_end"] == filed["_end"])
         & (keyed["_salt"] == filed["_salt"])
@@ -262,9 +267,13 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, column: str = "address"
 
 
 def pattern_hits(rows: DataFrame, patterns: DataFrame, column: str = "address") -> DataFrame:
-    """Each distinct glob with each distinct value of the column that it matches: (pattern, value)."""
+    """Each distinct glob with each distinct value of the column that it matches: (pattern, value).
+
+    A glob is filed under one key and a value holds each key once, so a pair is met once: no task has to
+    remember the pairs it has made.
+    """
     keyed, filed, matches = _looked_up(_values(rows, column), patterns)
-    return keyed.join(filed, matches).select("pattern", F.col("_value").alias("value")).distinct()
+    return keyed.join(filed, matches).select("pattern", F.col("_value").alias("value"))
 
 
 def one_per_cluster(inventory: DataFrame, by: str = "cluster") -> DataFrame:

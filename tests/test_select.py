@@ -153,3 +153,17 @@ def test_pattern_table_is_a_keyed_join_and_exact(spark):
         got = sorted(row.n for row in matched.collect())
         assert got == [i for i, name in enumerate(names) if any(fnmatch.fnmatchcase(name, p) for p in chosen)]
     assert "NestedLoop" not in plan_of(matched) and "Cartesian" not in plan_of(matched)
+
+
+def test_hits_of_hot_parts_are_made_once_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(select, "MET", 50)
+    names = [f"host-{i:04d}x{i % 7}" for i in range(400)]
+    patterns = ["*x*", "*00*", "*x3*", "host-*", "*-0?1*", "*none*", "*x*"]
+    df = spark.createDataFrame([(name,) for name in names * 2], "address string")
+    table = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    hits = select.pattern_hits(df, table)
+    wanted = sorted((p, n) for p in set(patterns) for n in names if fnmatch.fnmatchcase(n, p))
+    assert sorted((row.pattern, row.value) for row in hits.collect()) == wanted
+    plan = plan_of(hits)
+    assert "BuildLeft" not in plan and "SortMergeJoin" in plan and "keys=[pattern#0, value" not in plan
+    assert hits.rdd.getNumPartitions() == 4
