@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import drop_folder, kept, shared_folder, ship, stored
+from fleetlens.llm.common import drop_folder, few, kept, shared_folder, ship, stored, trimmed
 from fleetlens.llm.components import components
 from fleetlens.llm.resolve import contract, odd_sketch
 from fleetlens.llm.text_hash import Minima, band_keys, shingle_hashes, steps, text_buffers, word_hashes
@@ -94,7 +94,7 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int, hashes: int | No
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketch,
+        trimmed(sketch),
         "doc_id long, n_shingles long, set_digest binary, signature binary, bands array<long>, "
         "odd array<long>",
     )
@@ -116,7 +116,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
-    return texts.mapInArrow(cut, "node long, shingles binary")
+    return texts.mapInArrow(trimmed(cut), "node long, shingles binary")
 
 
 def _agree(pairs: DataFrame, signatures: DataFrame, minima: int, threshold: float) -> DataFrame:
@@ -133,7 +133,7 @@ def _agree(pairs: DataFrame, signatures: DataFrame, minima: int, threshold: floa
 
     left = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(trimmed(check), "a long, b long")
 
 
 def _fixed(column: pa.Array, minima: int) -> np.ndarray:
@@ -161,7 +161,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", "pa", "pb")
-        .mapInArrow(check, "u long, v long")
+        .mapInArrow(trimmed(check), "u long, v long")
         .distinct()
     )
 
@@ -180,11 +180,12 @@ def linked(
         wanted = near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct()
         for sets in have:
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        wanted = stored(wanted, f"{folder}/{name}-wanted")
+        n = near.count()
+        wanted = stored(few(wanted, 2 * n), f"{folder}/{name}-wanted")
         if not wanted.isEmpty():
             have.append(stored(_sets(docs, wanted, size), f"{folder}/{name}-sets"))
         confirmed = _confirm(near, reduce(DataFrame.unionAll, have), percent) if have else near.toDF("u", "v")
-        found = stored(confirmed, f"{folder}/{name}-links")
+        found = stored(few(confirmed, n), f"{folder}/{name}-links")
         for part in ("near", "wanted"):
             drop_folder(docs.sparkSession, f"{folder}/{name}-{part}")
         return found

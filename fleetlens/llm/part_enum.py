@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import kept, shared_folder, ship, stored
+from fleetlens.llm.common import few, kept, shared_folder, ship, stored, trimmed
 from fleetlens.llm.components import components
 from fleetlens.llm.near_dedup import BROADCAST_IDS, text_sets
 from fleetlens.llm.resolve import contract, odd_sketch, within_reach
@@ -124,7 +124,7 @@ def classes_of(docs: DataFrame, size: int) -> DataFrame:
             )
 
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return texts.mapInArrow(digest, "doc_id long, n_shingles long, set_id long")
+    return texts.mapInArrow(trimmed(digest), "doc_id long, n_shingles long, set_id long")
 
 
 def _picked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def _signed(texts: DataFrame, size: int, percent: int) -> DataFrame:
         if waiting:
             yield from out(waiting)
 
-    return texts.mapInArrow(sign, "band long, node long, least long")
+    return texts.mapInArrow(trimmed(sign), "band long, node long, least long")
 
 
 def _sketched(texts: DataFrame, size: int) -> DataFrame:
@@ -197,7 +197,7 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
                 names=["node", "n_shingles", "odd"],
             )
 
-    return texts.mapInArrow(sketch, "node long, n_shingles long, odd array<long>").filter("n_shingles > 0")
+    return texts.mapInArrow(trimmed(sketch), "node long, n_shingles long, odd array<long>").filter("n_shingles > 0")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -208,7 +208,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
             sets = [s.tobytes() for s in text_sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    return texts.mapInArrow(cut, "node long, shingles binary")
+    return texts.mapInArrow(trimmed(cut), "node long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -228,7 +228,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("pa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("pb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").mapInArrow(check, "u long, v long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").mapInArrow(trimmed(check), "u long, v long").distinct()
 
 
 def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, folder: str | None = None) -> DataFrame:
@@ -268,12 +268,13 @@ def shingle_join(docs: DataFrame, size: int = 5, percent: int = 80, folder: str
         wanted = near.select(F.col("a").alias("node")).unionAll(near.select(F.col("b").alias("node"))).distinct()
         for sets in have:
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        wanted = stored(wanted, f"{folder}/{name}-wanted")
+        n = near.count()
+        wanted = stored(few(wanted, 2 * n), f"{folder}/{name}-wanted")
         if not wanted.isEmpty():
             have.append(stored(_sets(_picked(docs, wanted), size), f"{folder}/{name}-sets"))
         if not have:
             return near.toDF("u", "v")
-        return stored(_confirmed(near, reduce(DataFrame.unionAll, have), percent), f"{folder}/{name}-links")
+        return stored(few(_confirmed(near, reduce(DataFrame.unionAll, have), percent), n), f"{folder}/{name}-links")
 
     stars = met.groupBy("node").agg(F.min("center").alias("a")).filter("a <> node").select("a", F.col("node").alias("b"))
     tables, found = contract(stars, met, sized, verify, percent, folder)

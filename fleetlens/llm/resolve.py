@@ -19,12 +19,13 @@ Where a node's bands are given, a pair is only made in the first band that its n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import drop_folder, stored
+from fleetlens.llm.common import drop_folder, few, stored
 from fleetlens.llm.components import components
 
 #: The least number of bits of an odd sketch, a power of two from 64 on; longer sets get half a bit a shingle or more.
@@ -64,6 +65,13 @@ def within_reach(percent: int) -> Column:
         F.lit(0),
         lambda total, n: total + n,
     )
+    # Most sketches are of the least length: for these the same sum written out, which Spark compiles.
+    least = ODD_BITS // 64
+    written = reduce(
+        lambda total, n: total + n,
+        [F.bit_count(F.get("odd_a", F.lit(i)).bitwiseXOR(F.get("odd_b", F.lit(i)))) for i in range(least)],
+    )
+    bits = F.when((F.size("odd_a") == least) & (F.size("odd_b") == least), written).otherwise(bits)
     return (F.abs(F.col("n_a") - F.col("n_b")) * (100 + percent) <= room) & (bits * (100 + percent) <= room)
 
 
@@ -88,31 +96,31 @@ def contract(
     by_band = "bands" in sized.columns
     fields = [("node", "node"), ("n_shingles", "n"), ("odd", "odd"), *([("bands", "bands")] if by_band else [])]
     links = [verify(stars, "star")]
-    found = stored(components(links[0], f"{folder}/found-star"), f"{folder}/found")
+    found = components(links[0], f"{folder}/found-star")
+    found = stored(few(found, found.count()), f"{folder}/found")
     drop_folder(found.sparkSession, f"{folder}/found-star")
     left, centers, step = buckets.select("band", "node"), CENTERS, 0
     while True:
         at = f"{folder}/strays{step}"
+        n = left.count()
         placed = left.join(found, "node", "left").select(
             "band", "node", F.coalesce("component", "node").alias("component")
         )
         parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        several = stored(
+        several = (
             parts.groupBy("band")
             .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
             .filter("parts > 1")
-            .select("band", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("strays")),
-            f"{at}-several",
+            .select("band", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("strays"))
         )
+        several = stored(few(several, n), f"{at}-several")
         if several.isEmpty():
             return links, found
         stray = F.col("component") != F.col("largest")
-        members = stored(
-            placed.join(several, "band").select(
-                "band", "node", "component", (stray & (_share(step) * F.col("strays") < centers)).alias("center")
-            ),
-            f"{at}-members",
+        members = placed.join(several, "band").select(
+            "band", "node", "component", (stray & (_share(step) * F.col("strays") < centers)).alias("center")
         )
+        members = stored(few(members, n), f"{at}-members")
         # Sketches join where the pairs are made; they are not carried through a shuffle by bucket unless they must.
         chosen = stored(
             members.filter("center")
@@ -141,7 +149,8 @@ def contract(
         if not more.isEmpty():
             links.append(more)
             edges = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more)
-            found = stored(components(edges, f"{at}-found"), f"{folder}/found{step}")
+            found = components(edges, f"{at}-found")
+            found = stored(few(found, found.count()), f"{folder}/found{step}")
             drop_folder(found.sparkSession, f"{at}-found")
         left = stored(members.filter("not center").select("band", "node"), f"{folder}/left{step}")
         for part in ("members", "centers"):

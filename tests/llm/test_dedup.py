@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +132,25 @@ class TestComponents:
         assert len(rows) == len(wanted)
         assert {r["node"]: r["component"] for r in rows} == wanted
 
+    def test_stars_take_one_step_and_few_tasks(self, spark):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+        folder = shared_folder(spark, "test-stars")
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set(coalesce, "false")
+        try:
+            links = [(k - k % 10, k) for k in range(300)]
+            rows = components(spark.createDataFrame(links, "u long, v long"), folder).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.unset(coalesce)
+        assert {r["node"]: r["component"] for r in rows} == {v: u for u, v in links}
+        made = {p.parent.name: 0 for p in Path(folder.removeprefix("file://")).rglob("part-*.parquet")}
+        for p in Path(folder.removeprefix("file://")).rglob("part-*.parquet"):
+            made[p.parent.name] += 1
+        assert not any(name.startswith("step2") for name in made)
+        assert all(n <= spark.sparkContext.defaultParallelism for name, n in made.items() if name != "edges")
+
     def test_no_links(self, spark):
         assert components(spark.createDataFrame([(1, 1)], "u long, v long"), shared_folder(spark, "t")).count() == 0
 
