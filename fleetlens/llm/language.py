@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import kept, ship
+from fleetlens.llm.common import kept, ship, trimmed
 
 #: Labelled documents a language is learned from, on average; list length; longest n-gram.
 SAMPLE, LISTED, LONGEST = 600, 8_000, 5
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, listed: int = LISTED) -> Model:
     sums = (
         labelled.filter(drawn)
         .select("lang", "text")
-        .mapInArrow(count, "lang string, length int, item string, n long")
+        .mapInArrow(trimmed(count), "lang string, length int, item string, n long")
         .groupBy("lang", "length", "item")
         .agg(F.sum("n").alias("n"))
     )

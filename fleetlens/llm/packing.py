@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import kept, shared_folder, ship, stored
+from fleetlens.llm.common import kept, shared_folder, ship, stored, trimmed
 from fleetlens.llm.text_hash import steps, text_buffers
 
 WINDOW = 4096
@@ -186,7 +186,7 @@ def tokens(docs: DataFrame, path: str, end: int) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text").mapInArrow(
-        encode, "doc_id long, source string, part int, before long, n long, width int, ids binary"
+        trimmed(encode), "doc_id long, source string, part int, before long, n long, width int, ids binary"
     )
 
 
@@ -348,7 +348,7 @@ def pack(
             yield from _pieces(batch, plan, with_ids)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return rows.mapInArrow(cut, schema + ", ids binary" * with_ids)
+    return rows.mapInArrow(trimmed(cut), schema + ", ids binary" * with_ids)
 
 
 def _pieces(batch: pa.RecordBatch, plan: list[Phase], with_ids: bool):
