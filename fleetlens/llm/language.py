@@ -15,6 +15,7 @@ without a language are predicted like all others; other columns are not read.
 """
 
 import math
+import pickle
 import re
 import uuid
 from collections import Counter
@@ -161,9 +162,11 @@ def predictor(model: Model):
     """A Pandas UDF from a text to (lang_pred, score)."""
 
     key = ("language", uuid.uuid4().hex)
+    # As bytes: a task whose worker has the model makes no second one of it.
+    packed = pickle.dumps(model)
 
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = kept(key, lambda: Scorer(model))
+    def score(parts):
+        scorer = kept(key, lambda: Scorer(pickle.loads(packed)))
         for texts in parts:
             found, scores = [], []
             for i in range(0, len(texts), 1000):
@@ -173,6 +176,9 @@ def predictor(model: Model):
                 scores += b
             yield pd.DataFrame({"lang_pred": found, "score": scores})
 
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from trimmed(score)(parts)
+
     return F.pandas_udf(run, "lang_pred string, score double")
 
 

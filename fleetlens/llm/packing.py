@@ -41,7 +41,7 @@ from fleetlens.llm.text_hash import steps, text_buffers
 
 WINDOW = 4096
 #: Words whose ids a worker keeps from one batch and task to the next.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 #: Bytes of text that are encoded at once.
 STEP = 1_000_000
 #: Words that the tokenizer gets at once.
@@ -291,9 +291,9 @@ def queues(sums: DataFrame) -> tuple[list[tuple[str | None, int]], int]:
 def _bases(sums: DataFrame, own: list[tuple[str | None, int]], folder: str) -> DataFrame:
     """(part, source, queue, base): where the source's tokens of a partition begin in their queue."""
     spark = sums.sparkSession
-    named = spark.createDataFrame(
-        [(s, q) for q, (s, _) in enumerate(own)], "queue_source string, queue int"
-    )
+    # An Arrow table comes without Python on the executors; rows would start a second set of workers there.
+    listed = [pa.array([s for s, _ in own], pa.string()), pa.array(range(len(own)), pa.int32())]
+    named = spark.createDataFrame(pa.table(listed, names=["queue_source", "queue"]))
     placed = sums.join(F.broadcast(named), sums["source"].eqNullSafe(named["queue_source"]), "left").drop(
         "queue_source"
     )
