@@ -43,7 +43,7 @@ WINDOW = 4096
 #: Words whose ids a worker keeps from one batch and task to the next.
 KEPT_WORDS = 200_000
 #: Bytes of text that are encoded at once.
-STEP = 1_000_000
+STEP = 300_000
 #: Words that the tokenizer gets at once.
 BLOCK = 10_000
 
