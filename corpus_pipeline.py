@@ -60,7 +60,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, with their token ids."""
     folder = _fresh(spark, "stage-pack")
-    return pack(docs, public_tokenizers.path(PACK_TOKENIZER), PACK_END, with_ids=True, folder=folder)
+    path = public_tokenizers.path(PACK_TOKENIZER)
+    # Executors still hold what earlier stages touched: half the known words, texts in smaller steps.
+    return pack(docs, path, PACK_END, with_ids=True, folder=folder, kept_words=200_000, step=300_000)
 
 
 STAGES = [

@@ -41,9 +41,9 @@ from fleetlens.llm.text_hash import steps, text_buffers
 
 WINDOW = 4096
 #: Words whose ids a worker keeps from one batch and task to the next.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 #: Bytes of text that are encoded at once.
-STEP = 300_000
+STEP = 1_000_000
 #: Words that the tokenizer gets at once.
 BLOCK = 10_000
 
@@ -75,13 +75,14 @@ def _shown(word: bytes) -> str | None:
 class WordEncoder:
     """Token ids of texts as bytes, for tokenizers whose tokens never span white space.
 
-    Each distinct word is encoded once a batch; the first KEPT_WORDS, among them the frequent ones, stay known.
+    Each distinct word is encoded once a batch; the first ``kept_words``, among them the frequent ones, stay known.
     Where the tokenizer lower-cases, so are A-Z beforehand; where it cuts letters from other marks, a word
     and the marks behind it are encoded apart. Both make for fewer distinct words and for the same ids.
     A word of nothing but letters goes straight to the tokenizer's model, if that proves right for each letter.
     """
 
-    def __init__(self, path: str, end: int) -> None:
+    def __init__(self, path: str, end: int, kept_words: int = KEPT_WORDS) -> None:
+        self.kept_words = kept_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -145,7 +146,7 @@ class WordEncoder:
     def texts(self, raw: list[bytes]) -> list[bytes]:
         words = [self._split(text) for text in raw]
         fresh = set().union(*words).difference(self.known)
-        kept = max(len(self.known), KEPT_WORDS)
+        kept = max(len(self.known), self.kept_words)
         self._learn(fresh)
         take = self.known.__getitem__
         ids = [b"".join(map(take, text)) + self.end for text in words]
@@ -154,15 +155,17 @@ class WordEncoder:
         return ids
 
 
-def tokens(docs: DataFrame, path: str, end: int) -> DataFrame:
+def tokens(
+    docs: DataFrame, path: str, end: int, kept_words: int = KEPT_WORDS, step: int = STEP
+) -> DataFrame:
     """Per document: its ids, their number, and the ids of its source before it in its partition."""
 
     def encode(batches):
-        encoder = kept(("packing", path, end), lambda: WordEncoder(path, end))
+        encoder = kept(("packing", path, end, kept_words), lambda: WordEncoder(path, end, kept_words))
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             data, offsets = text_buffers(batch.column(2))
-            for first, last in steps(offsets, STEP):
+            for first, last in steps(offsets, step):
                 raw = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(first, last)]
                 ids = encoder.texts(raw)
                 counts = [len(x) // encoder.kind.itemsize for x in ids]
@@ -319,17 +322,20 @@ def pack(
     targets: dict[str | None, float] | None = None,
     with_ids: bool = False,
     folder: str | None = None,
+    kept_words: int = KEPT_WORDS,
+    step: int = STEP,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids].
 
     ``path`` is a tokenizer file whose tokens never span white space, ``end`` the id that ends a
     document. ``targets`` weighs sources; those not named weigh nothing until the named ones are dry.
-    Without it every window has the proportions of the whole.
+    Without it every window has the proportions of the whole. Fewer ``kept_words`` and bytes a ``step`` take less
+    memory and more time for the same rows.
     """
     spark = docs.sparkSession
     ship(spark)
     folder = folder or shared_folder(spark, "pack")
-    made = stored(tokens(docs, path, end), f"{folder}/tokens")
+    made = stored(tokens(docs, path, end, kept_words, step), f"{folder}/tokens")
     sums = stored(made.groupBy("part", "source").agg(F.sum("n").alias("n")), f"{folder}/sums")
     own, rest = queues(sums)
     lengths = [n for _, n in own] + [rest] * (rest > 0)
